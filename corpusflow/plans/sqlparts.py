@@ -81,3 +81,50 @@ def token_sql() -> str:
 
 
 PUNCT_SQL = sql_str(PUNCTUATION)
+
+
+def unescape_sql(expr: str) -> str:
+    from corpusflow.functions.text import HTML_ENTITIES
+    for ent, ch in HTML_ENTITIES:
+        expr = f"replace({expr}, {sql_str(ent)}, {sql_str(ch)})"
+    return expr
+
+
+NETLOC_RE = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://([^/?#]*)"
+PATH_RE = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*([^?#]*)"
+SCHEME_RE = r"^([a-zA-Z][a-zA-Z0-9+.\-]*):"
+
+
+def links_cte(marks: list[str] | None = None) -> str:
+    """CTEs ``hrefs(page_id, seed, pos, href)``, ``links(..., link_url, url,
+    same_site)`` and ``classified(page_id, seed, pos, href, url, kind)``."""
+    from corpusflow.functions.urls import NAVIGATION_MARKS
+    from corpusflow.operators.links import ANCHOR_HREF_REGEX, NON_CONTENT_REGEX
+    marks = NAVIGATION_MARKS if marks is None else marks
+    mark_list = "[" + ", ".join(sql_str(m) for m in marks) + "]"
+    href = unescape_sql("regexp_replace(raw, '^[\"'']|[\"'']$', '', 'g')")
+    return f"""
+_vis AS (
+  SELECT page_id, url AS seed, regexp_replace(html, {sql_str(NON_CONTENT_REGEX)}, '', 'g') AS h FROM pages
+), _raw AS (
+  SELECT page_id, seed, regexp_extract_all(h, {sql_str(ANCHOR_HREF_REGEX)}, 1) AS l FROM _vis
+), _hr AS (
+  SELECT page_id, seed, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos, unnest(l) AS raw FROM _raw
+), hrefs AS (
+  SELECT page_id, seed, pos, {href} AS href FROM _hr
+), _res AS (
+  SELECT page_id, seed, pos, href,
+    CASE WHEN regexp_matches(href, '^https?://') THEN href
+         ELSE lower(regexp_extract(seed, {sql_str(SCHEME_RE)}, 1)) || '://' || regexp_extract(seed, {sql_str(NETLOC_RE)}, 1)
+              || CASE WHEN starts_with(href, '/') THEN '' ELSE '/' END || href END AS link_url
+  FROM hrefs WHERE href <> ''
+), links AS (
+  SELECT page_id, seed, pos, href, link_url, split_part(link_url, '#', 1) AS url,
+         regexp_extract(link_url, {sql_str(NETLOC_RE)}, 1) = regexp_extract(seed, {sql_str(NETLOC_RE)}, 1) AS same_site
+  FROM _res
+), classified AS (
+  SELECT page_id, seed, pos, href, url,
+    CASE WHEN list_has_any(string_split(regexp_replace(regexp_extract(url, {sql_str(PATH_RE)}, 1), ';[^/]*$', ''), '/'),
+                           {mark_list}) THEN 'navigation' ELSE 'article' END AS kind
+  FROM links WHERE same_site AND url <> ''
+)"""
