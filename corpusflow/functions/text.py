@@ -21,7 +21,7 @@ LATIN_UPPER, LATIN_LOWER = "A-ZÀ-ÖØ-Þ", "a-zß-öø-ÿ"
 
 # Title normalisation markers: no-break / space entities and whitespace.
 TITLE_SPLIT_MARKERS = (
-    r"&nbsp;|&#160;|&#32;|&#9248;|&#xA0;|&#x20;|&#x2420;|&#x2423;|&#9251;|\s"
+    r"&nbsp;|&#160;|&#32;|&#9248;|&#xA0;|&#x20;|&#x2420;|&#x2423;|&#9251;|[ \t\n\x0B\f\r]"
 )
 # ---------------------------------------------------------------------------
 
@@ -107,7 +107,7 @@ def title_in_html(title: Column | str, html: Column | str) -> Column:
     ``&quot;`` both sides have it unescaped, else if the page holds a backslash
     it is deleted from both sides.
     """
-    t = F.trim(normalize_title_markers(col_of(title)), " ")
+    t = F.trim(normalize_title_markers(col_of(title)), F.lit(" "))
     h = normalize_title_markers(col_of(html))
     has_quot = h.contains("&quot;")
     has_backslash = h.contains("\\")
@@ -123,7 +123,7 @@ def title_in_html(title: Column | str, html: Column | str) -> Column:
 # Entities unescaped in titles and extracted HTML text.  ``&amp;`` goes last so
 # that an escaped entity such as ``&amp;quot;`` is not unescaped twice.
 HTML_ENTITIES = [("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"),
-                 ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"),
+                 ("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"),
                  ("&#39;", "'"), ("&amp;", "&")]
 
 

@@ -1,6 +1,6 @@
 """Import every query module so that the registry is complete."""
 
-from corpusflow.plans import conllu_queries, link_queries, text_queries  # noqa: F401
+from corpusflow.plans import conllu_queries, html_queries, link_queries, text_queries  # noqa: F401
 from corpusflow.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
