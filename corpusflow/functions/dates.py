@@ -17,14 +17,20 @@ REPORT_NAME_REGEX = r"report_(\d{4}-\d{2}-\d{2})\.txt"
 # ---------------------------------------------------------------------------
 
 
-def _to_ntz(text: Column, fmt: str) -> Column:
-    # Parse in the session zone and cast back: the wall clock is kept.
-    return F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")
+# %Y-%m-%d %H:%M:%S as strptime reads it (one or two digits per field).
+_META_PARTS = r"^(\d{4})-(\d{1,2})-(\d{1,2}) (\d{1,2}):(\d{1,2}):(\d{1,2})$"
+
+
+def _to_ntz(text: Column) -> Column:
+    """Wall-clock parse without any time zone; invalid dates give null."""
+    parts = [F.regexp_extract(text, _META_PARTS, i).try_cast("int") for i in range(1, 7)]
+    ok = text.rlike(_META_PARTS)
+    return F.when(ok, F.try_make_timestamp_ntz(*parts))
 
 
 def date_from_meta(text: Column, default: Column | None = None) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` text -> TIMESTAMP_NTZ; empty/null -> ``default``."""
-    parsed = _to_ntz(text, META_DATE_FORMAT)
+    parsed = _to_ntz(text)
     fallback = default if default is not None else F.lit(None).cast("timestamp_ntz")
     return F.when(text.isNull() | (text == ""), fallback).otherwise(parsed)
 
@@ -43,8 +49,7 @@ def unify_date(text: Column) -> Column:
     """``yyyy-MM-ddTHH:mm:ss+hh:mm`` -> TIMESTAMP_NTZ keeping the wall clock
     (the offset is dropped, as writing the meta date drops it)."""
     ok = text.rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(Z|[+-]\d\d:?\d\d)$")
-    return F.when(ok, _to_ntz(F.regexp_replace(F.substring(text, 1, 19), "T", " "),
-                              META_DATE_FORMAT))
+    return F.when(ok, _to_ntz(F.regexp_replace(F.substring(text, 1, 19), "T", " ")))
 
 
 def unify_date_instant(text: Column) -> Column:
@@ -60,11 +65,11 @@ def custom_format(ts: Column) -> Column:
 def hours_between(start: Column, end: Column) -> Column:
     """Hours from ``start`` to ``end`` rounded half-up to one decimal
     (integer arithmetic on microseconds, so engines agree exactly)."""
-    us = F.timestamp_diff("MICROSECOND", start, end)
-    tenths = F.floor((us + F.lit(180_000_000)) / F.lit(360_000_000))
+    x = F.timestamp_diff("MICROSECOND", start, end) + F.lit(180_000_000)
+    tenths = (x - F.pmod(x, F.lit(360_000_000))) / F.lit(360_000_000)
     return tenths.cast("double") / F.lit(10.0)
 
 
 def date_from_report_name(name: Column) -> Column:
     """The date in ``report_YYYY-MM-DD.txt``."""
-    return F.try_to_date(F.regexp_extract(name, REPORT_NAME_REGEX, 1), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.regexp_extract(name, REPORT_NAME_REGEX, 1), "yyyy-MM-dd")
