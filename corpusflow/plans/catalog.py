@@ -1,7 +1,7 @@
 """Import every query module so that the registry is complete."""
 
 from corpusflow.plans import (  # noqa: F401
-    conllu_queries, date_queries, html_queries, link_queries, text_queries)
+    conllu_queries, corpus_queries, date_queries, html_queries, link_queries, text_queries)
 from corpusflow.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
