@@ -41,7 +41,7 @@ LEXICON = [
 
 
 def lexicon_df(spark: SparkSession) -> DataFrame:
-    """The lexicon as a DataFrame (58 rows, a fixed size bound: safe to broadcast)."""
+    """The lexicon as a DataFrame: a fixed list of a few dozen rows, safe to broadcast."""
     return spark.createDataFrame(LEXICON, "lang string, form_lc string, lex_upos string")
 
 
@@ -140,3 +140,24 @@ def annotate_with(articles: DataFrame, analyzer_factory: AnalyzerFactory,
 
 def token_columns() -> list[str]:
     return list(TOKEN_COLUMNS)
+
+
+def process_corpus(articles: DataFrame, analyzer: str | AnalyzerFactory | None = "rules",
+                   upper: str = T.LATIN_UPPER, lower: str = T.LATIN_LOWER
+                   ) -> tuple[DataFrame, DataFrame | None]:
+    """U4: clean every article (T1) and, if an analyzer is given, annotate it.
+
+    ``analyzer="rules"`` uses the built-in rule annotator (pure SQL); a
+    callable factory runs through the U1 slot; ``None`` skips annotation (no
+    token plan is built at all).  Returns ``(cleaned, tokens or None)``.
+    """
+    cleaned = articles.select("article_id", T.clean_text("text").alias("cleaned"))
+    if analyzer is None:
+        return cleaned, None
+    if analyzer == "rules":
+        langs = "lang" if "lang" in articles.columns else None
+        keep = ("lang",) if langs else ()
+        return cleaned, annotate_rules(sentences(articles, upper=upper, lower=lower, keep=keep),
+                                       lang_col=langs)
+    from corpusflow.sources.conllu import parse_conllu
+    return cleaned, parse_conllu(annotate_with(articles, analyzer)).select(*TOKEN_COLUMNS)

@@ -76,8 +76,12 @@ def crawl_levels(links: DataFrame, seeds: DataFrame, state_dir: str | None = Non
                 known = visited.count()
             if known >= enough:
                 break
-        new = (frontier.join(lk, on="src").select(F.col("dst").alias("url")).distinct()
-               .join(visited.select("url"), on="url", how="left_anti"))
+        # One shuffle: reached URLs and visited URLs grouped by URL; a URL is
+        # new when no visited row is in its group (anti join + distinct in one).
+        reached = frontier.join(lk, on="src").select(F.col("dst").alias("url"), F.lit(1).alias("_new"))
+        seen = visited.select("url", F.lit(0).alias("_new"))
+        new = (reached.unionByName(seen).groupBy("url").agg(F.min("_new").alias("_new"))
+               .filter(F.col("_new") == 1).select("url"))
         obs = Observation(f"crawl_round_{cur + 1}")
         new.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
             os.path.join(root, f"round={cur + 1}"))
