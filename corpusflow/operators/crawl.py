@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from corpusflow.session import checkpoint_dir
 
 
-def _done_rounds(spark: SparkSession, visited_root: str) -> list[int]:
-    """Rounds whose state was committed (``_SUCCESS`` is written last)."""
+def _done_levels(spark: SparkSession, visited_root: str) -> list[int]:
+    """Frontier depths whose visited table was committed (``_SUCCESS`` last)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(visited_root)
@@ -30,70 +30,78 @@ def _done_rounds(spark: SparkSession, visited_root: str) -> list[int]:
     out = []
     for st in fs.listStatus(path):
         name = st.getPath().getName()
-        if name.startswith("round=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+        if name.startswith("depth=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
             out.append(int(name.split("=")[1]))
-    out.sort()
-    # Only a gap-free prefix counts: a later round without its predecessor is stale.
-    good = [r for i, r in enumerate(out) if r == i]
-    return good
+    return sorted(out)
 
 
 def crawl_levels(links: DataFrame, seeds: DataFrame, state_dir: str | None = None,
-                 max_rounds: int | None = None, enough: int | None = None) -> DataFrame:
+                 max_rounds: int | None = None, enough: int | None = None,
+                 hops_per_round: int = 8) -> DataFrame:
     """Breadth-first levels from ``seeds(url)`` over ``links(src, dst)``.
 
     Returns ``(url, depth)`` of every reached URL (seeds at depth 0).
     ``max_rounds`` stops after that many rounds in this call (used to test
-    resume); ``enough`` stops once that many URLs are known (the crawl goal).
+    resume); ``enough`` stops once that many URLs are known (the crawl goal,
+    checked between rounds).
+
+    One round = one Spark job that expands the frontier (depth d) by up to
+    ``hops_per_round`` levels: hop i takes the distinct link targets of hop
+    i-1 minus the URLs visited before the round; all hops plus the visited
+    table are grouped by URL keeping the smallest depth.  This is exact BFS:
+    past the frontier a shortest path never re-enters the old visited set,
+    and any walk only gives an upper bound.  Redundant work is bounded by
+    the hop count, and the number of Spark jobs drops by that factor on
+    deep, narrow link graphs.
 
     State (K9): ``<state_dir>/links`` (materialised once) and
-    ``<state_dir>/visited/round=<n>`` holding only the URLs first reached in
-    round n.  A round is one Spark job: frontier ⋈ links -> distinct ->
-    left anti visited -> write.  Its row count comes from an ``observe``
-    metric of that same job, so the driver needs no extra count.  Rounds
-    newer than the loop's position are pruned away by the partition filter,
-    so a half-written round never leaks into ``visited``.
+    ``<state_dir>/visited/depth=<D>``, the whole visited table whose frontier
+    is depth D (one compact table; a round reads one folder).  Counts come
+    from ``observe`` metrics of the writing job.  A restart continues from
+    the newest committed table.
     """
     spark = links.sparkSession
     if state_dir is None:
         state_dir = os.path.join(checkpoint_dir(spark), f"crawl-{uuid.uuid4().hex}")
     links_path = os.path.join(state_dir, "links")
     root = os.path.join(state_dir, "visited")
-    rounds = _done_rounds(spark, root)
-    if not rounds:
+    levels = _done_levels(spark, root)
+    if not levels:
         links.select("src", "dst").dropDuplicates(["src", "dst"]).write.mode("overwrite").parquet(links_path)
-        seeds.select("url").distinct().write.mode("overwrite").parquet(os.path.join(root, "round=0"))
-        rounds = [0]
+        (seeds.select("url").distinct().select("url", F.lit(0).alias("depth"))
+         .write.mode("overwrite").parquet(os.path.join(root, "depth=0")))
+        levels = [0]
     lk = spark.read.parquet(links_path)
-    cur = rounds[-1]
+    d = levels[-1]
     done_now = 0
-    known = None
     while max_rounds is None or done_now < max_rounds:
-        visited = spark.read.parquet(root).filter(F.col("round") <= cur)
-        frontier = visited.filter(F.col("round") == cur).select(F.col("url").alias("src"))
-        if enough is not None:
-            if known is None:
-                known = visited.count()
-            if known >= enough:
-                break
-        # One shuffle: reached URLs and visited URLs grouped by URL; a URL is
-        # new when no visited row is in its group (anti join + distinct in one).
-        reached = frontier.join(lk, on="src").select(F.col("dst").alias("url"), F.lit(1).alias("_new"))
-        seen = visited.select("url", F.lit(0).alias("_new"))
-        new = (reached.unionByName(seen).groupBy("url").agg(F.min("_new").alias("_new"))
-               .filter(F.col("_new") == 1).select("url"))
-        obs = Observation(f"crawl_round_{cur + 1}")
-        new.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
-            os.path.join(root, f"round={cur + 1}"))
-        n_new = obs.get["n"]
-        cur += 1
+        visited = spark.read.parquet(os.path.join(root, f"depth={d}"))
+        if enough is not None and visited.count() >= enough:
+            break
+        old = visited.select("url")
+        front = visited.filter(F.col("depth") == d).select(F.col("url").alias("src"))
+        hops = []
+        for i in range(1, hops_per_round + 1):
+            reached = (front.join(lk, on="src").select(F.col("dst").alias("url")).distinct()
+                       .join(old, on="url", how="left_anti"))
+            hops.append(reached.select("url", F.lit(d + i).alias("depth")))
+            front = reached.select(F.col("url").alias("src"))
+        allrows = visited
+        for h in hops:
+            allrows = allrows.unionByName(h)
+        nxt = allrows.groupBy("url").agg(F.min("depth").alias("depth"))
+        top = d + hops_per_round
+        obs = Observation(f"crawl_depth_{top}")
+        nxt = nxt.observe(obs, F.sum(F.when(F.col("depth") > d, 1).otherwise(0)).alias("n_new"),
+                          F.sum(F.when(F.col("depth") == top, 1).otherwise(0)).alias("n_front"))
+        nxt.write.mode("overwrite").parquet(os.path.join(root, f"depth={top}"))
+        m = obs.get
+        d = top
         done_now += 1
-        if known is not None:
-            known += n_new
-        if n_new == 0:
+        if not m["n_new"] or not m["n_front"]:
             break
-    return (spark.read.parquet(root).filter(F.col("round") <= cur)
-            .select("url", F.col("round").cast("int").alias("depth")))
+    return spark.read.parquet(os.path.join(root, f"depth={d}")).select(
+        "url", F.col("depth").cast("int").alias("depth"))
 
 
 def host_chain_links(pages: DataFrame) -> DataFrame:
