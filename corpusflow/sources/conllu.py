@@ -37,21 +37,25 @@ def parse_conllu(docs: DataFrame, text_col: str = "conllu", id_col: str = "artic
 
 
 def read_conllu_files(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
-    """Read ``*_udpipe.conllu`` files whole; the article id is the file-name prefix.
+    """Read ``*.conllu`` files whole -> ``(article_id, conllu, empty)``; the
+    article id is the file-name prefix.
 
-    An empty file is an error (``EmptyFile``) when ``strict``; otherwise it
-    is kept as a row with ``empty = true`` and no tokens.
+    Spark's file sources skip zero-length files, so empty files are found in
+    the metadata listing: with ``strict`` they raise ``EmptyFile``, otherwise
+    they are kept as rows with ``empty = true`` and no text.
     """
-    raw = (spark.read.option("wholetext", "true").option("pathGlobFilter", "*.conllu")
-           .text(path)
-           .select(article_id_from_name(F.col("_metadata.file_name")).alias("article_id"),
-                   F.col("value").alias("conllu")))
+    from corpusflow.sources.files import list_files
+    listing = list_files(spark, path, "*.conllu")
+    empties = listing.filter(F.col("length") == 0).select(
+        article_id_from_name(F.col("name")).alias("article_id"))
     if strict:
-        raw = raw.withColumn(
-            "conllu",
-            F.when(F.length("conllu") == 0,
-                   F.raise_error(F.concat(F.lit("EmptyFile: article "),
-                                          F.col("article_id").cast("string"),
-                                          F.lit(" conllu is empty"))))
-            .otherwise(F.col("conllu")))
-    return raw
+        bad = [r.article_id for r in empties.limit(20).collect()]
+        if bad:
+            raise ValueError(f"EmptyFile: conllu of articles {bad} is empty")
+    full = (spark.read.option("pathGlobFilter", "*.conllu").text(path, wholetext=True)
+            .select(article_id_from_name(F.col("_metadata.file_name")).alias("article_id"),
+                    F.col("value").alias("conllu"), F.lit(False).alias("empty")))
+    if strict:
+        return full
+    return full.unionByName(empties.select("article_id", F.lit("").alias("conllu"),
+                                           F.lit(True).alias("empty")))

@@ -15,7 +15,7 @@ from corpusflow.schemas import META
 
 def read_raw(spark: SparkSession, path: str, glob: str = "*_raw.txt") -> DataFrame:
     """``(article_id, text)``, one row per raw file."""
-    return (spark.read.option("wholetext", "true").option("pathGlobFilter", glob).text(path)
+    return (spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
             .select(article_id_from_name(F.col("_metadata.file_name")).alias("article_id"),
                     F.col("value").alias("text")))
 
@@ -55,12 +55,19 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """``(path, name, length, modified)`` of matching files.
+    """``(path, name, length, modified)`` of the files in a folder.
 
-    The binary-file source is asked for metadata columns only, so file
-    contents are never read.
+    A metadata listing through the Hadoop file system (as Spark's own file
+    index does): file sources skip zero-length files, and empty corpus files
+    are exactly what the corpus check must see.  Contents are never read.
     """
-    df = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    return df.select("path", F.regexp_extract("path", r"([^/]*)$", 1).alias("name"),
-                     F.col("length").cast("bigint").alias("length"),
-                     F.col("modificationTime").alias("modified"))
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    pattern = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/" + glob)
+    fs = pattern.getFileSystem(conf)
+    statuses = fs.globStatus(pattern) or []
+    rows = [(str(st.getPath().toString()), st.getPath().getName(), int(st.getLen()),
+             int(st.getModificationTime())) for st in statuses if st.isFile()]
+    df = spark.createDataFrame(rows, "path string, name string, length bigint, modified_ms bigint")
+    return df.select("path", "name", "length",
+                     F.timestamp_millis(F.col("modified_ms")).alias("modified"))
