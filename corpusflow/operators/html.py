@@ -206,13 +206,15 @@ PARSED_SCHEMA = ("page_id bigint, url string, title string, author array<string>
 
 
 def parse_pages(pages: DataFrame, article_classes: tuple[str, ...] | None = ARTICLE_CLASSES,
-                default_ts=None) -> DataFrame:
+                default_ts=None, rules=None) -> DataFrame:
     """Title, authors, date, topics and body text of every page.
 
     One ``mapInPandas`` pass (Arrow batches, no shuffle); the date text is
     turned into a timestamp on the JVM side (X4), missing dates take
     ``default_ts`` (null unless given).
     """
+    if rules is not None:
+        article_classes = rules.article_classes
     classes = tuple(article_classes) if article_classes is not None else None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -73,21 +73,28 @@ def first_seen(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 
 def find_articles(pages: DataFrame, seeds: DataFrame | None = None, cap: int | None = None,
-                  marks: list[str] | None = None) -> DataFrame:
+                  marks: list[str] | None = None, url_pattern: str | None = None,
+                  rules=None) -> DataFrame:
     """One pass over the seeds -> new article URLs in discovery order.
 
     ``seeds(url, seed_order)`` defaults to every stored page in ``page_id``
     order.  Seeds are fetched by joining their URL to the stored pages (S6/J2);
     article links that are seeds themselves are dropped (J4); each URL keeps its
     first sighting (W2); ``cap`` keeps the first ``cap`` URLs (L1).
-    Output ``(url, seed_order, pos)``.
+    ``rules`` (a ``SiteRules``) supplies the navigation marks and the article
+    URL pattern (P9) of a site.  Output ``(url, seed_order, pos)``.
     """
+    if rules is not None:
+        marks = list(rules.nav_marks) if marks is None else marks
+        url_pattern = rules.url_pattern if url_pattern is None else url_pattern
     if seeds is None:
         seeds = pages.select("url", F.col("page_id").alias("seed_order"))
     fetched = fetch_pages(seeds, pages)
     links = classified_links(fetched.select("page_id", "url", "html", "seed_order"), marks,
                              keep=("seed_order",))
     arts = links.filter(F.col("kind") == "article").select("url", "seed_order", "pos")
+    if url_pattern is not None:
+        arts = arts.filter(F.col("url").rlike(url_pattern))
     arts = arts.join(seeds.select("url"), on="url", how="left_anti")
     firsts = first_seen(arts, "url", ["seed_order", "pos"])
     if cap is not None:

@@ -72,3 +72,16 @@ def pos_report(tokens: DataFrame, articles: DataFrame) -> DataFrame:
     The article side keeps every article; articles without tokens get null."""
     freq = pos_frequency_map(tokens).select("article_id", "pos_frequencies")
     return articles.join(freq, on="article_id", how="left")
+
+
+def duplicate_texts(articles: DataFrame) -> DataFrame:
+    """Texts held by more than one article -> ``(text_sha256, n_copies,
+    first_article_id)``.
+
+    Grouped on a SHA-256 digest of the text: the shuffle moves 32-byte keys,
+    not whole texts, and partial aggregation absorbs a text copied a million
+    times.
+    """
+    return (articles.groupBy(F.sha2(F.col("text"), 256).alias("text_sha256"))
+            .agg(F.count(F.lit(1)).alias("n_copies"), F.min("article_id").alias("first_article_id"))
+            .filter(F.col("n_copies") > 1))

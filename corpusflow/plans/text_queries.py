@@ -149,3 +149,11 @@ def q_short_texts(spark, sf):
     d = documents(spark, sf)
     return d.filter(T.is_short_text("text")).select(
         (F.col("doc_id") + 1).alias("article_id"), F.length("text").cast("bigint").alias("n_chars"))
+
+
+@register("duplicate_texts", """
+SELECT sha256(text) AS text_sha256, count(*) AS n_copies, min(doc_id) + 1 AS first_article_id
+FROM documents GROUP BY sha256(text) HAVING count(*) > 1""")
+def q_duplicate_texts(spark, sf):
+    return S.duplicate_texts(documents(spark, sf).select(
+        (F.col("doc_id") + 1).alias("article_id"), "text"))

@@ -94,3 +94,17 @@ def test_html_select(spark):
            H.Selector("cls", tag="div", attr="class")]
     got = sorted((r.selector, r.pos, r.value) for r in H.html_select(pages, sel).collect())
     assert got == [("ad", 0, "Buynow"), ("cls", 0, "ad x"), ("li", 0, "a"), ("li", 1, "b")]
+
+
+def test_site_rules(spark):
+    from corpusflow.operators.site import SiteRules
+    pages = spark.createDataFrame([
+        (1, "https://s.ru/", '<a href="/news/2024/1">x</a><a href="/about">y</a><a href="/rubric/z">r</a>'),
+    ], "page_id bigint, url string, html string")
+    rules = SiteRules(nav_marks=("rubric",), url_pattern=r"/news/\d{4}/")
+    got = [r.url for r in L.find_articles(pages, rules=rules).collect()]
+    assert got == ["https://s.ru/news/2024/1"]
+    html = '<article class="post"><p>a</p></article>'
+    p2 = spark.createDataFrame([(1, "u", html)], "page_id bigint, url string, html string")
+    assert H.parse_pages(p2, rules=SiteRules(article_classes=("post",))).first().text == "a"
+    assert H.parse_pages(p2, rules=SiteRules()).first().text == ""
