@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions import text as T
 from corpusflow.schemas import TOKEN_COLUMNS
+from corpusflow.session import spread
 
 # --- fixed values -----------------------------------------------------------
 # Lexicon of the rule annotator: (lang, lowercase form, UPOS).
@@ -50,8 +51,10 @@ def sentences(docs: DataFrame, text_col: str = "text", id_col: str = "article_id
               keep: tuple[str, ...] = ()) -> DataFrame:
     """T2 as a table: one row per sentence ``(id_col, sent_id, sentence)``.
 
-    Narrow transformation only: no shuffle, partitions follow the input.
+    Narrow transformation (partitions follow the input); an input with fewer
+    splits than cores is spread first (``session.spread``).
     """
+    docs = spread(docs.select(id_col, text_col, *keep))
     return docs.select(
         id_col, *keep,
         F.posexplode(T.split_sentences(F.col(text_col), upper, lower)).alias("sent_id", "sentence"),
@@ -134,7 +137,7 @@ def annotate_with(articles: DataFrame, analyzer_factory: AnalyzerFactory,
             out = analyze(pdf[text_col].fillna("").tolist())
             yield pd.DataFrame({"article_id": pdf[id_col].astype("int64"), "conllu": out})
 
-    return articles.select(F.col(id_col), F.col(text_col)).mapInPandas(
+    return spread(articles.select(F.col(id_col), F.col(text_col))).mapInPandas(
         run, "article_id bigint, conllu string")
 
 

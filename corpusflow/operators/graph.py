@@ -44,19 +44,26 @@ def dependency_edges(tokens: DataFrame) -> DataFrame:
 
 
 def match_tree_path(tokens: DataFrame, labels: Sequence[str],
-                    node_match: Callable[[DataFrame, int], Column] | None = None) -> DataFrame:
+                    node_match: Callable[[DataFrame, int], Column] | None = None,
+                    materialize: bool = False) -> DataFrame:
     """G3 on dependency trees: paths ``v1 -> v2 -> ... -> vk`` (head -> dependant)
     whose UPOS labels equal ``labels``.
 
     Every token has one head, so node and incoming edge are one row: step i is
     an equi-join of the tokens labelled ``labels[i]`` on
     ``(article_id, sent_id, head) = (.., .., v_{i-1})``.  The label filters are
-    applied before any join; all rows with a pattern label are projected once.
+    applied before any join.  On a stored TOKEN table every step is a scan with
+    the label pushed down; when ``tokens`` is a computed plan, ``materialize``
+    checkpoints the label-filtered rows once (shared checkpoint folder) so the
+    annotation is not recomputed for every step.
     Output ``(article_id, sent_id, id_1.., form_1.., upos_1..)``.
     """
     k = len(labels)
     base = tokens.filter(F.col("upos").isin(list(set(labels)))).select(
         *SENTENCE, "id", "head", "form", "upos")
+    if materialize:
+        checkpoint_dir(tokens.sparkSession)
+        base = base.checkpoint(eager=True)
 
     def step(i: int) -> DataFrame:
         t = base.filter(F.col("upos") == labels[i])

@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusflow.session import spread
+
 # --- fixed values -----------------------------------------------------------
 BLOCK_TAGS = ("h1", "h2", "h3", "h4", "h5", "h6", "p", "li")
 ARTICLE_CLASSES = ("type-post", "type-page")
@@ -228,7 +230,7 @@ def parse_pages(pages: DataFrame, article_classes: tuple[str, ...] | None = ARTI
                                               "topics", "text"])
 
     from corpusflow.functions.dates import unify_date
-    out = pages.select("page_id", "url", "html").mapInPandas(run, PARSED_SCHEMA)
+    out = spread(pages.select("page_id", "url", "html")).mapInPandas(run, PARSED_SCHEMA)
     date = unify_date(F.col("date_raw"))
     if default_ts is not None:
         date = F.coalesce(date, F.lit(default_ts).cast("timestamp_ntz"))
@@ -254,5 +256,5 @@ def html_select(pages: DataFrame, selectors: list[Selector]) -> DataFrame:
             yield pd.DataFrame(rows, columns=["page_id", "selector", "pos", "tag", "classes",
                                               "value"])
 
-    return pages.select("page_id", "html").mapInPandas(
+    return spread(pages.select("page_id", "html")).mapInPandas(
         run, "page_id bigint, selector string, pos int, tag string, classes string, value string")

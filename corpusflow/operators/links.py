@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions import text as T
 from corpusflow.functions import urls as U
+from corpusflow.session import spread
 
 # <script>, <style> and comments are dropped before any tag regex: their
 # bodies may hold tag-like strings.
@@ -28,6 +29,7 @@ def extract_links(pages: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFra
     """Every ``<a href>`` of each page in document order ->
     ``(page_id, *keep, pos, href)``; empty hrefs dropped.  Row-local."""
     hrefs = F.regexp_extract_all(visible_html(F.col("html")), F.lit(ANCHOR_HREF_REGEX), 1)
+    pages = spread(pages.select("page_id", *keep, "html"))
     return (pages.select("page_id", *keep, F.posexplode(hrefs).alias("pos", "raw"))
             .select("page_id", *keep, "pos", clean_href(F.col("raw")).alias("href"))
             .filter(F.col("href") != ""))

@@ -35,7 +35,7 @@ def _tree_sql(k: int, i: int = 1) -> str:
 
 
 def matches(spark, sf):
-    return G.match_tree_path(doc_tokens(spark, sf), PATTERN)
+    return G.match_tree_path(doc_tokens(spark, sf), PATTERN, materialize=True)
 
 
 @register("dependency_graph", token_sql() + """

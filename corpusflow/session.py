@@ -65,3 +65,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="corpusflow-ckpt-")
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir() or folder
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread rows over the cluster before CPU-heavy per-row work.
+
+    A scan yields one task per file split; a small table stored as one row
+    group is a single task however many cores there are.  When the plan has
+    fewer partitions than ``min_partitions`` (default: the cluster's default
+    parallelism) the rows are repartitioned round-robin.  Few splits means
+    little data (each split is at most ``spark.sql.files.maxPartitionBytes``),
+    so the shuffle is cheap; large inputs are left as they are.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
