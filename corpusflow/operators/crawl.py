@@ -46,8 +46,8 @@ def crawl_levels(links: DataFrame, seeds: DataFrame, state_dir: str | None = Non
     checked between rounds).
 
     One round = one Spark job that expands the frontier (depth d) by up to
-    ``hops_per_round`` levels: hop i takes the distinct link targets of hop
-    i-1 minus the URLs visited before the round; all hops plus the visited
+    ``hops_per_round`` levels: hop i takes the targets of the links leaving
+    hop i-1 (a semi join) minus the URLs visited before the round; all hops plus the visited
     table are grouped by URL keeping the smallest depth.  This is exact BFS:
     past the frontier a shortest path never re-enters the old visited set,
     and any walk only gives an upper bound.  Redundant work is bounded by
@@ -82,7 +82,10 @@ def crawl_levels(links: DataFrame, seeds: DataFrame, state_dir: str | None = Non
         front = visited.filter(F.col("depth") == d).select(F.col("url").alias("src"))
         hops = []
         for i in range(1, hops_per_round + 1):
-            reached = (front.join(lk, on="src").select(F.col("dst").alias("url")).distinct()
+            # Semi join: links leaving the frontier; repeated frontier URLs
+            # cannot multiply rows, so no per-hop dedupe shuffle is needed (the
+            # round's final group-by dedupes once).
+            reached = (lk.join(front, on="src", how="left_semi").select(F.col("dst").alias("url"))
                        .join(old, on="url", how="left_anti"))
             hops.append(reached.select("url", F.lit(d + i).alias("depth")))
             front = reached.select(F.col("url").alias("src"))
