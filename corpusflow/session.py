@@ -77,6 +77,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     little data (each split is at most ``spark.sql.files.maxPartitionBytes``),
     so the shuffle is cheap; large inputs are left as they are.
     """
+    if df.isStreaming:
+        return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
