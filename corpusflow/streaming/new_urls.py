@@ -1,10 +1,12 @@
 """C4: incremental corpus growth with Structured Streaming.
 
 New page files arriving in a folder are read by the file source; their links
-are resolved, deduplicated by URL in streaming state, and appended to the URL
-table by ``foreachBatch`` with an anti join against what the table already
-holds (so a restart that replays a batch adds nothing twice).  The streaming
-checkpoint and the output live in the shared checkpoint folder.
+are resolved and deduplicated by URL in streaming state (kept in the query's
+checkpoint, so it survives restarts).  ``foreachBatch`` writes every
+micro-batch to its own ``epoch=<id>`` folder in overwrite mode: a batch that
+is replayed after a failure replaces its own output, so the table never holds
+a URL twice and no batch has to read what earlier batches wrote.  The
+streaming checkpoint and the output live in the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -53,17 +55,15 @@ def run_new_urls(spark: SparkSession, source_dir: str, target: str | None = None
     else:
         urls = urls.dropDuplicates(["url"])
 
-    def upsert(batch: DataFrame, epoch_id: int) -> None:
-        fresh = batch.select("url").distinct()
-        if _exists(spark, target):
-            fresh = fresh.join(spark.read.parquet(target), on="url", how="left_anti")
-        fresh.write.mode("append").parquet(target)
+    def write_epoch(batch: DataFrame, epoch_id: int) -> None:
+        batch.select("url").write.mode("overwrite").parquet(os.path.join(target, f"epoch={epoch_id}"))
 
-    q = (urls.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
+    q = (urls.writeStream.foreachBatch(write_epoch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     if not _exists(spark, target):
-        spark.createDataFrame([], "url string").write.mode("overwrite").parquet(target)
+        spark.createDataFrame([], "url string").write.mode("overwrite").parquet(
+            os.path.join(target, "epoch=-1"))
     return target
 
 
