@@ -46,7 +46,7 @@ def q_scan_raw(spark, sf):
 _META_DOCS_SQL = """
 SELECT doc_id + 1 AS id, 'https://corpus.example/' || source || '/' || CAST(doc_id + 1 AS VARCHAR) AS url,
        CASE WHEN lang = 'de' THEN '' ELSE lang END AS title, CAST(NULL AS VARCHAR) AS date,
-       to_json([source]) AS author, to_json([lang]) AS topics
+       CAST(to_json([source]) AS VARCHAR) AS author, CAST(to_json([lang]) AS VARCHAR) AS topics
 FROM documents"""
 
 
@@ -78,9 +78,9 @@ def q_scan_corpus(spark, sf):
 
 
 @register("meta_json", """
-SELECT doc_id + 1 AS id, to_json({'id': doc_id + 1, 'url': NULL::VARCHAR, 'title': source,
+SELECT doc_id + 1 AS id, CAST(to_json({'id': doc_id + 1, 'url': NULL::VARCHAR, 'title': source,
   'date': NULL::VARCHAR, 'author': ['NOT FOUND'], 'topics': [lang],
-  'pos_frequencies': MAP {}::MAP(VARCHAR, BIGINT), 'pattern_matches': MAP {}::MAP(VARCHAR, VARCHAR)}) AS meta
+  'pos_frequencies': MAP {}::MAP(VARCHAR, BIGINT), 'pattern_matches': MAP {}::MAP(VARCHAR, VARCHAR)}) AS VARCHAR) AS meta
 FROM documents""")
 def q_meta_json(spark, sf):
     d = load_table(spark, sf, "documents").select(

@@ -59,7 +59,7 @@ def q_pattern_match(spark, sf):
 
 
 @register("match_trees", token_sql() + _path_sql(PATTERN) + f"""
-SELECT article_id, sent_id, id_1, id_2, id_3, to_json({_tree_sql(3)}) AS tree FROM m""")
+SELECT article_id, sent_id, id_1, id_2, id_3, CAST(to_json({_tree_sql(3)}) AS VARCHAR) AS tree FROM m""")
 def q_match_trees(spark, sf):
     t = G.match_trees(matches(spark, sf), 3)
     return t.select(*G.SENTENCE, "id_1", "id_2", "id_3", F.to_json("tree").alias("tree"))
@@ -103,7 +103,7 @@ def q_pattern_search(spark, sf):
      'children': list({'upos': upos_2, 'text': form_2, 'children': ch} ORDER BY id_2)} AS tree
   FROM l2 GROUP BY article_id, sent_id, id_1, upos_1, form_1
 )
-SELECT article_id, sent_id, id_1, to_json(tree) AS tree FROM l1""")
+SELECT article_id, sent_id, id_1, CAST(to_json(tree) AS VARCHAR) AS tree FROM l1""")
 def q_pattern_matches_grouped(spark, sf):
     g = G.grouped_trees(matches(spark, sf), 3)
     return g.select(*G.SENTENCE, "id_1", F.to_json("tree").alias("tree"))

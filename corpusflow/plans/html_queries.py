@@ -59,7 +59,7 @@ def q_page_title(spark, sf):
     return pages(spark, sf).select("page_id", H.page_title(F.col("html")).alias("title"))
 
 
-@register("page_authors", f"SELECT page_id, to_json({_AUTHORS_SQL}) AS author FROM pages")
+@register("page_authors", f"SELECT page_id, CAST(to_json({_AUTHORS_SQL}) AS VARCHAR) AS author FROM pages")
 def q_page_authors(spark, sf):
     return pages(spark, sf).select("page_id", F.to_json(H.page_authors(F.col("html"))).alias("author"))
 
@@ -83,7 +83,7 @@ def q_page_text(spark, sf):
 
 
 @register("parse_pages", "WITH " + _TEXT_CTE.lstrip() + f"""
-SELECT p.page_id, p.url, {_TITLE_SQL} AS title, to_json({_AUTHORS_SQL}) AS author,
+SELECT p.page_id, p.url, {_TITLE_SQL} AS title, CAST(to_json({_AUTHORS_SQL}) AS VARCHAR) AS author,
        CAST(NULL AS VARCHAR) AS date, '[]' AS topics, t.text
 FROM pages p JOIN page_text t ON t.page_id = p.page_id""")
 def q_parse_pages(spark, sf):
