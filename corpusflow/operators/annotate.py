@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions import text as T
 from corpusflow.schemas import TOKEN_COLUMNS
-from corpusflow.session import spread
+from corpusflow.session import ship_package, spread
 
 # --- fixed values -----------------------------------------------------------
 # Lexicon of the rule annotator: (lang, lowercase form, UPOS).
@@ -137,6 +137,7 @@ def annotate_with(articles: DataFrame, analyzer_factory: AnalyzerFactory,
             out = analyze(pdf[text_col].fillna("").tolist())
             yield pd.DataFrame({"article_id": pdf[id_col].astype("int64"), "conllu": out})
 
+    ship_package(articles.sparkSession)
     return spread(articles.select(F.col(id_col), F.col(text_col))).mapInPandas(
         run, "article_id bigint, conllu string")
 

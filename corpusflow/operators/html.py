@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.session import spread
+from corpusflow.session import ship_package, spread
 
 # --- fixed values -----------------------------------------------------------
 BLOCK_TAGS = ("h1", "h2", "h3", "h4", "h5", "h6", "p", "li")
@@ -230,6 +230,7 @@ def parse_pages(pages: DataFrame, article_classes: tuple[str, ...] | None = ARTI
                                               "topics", "text"])
 
     from corpusflow.functions.dates import unify_date
+    ship_package(pages.sparkSession)
     out = spread(pages.select("page_id", "url", "html")).mapInPandas(run, PARSED_SCHEMA)
     date = unify_date(F.col("date_raw"))
     if default_ts is not None:
@@ -256,5 +257,6 @@ def html_select(pages: DataFrame, selectors: list[Selector]) -> DataFrame:
             yield pd.DataFrame(rows, columns=["page_id", "selector", "pos", "tag", "classes",
                                               "value"])
 
+    ship_package(pages.sparkSession)
     return spread(pages.select("page_id", "html")).mapInPandas(
         run, "page_id bigint, selector string, pos int, tag string, classes string, value string")

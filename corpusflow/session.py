@@ -83,3 +83,33 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+_ZIP_PATH: list[str] = []
+_SHIPPED_TO: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``corpusflow`` importable in the Python workers of every executor.
+
+    Functions run by ``mapInPandas`` refer to corpusflow modules; the package
+    is zipped once per driver process and distributed with ``addPyFile``.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED_TO:
+        return
+    if not _ZIP_PATH:
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        root = os.path.dirname(pkg)
+        path = os.path.join(tempfile.mkdtemp(prefix="corpusflow-py-"), "corpusflow.zip")
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for folder, _, files in os.walk(pkg):
+                for name in files:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        z.write(full, os.path.relpath(full, root))
+        _ZIP_PATH.append(path)
+    sc.addPyFile(_ZIP_PATH[0])
+    _SHIPPED_TO.add(id(sc))
