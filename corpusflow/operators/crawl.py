@@ -107,6 +107,91 @@ def crawl_levels(links: DataFrame, seeds: DataFrame, state_dir: str | None = Non
         "url", F.col("depth").cast("int").alias("depth"))
 
 
+def bfs_levels(links: DataFrame, seeds: DataFrame, max_rounds: int = 64) -> DataFrame:
+    """C2, analytic form: BFS depth of every URL reachable from ``seeds`` over a
+    stored link table, in O(log chain length + contracted diameter) rounds.
+
+    1. A non-seed URL with exactly one incoming link has its depth fixed by
+       that predecessor (depth = depth(pred) + 1).  Such "chain" URLs are
+       resolved by pointer jumping to their first ancestor that is not a chain
+       URL (an "anchor"), keeping the distance; one equi-join per round doubles
+       the jump.  Chains that only loop among themselves never meet an anchor
+       and are unreachable.
+    2. Links into anchors become weighted edges anchor(src) -> anchor with
+       weight dist(src) + 1; shortest distances from the seeds over these edges
+       are found by frontier Bellman-Ford rounds (only improved anchors relax).
+    3. depth(chain URL) = depth(its anchor) + distance.
+
+    Every step is a join or min-aggregate on URL keys; round state is
+    checkpointed to the shared checkpoint folder and counts come from
+    ``observe`` metrics of the checkpointing job.
+    """
+    spark = links.sparkSession
+    checkpoint_dir(spark)
+    e = links.select("src", "dst").filter(F.col("src") != F.col("dst")).dropDuplicates(["src", "dst"])
+    s = seeds.select("url").distinct()
+    indeg = e.groupBy("dst").agg(F.count(F.lit(1)).alias("k"), F.min("src").alias("pred"))
+    chain = (indeg.filter(F.col("k") == 1).join(s, indeg["dst"] == s["url"], "left_anti")
+             .select(F.col("dst").alias("node"), F.col("pred").alias("anc"),
+                     F.lit(1).cast("bigint").alias("dist")))
+    state = _observed_checkpoint(chain, F.count(F.lit(1)).alias("n"))
+    n_chain, state = state[1]["n"], state[0]
+    nodes = state.select(F.col("node").alias("anc"), F.lit(True).alias("_chain"))
+    rounds = 0
+    limit = max(1, int(n_chain).bit_length() + 1)
+    while True:
+        look = state.select(F.col("node").alias("anc"), F.col("anc").alias("anc2"), F.col("dist").alias("dist2"))
+        j = state.join(look, on="anc", how="left")
+        moved = F.col("anc2").isNotNull()
+        nxt = j.select("node", F.when(moved, F.col("anc2")).otherwise(F.col("anc")).alias("anc"),
+                       F.when(moved, F.col("dist") + F.col("dist2")).otherwise(F.col("dist")).alias("dist"))
+        nxt = nxt.join(nodes, on="anc", how="left")
+        state, m = _observed_checkpoint(
+            nxt.select("node", "anc", "dist", F.coalesce("_chain", F.lit(False)).alias("open")),
+            F.sum(F.col("open").cast("int")).alias("n_open"))
+        rounds += 1
+        if not m["n_open"] or rounds >= limit:
+            break
+        state = state.drop("open")
+    # Rows still pointing at a chain URL sit on (or below) a cycle without anchor.
+    resolved = state.filter(~F.col("open")).select("node", "anc", "dist")
+    # Weighted edges between anchors.
+    chain_nodes = state.select(F.col("node").alias("src"))
+    into_anchor = e.join(state.select(F.col("node").alias("dst")), on="dst", how="left_anti")
+    from_chain = into_anchor.join(resolved.select(F.col("node").alias("src"), F.col("anc").alias("a"),
+                                                  F.col("dist").alias("w0")), on="src", how="inner")
+    from_anchor = into_anchor.join(chain_nodes, on="src", how="left_anti").select(
+        F.col("src").alias("a"), "dst", F.lit(0).cast("bigint").alias("w0"))
+    cedges = (from_chain.select("a", "dst", "w0").unionByName(from_anchor)
+              .groupBy("a", "dst").agg((F.min("w0") + 1).alias("w")))
+    cedges, _ = _observed_checkpoint(cedges, F.count(F.lit(1)).alias("n"))
+    dist, _ = _observed_checkpoint(s.select(F.col("url").alias("a"), F.lit(0).cast("bigint").alias("d"),
+                                            F.lit(True).alias("changed")), F.count(F.lit(1)).alias("n"))
+    for _ in range(max_rounds):
+        front = dist.filter("changed").select("a", "d")
+        cand = (front.join(cedges, on="a").select(F.col("dst").alias("a"), (F.col("d") + F.col("w")).alias("nd")))
+        best = cand.groupBy("a").agg(F.min("nd").alias("nd"))
+        j = dist.select("a", "d").join(best, on="a", how="full_outer")
+        better = F.col("nd").isNotNull() & (F.col("d").isNull() | (F.col("nd") < F.col("d")))
+        nxt = j.select("a", F.when(better, F.col("nd")).otherwise(F.col("d")).alias("d"),
+                       better.alias("changed"))
+        dist, m = _observed_checkpoint(nxt, F.sum(F.col("changed").cast("int")).alias("n_changed"))
+        if not m["n_changed"]:
+            break
+    anchors = dist.select(F.col("a").alias("url"), F.col("d").alias("depth"))
+    chained = resolved.join(dist.select(F.col("a").alias("anc"), F.col("d")), on="anc", how="inner").select(
+        F.col("node").alias("url"), (F.col("d") + F.col("dist")).alias("depth"))
+    return anchors.unionByName(chained).select("url", F.col("depth").cast("int").alias("depth"))
+
+
+def _observed_checkpoint(df: DataFrame, *metrics):
+    """Reliable checkpoint of ``df`` (shared folder) and the observed metrics of
+    the job that wrote it."""
+    obs = Observation(f"cf_{uuid.uuid4().hex[:8]}")
+    out = df.observe(obs, *metrics).checkpoint(eager=True)
+    return out, obs.get
+
+
 def host_chain_links(pages: DataFrame) -> DataFrame:
     """The derived link graph of the stored pages: each page links to the next
     page of its host (in ``page_id`` order).  Built from global sequence

@@ -35,8 +35,10 @@ p AS (
 )
 SELECT url, CAST(min(depth) AS INTEGER) AS depth FROM bfs GROUP BY url""")
 def q_crawl_levels(spark, sf):
+    # BFS levels of the stored link graph by chain contraction (log rounds);
+    # C.crawl_levels is the resumable frontier crawl over the same inputs.
     pages = load_table(spark, sf, "pages")
-    return C.crawl_levels(C.host_chain_links(pages), C.host_seeds(pages))
+    return C.bfs_levels(C.host_chain_links(pages), C.host_seeds(pages))
 
 
 @register("stream_new_urls", "WITH " + links_cte().lstrip() + """

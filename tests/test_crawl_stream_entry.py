@@ -73,3 +73,31 @@ def test_entry_contract(spark):
     qs, ors = E.queries(), E.oracle_sql()
     assert set(ors) <= set(qs)
     assert all(callable(f) for f in qs.values())
+
+
+def test_bfs_levels_random_graphs(spark):
+    import random
+    rnd = random.Random(7)
+    for trial in range(6):
+        n = rnd.randint(5, 40)
+        edges = set()
+        # chains, cycles, fan-in and fan-out
+        for _ in range(rnd.randint(n, 3 * n)):
+            a, b = rnd.randrange(n), rnd.randrange(n)
+            edges.add((f"u{a}", f"u{b}"))
+        for i in range(0, n - 1, 3):
+            edges.add((f"u{i}", f"u{i + 1}"))
+        edges = sorted(edges)
+        seeds = [f"u{i}" for i in rnd.sample(range(n), rnd.randint(1, 3))]
+        links = spark.createDataFrame(edges, "src string, dst string")
+        sd = spark.createDataFrame([(x,) for x in seeds], "url string")
+        got = {r.url: r.depth for r in C.bfs_levels(links, sd).collect()}
+        assert got == bfs(edges, seeds), trial
+
+
+def test_bfs_levels_chain_and_cycle(spark):
+    edges = [(f"c{i}", f"c{i + 1}") for i in range(40)] + [("x", "y"), ("y", "z"), ("z", "x"), ("z", "w")]
+    links = spark.createDataFrame(edges, "src string, dst string")
+    sd = spark.createDataFrame([("c0",)], "url string")
+    got = {r.url: r.depth for r in C.bfs_levels(links, sd).collect()}
+    assert got == bfs(edges, ["c0"])
