@@ -133,32 +133,40 @@ def grouped_trees(matches: DataFrame, k: int) -> DataFrame:
     return cur.select(*SENTENCE, "id_1", F.col("node").alias("tree"))
 
 
-def tree_depth(tokens: DataFrame, max_rounds: int = 64) -> DataFrame:
+def tree_depth(tokens: DataFrame, max_len: int | None = None) -> DataFrame:
     """Depth (nodes on the longest root-to-leaf path) of every sentence.
 
-    Pointer jumping: each node keeps (ancestor, distance); one equi-join per
-    round doubles the jump, so a chain of n tokens needs log2(n) rounds.  The
-    state is checkpointed to the shared checkpoint folder every round (lineage
-    stays short; lost executors recompute one round only).  The loop stops on a
-    driver-side count of unfinished nodes.
+    One shuffle groups each sentence's ``(id, head)`` pairs (the collect is
+    bounded by one sentence); pointer jumping then runs inside the arrays with
+    JVM higher-order functions: every step replaces each node's ancestor by
+    the ancestor's ancestor and adds up distances, so ceil(log2(length)) + 1
+    steps resolve any tree.  The step count comes from the longest sentence
+    (one scalar aggregate).  Nodes on a head cycle never reach the root and
+    do not count; heads pointing outside the sentence are treated as roots.
     """
-    checkpoint_dir(tokens.sparkSession)
-    state = tokens.select(*SENTENCE, F.col("id").alias("node"), F.col("head").alias("anc"),
-                          F.lit(1).cast("bigint").alias("dist"))
-    state = state.checkpoint(eager=True)
-    for _ in range(max_rounds):
-        if state.filter(F.col("anc") != 0).limit(1).count() == 0:
-            break
-        look = state.select(*SENTENCE, F.col("node").alias("anc"), F.col("anc").alias("anc2"),
-                            F.col("dist").alias("dist2"))
-        nxt = state.join(look, on=[*SENTENCE, "anc"], how="left")
-        done = F.col("anc") == 0
-        state = nxt.select(
-            *SENTENCE, "node",
-            F.when(done | F.col("anc2").isNull(), F.lit(0)).otherwise(F.col("anc2")).alias("anc"),
-            F.when(done | F.col("dist2").isNull(), F.col("dist")).otherwise(F.col("dist") + F.col("dist2")).alias("dist"),
-        ).checkpoint(eager=True)
-    return state.groupBy(*SENTENCE).agg(F.max("dist").alias("depth"))
+    if max_len is None:
+        max_len = tokens.agg(F.max("id")).first()[0] or 1
+    steps = max(1, int(max_len).bit_length()) + 1
+    per = tokens.groupBy(*SENTENCE).agg(F.array_sort(F.collect_list(F.struct("id", "head"))).alias("t"))
+    ids = F.transform("t", lambda x: x["id"])
+    index_of = F.map_from_arrays(ids, F.sequence(F.lit(1), F.size(ids)))
+    cur = per.select(
+        *SENTENCE,
+        F.transform("t", lambda x: F.when(x["head"] == 0, F.lit(0)).otherwise(
+            F.coalesce(F.try_element_at(index_of, x["head"]), F.lit(0)))).alias("anc0"),
+        F.transform("t", lambda x: F.lit(1)).alias("dist0"))
+    # Fresh names per step: the new arrays must not shadow the old ones that
+    # the same projection still reads.
+    for k in range(steps):
+        anc, dist = F.col(f"anc{k}"), F.col(f"dist{k}")
+        cur = cur.select(
+            *SENTENCE,
+            F.transform(anc, lambda a: F.when(a == 0, F.lit(0)).otherwise(F.element_at(anc, a))).alias(f"anc{k + 1}"),
+            F.transform(dist, lambda d, j: F.when(F.element_at(anc, j + 1) == 0, d).otherwise(
+                d + F.element_at(dist, F.element_at(anc, j + 1)))).alias(f"dist{k + 1}"))
+    resolved = F.transform(F.arrays_zip(F.col(f"anc{steps}").alias("anc"), F.col(f"dist{steps}").alias("dist")),
+                           lambda x: F.when(x["anc"] == 0, x["dist"]))
+    return cur.select(*SENTENCE, F.array_max(resolved).cast("bigint").alias("depth"))
 
 
 # --- attributed graphs (events) ---------------------------------------------
