@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.operators.links import assign_ids
-from corpusflow.session import checkpoint_dir
+from corpusflow.session import checkpoint_dir, ship_package
 
 SENTENCE = ["article_id", "sent_id"]
 
@@ -133,40 +133,59 @@ def grouped_trees(matches: DataFrame, k: int) -> DataFrame:
     return cur.select(*SENTENCE, "id_1", F.col("node").alias("tree"))
 
 
-def tree_depth(tokens: DataFrame, max_len: int | None = None) -> DataFrame:
+def _batch_tree_depth(ids, heads):
+    """Depth of every sentence in an Arrow batch.
+
+    ``ids`` / ``heads`` hold each sentence's token ids (ascending) and heads.
+    Heads are turned into global positions with one ``searchsorted`` over
+    (sentence, id) keys (a head that names no token of the sentence counts as
+    the root); pointer jumping then runs over the whole batch at once with
+    numpy fancy indexing, at most ceil(log2(longest sentence)) + 1 steps.
+    """
+    import numpy as np
+    import pandas as pd
+    lens = ids.map(len).to_numpy(dtype=np.int64)
+    if len(lens) == 0 or lens.sum() == 0:
+        return pd.Series([None] * len(lens), dtype="Int64")
+    fid = np.concatenate([np.asarray(x, dtype=np.int64) for x in ids])
+    fhead = np.concatenate([np.asarray(x, dtype=np.int64) for x in heads])
+    sent = np.repeat(np.arange(len(lens), dtype=np.int64), lens)
+    width = int(max(fid.max(), fhead.max(), 0)) + 1
+    key = sent * width + fid
+    hkey = sent * width + np.clip(fhead, 0, None)
+    pos = np.minimum(np.searchsorted(key, hkey), len(key) - 1)
+    anc = np.where((fhead > 0) & (key[pos] == hkey), pos, -1)
+    dist = np.ones(len(fid), dtype=np.int64)
+    for _ in range(int(lens.max()).bit_length() + 1):
+        has = anc >= 0
+        if not has.any():
+            break
+        idx = anc[has]
+        new_dist = dist.copy()
+        new_dist[has] = dist[has] + dist[idx]
+        new_anc = anc.copy()
+        new_anc[has] = anc[idx]
+        dist, anc = new_dist, new_anc
+    out = np.full(len(lens), -1, dtype=np.int64)
+    done = anc < 0
+    np.maximum.at(out, sent[done], dist[done])
+    return pd.Series(out).where(out > 0).astype("Int64")
+
+
+def tree_depth(tokens: DataFrame) -> DataFrame:
     """Depth (nodes on the longest root-to-leaf path) of every sentence.
 
-    One shuffle groups each sentence's ``(id, head)`` pairs (the collect is
-    bounded by one sentence); pointer jumping then runs inside the arrays with
-    JVM higher-order functions: every step replaces each node's ancestor by
-    the ancestor's ancestor and adds up distances, so ceil(log2(length)) + 1
-    steps resolve any tree.  The step count comes from the longest sentence
-    (one scalar aggregate).  Nodes on a head cycle never reach the root and
-    do not count; heads pointing outside the sentence are treated as roots.
+    One shuffle groups each sentence's tokens sorted by id (the collect is
+    bounded by one sentence); an Arrow-batched pandas UDF resolves heads to
+    positions and runs pointer jumping over whole batches of sentences with
+    numpy (higher-order SQL functions are interpreted per element, and map
+    lookups scan linearly, so the vectorised form is used here).  Nodes on a
+    head cycle never reach the root and do not count.
     """
-    if max_len is None:
-        max_len = tokens.agg(F.max("id")).first()[0] or 1
-    steps = max(1, int(max_len).bit_length()) + 1
+    ship_package(tokens.sparkSession)
     per = tokens.groupBy(*SENTENCE).agg(F.array_sort(F.collect_list(F.struct("id", "head"))).alias("t"))
-    ids = F.transform("t", lambda x: x["id"])
-    index_of = F.map_from_arrays(ids, F.sequence(F.lit(1), F.size(ids)))
-    cur = per.select(
-        *SENTENCE,
-        F.transform("t", lambda x: F.when(x["head"] == 0, F.lit(0)).otherwise(
-            F.coalesce(F.try_element_at(index_of, x["head"]), F.lit(0)))).alias("anc0"),
-        F.transform("t", lambda x: F.lit(1)).alias("dist0"))
-    # Fresh names per step: the new arrays must not shadow the old ones that
-    # the same projection still reads.
-    for k in range(steps):
-        anc, dist = F.col(f"anc{k}"), F.col(f"dist{k}")
-        cur = cur.select(
-            *SENTENCE,
-            F.transform(anc, lambda a: F.when(a == 0, F.lit(0)).otherwise(F.element_at(anc, a))).alias(f"anc{k + 1}"),
-            F.transform(dist, lambda d, j: F.when(F.element_at(anc, j + 1) == 0, d).otherwise(
-                d + F.element_at(dist, F.element_at(anc, j + 1)))).alias(f"dist{k + 1}"))
-    resolved = F.transform(F.arrays_zip(F.col(f"anc{steps}").alias("anc"), F.col(f"dist{steps}").alias("dist")),
-                           lambda x: F.when(x["anc"] == 0, x["dist"]))
-    return cur.select(*SENTENCE, F.array_max(resolved).cast("bigint").alias("depth"))
+    depth = F.pandas_udf(_batch_tree_depth, "bigint")
+    return per.select(*SENTENCE, depth(F.col("t.id"), F.col("t.head")).alias("depth"))
 
 
 # --- attributed graphs (events) ---------------------------------------------

@@ -100,3 +100,12 @@ def test_sequence_edges_match_window(spark):
     exp = ev.select("user_id", F.col("event_id").alias("src"), F.lead("event_id").over(w).alias("dst")) \
         .filter(F.col("dst").isNotNull())
     assert sorted(map(tuple, got.select("user_id", "src", "dst").collect())) == sorted(map(tuple, exp.collect()))
+
+
+def test_tree_depth_cycles_and_bad_heads(spark):
+    rows = [(1, 0, 1, 0), (1, 0, 2, 1), (1, 0, 3, 4), (1, 0, 4, 3),      # chain of 2 + a 2-cycle
+            (1, 1, 1, 99), (1, 1, 2, 1), (1, 1, 3, 2),                   # head outside -> root
+            (2, 0, 1, 2), (2, 0, 2, 1)]                                  # only a cycle
+    t = spark.createDataFrame(rows, "article_id bigint, sent_id int, id int, head int")
+    got = {(r.article_id, r.sent_id): r.depth for r in G.tree_depth(t).collect()}
+    assert got == {(1, 0): 2, (1, 1): 3, (2, 0): None}
