@@ -126,6 +126,7 @@ def assign_ids(df: DataFrame, order: list[str], id_col: str = "article_id",
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = list(dict.fromkeys(order))
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = ranged.withColumn("_part", F.shiftright("_mid", 33)).withColumn(
