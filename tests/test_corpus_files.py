@@ -88,3 +88,16 @@ def test_conllu_files(spark):
     with pytest.raises(Exception, match="EmptyFile"):
         read_conllu_files(spark, d).collect()
     assert read_conllu_files(spark, d, strict=False).count() == 2
+
+
+def test_write_cleaned_and_artifact_names(spark):
+    from corpusflow.functions import paths as P
+    from corpusflow.functions.text import clean_text
+    out = tempfile.mkdtemp(prefix="clean-")
+    arts = spark.createDataFrame([(1, "Привет, Мир!")], "article_id bigint, text string")
+    K.write_cleaned(arts.select("article_id", clean_text("text").alias("cleaned")), os.path.join(out, "c"))
+    assert spark.read.parquet(os.path.join(out, "c")).first().cleaned == "привет мир"
+    names = arts.select(*[P.artifact_name(F.col("article_id"), F.lit(k)).alias(k) for k in P.ARTIFACT_SUFFIX]).first()
+    assert tuple(names) == ("1_raw.txt", "1_meta.json", "1_cleaned.txt", "1_udpipe.conllu")
+    with pytest.raises(Exception, match="unknown artifact kind"):
+        arts.select(P.artifact_name(F.col("article_id"), F.lit("image"))).collect()
