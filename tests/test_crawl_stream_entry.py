@@ -101,3 +101,13 @@ def test_bfs_levels_chain_and_cycle(spark):
     sd = spark.createDataFrame([("c0",)], "url string")
     got = {r.url: r.depth for r in C.bfs_levels(links, sd).collect()}
     assert got == bfs(edges, ["c0"])
+
+
+def test_stream_within_watermark(spark):
+    from corpusflow.streaming.new_urls import run_new_urls
+    src = tempfile.mkdtemp(prefix="pagesw-")
+    pages = spark.createDataFrame([(1, "https://s.ru/", '<a href="/a">a</a><a href="/a">again</a>')],
+                                  "page_id bigint, url string, html string")
+    pages.write.mode("overwrite").parquet(os.path.join(src, "b"))
+    tgt = run_new_urls(spark, os.path.join(src, "b"), within_watermark=True)
+    assert sorted(r.url for r in spark.read.parquet(tgt).collect()) == ["https://s.ru/a"]
