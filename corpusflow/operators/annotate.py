@@ -147,21 +147,35 @@ def token_columns() -> list[str]:
 
 
 def process_corpus(articles: DataFrame, analyzer: str | AnalyzerFactory | None = "rules",
-                   upper: str = T.LATIN_UPPER, lower: str = T.LATIN_LOWER
-                   ) -> tuple[DataFrame, DataFrame | None]:
+                   upper: str = T.LATIN_UPPER, lower: str = T.LATIN_LOWER,
+                   out: str | None = None) -> tuple[DataFrame, DataFrame | None]:
     """U4: clean every article (T1) and, if an analyzer is given, annotate it.
 
     ``analyzer="rules"`` uses the built-in rule annotator (pure SQL); a
     callable factory runs through the U1 slot; ``None`` skips annotation (no
-    token plan is built at all).  Returns ``(cleaned, tokens or None)``.
+    token plan is built at all).  With ``out`` the cleaned texts (K4) and the
+    TOKEN table are written under it and read back, so later stages scan them
+    instead of re-annotating.  Returns ``(cleaned, tokens or None)``.
     """
     cleaned = articles.select("article_id", T.clean_text("text").alias("cleaned"))
     if analyzer is None:
-        return cleaned, None
-    if analyzer == "rules":
+        tokens = None
+    elif analyzer == "rules":
         langs = "lang" if "lang" in articles.columns else None
         keep = ("lang",) if langs else ()
-        return cleaned, annotate_rules(sentences(articles, upper=upper, lower=lower, keep=keep),
-                                       lang_col=langs)
-    from corpusflow.sources.conllu import parse_conllu
-    return cleaned, parse_conllu(annotate_with(articles, analyzer)).select(*TOKEN_COLUMNS)
+        tokens = annotate_rules(sentences(articles, upper=upper, lower=lower, keep=keep), lang_col=langs)
+    else:
+        from corpusflow.sources.conllu import parse_conllu
+        tokens = parse_conllu(annotate_with(articles, analyzer)).select(*TOKEN_COLUMNS)
+    if out is None:
+        return cleaned, tokens
+    import os
+
+    from corpusflow.sinks.files import write_cleaned
+    from corpusflow.sinks.tokens import read_tokens, write_tokens
+    spark = articles.sparkSession
+    write_cleaned(cleaned, os.path.join(out, "cleaned"))
+    if tokens is None:
+        return spark.read.parquet(os.path.join(out, "cleaned")), None
+    write_tokens(tokens, os.path.join(out, "tokens"))
+    return spark.read.parquet(os.path.join(out, "cleaned")), read_tokens(spark, os.path.join(out, "tokens"))

@@ -111,3 +111,14 @@ def test_stream_within_watermark(spark):
     pages.write.mode("overwrite").parquet(os.path.join(src, "b"))
     tgt = run_new_urls(spark, os.path.join(src, "b"), within_watermark=True)
     assert sorted(r.url for r in spark.read.parquet(tgt).collect()) == ["https://s.ru/a"]
+
+
+def test_process_corpus_persists(spark):
+    from corpusflow.operators.annotate import process_corpus
+    arts = spark.createDataFrame([(1, "The cat is on the mat. A dog was here too!", "en")],
+                                 "article_id bigint, text string, lang string")
+    out = os.path.join(tempfile.mkdtemp(prefix="proc-"), "o")
+    cleaned, toks = process_corpus(arts, "rules", out=out)
+    mem_c, mem_t = process_corpus(arts, "rules")
+    assert cleaned.first().cleaned == mem_c.first().cleaned
+    assert sorted(map(tuple, toks.collect())) == sorted(map(tuple, mem_t.collect()))

@@ -42,3 +42,20 @@ def test_rule_annotator_has_no_python(spark):
     p = plan(doc_tokens(spark, SF))
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p and "MapInPandas" not in p
     assert "BroadcastHashJoin" in p  # the fixed lexicon
+
+
+def test_token_table_roundtrip_and_pushdown(spark):
+    import os
+    import tempfile
+
+    from corpusflow.sinks.tokens import read_tokens, write_tokens
+    toks = doc_tokens(spark, SF)
+    path = os.path.join(tempfile.mkdtemp(prefix="tokens-"), "t")
+    write_tokens(toks, path, buckets=4)
+    back = read_tokens(spark, path, upos=["VERB", "NOUN", "ADP"])
+    assert "PushedFilters: [In(upos" in plan(back) or "In(upos," in plan(back)
+    want = toks.filter("upos IN ('VERB', 'NOUN', 'ADP')")
+    assert back.count() == want.count()
+    m1 = sorted(map(tuple, G.match_tree_path(back, ["VERB", "NOUN", "ADP"]).collect()))
+    m2 = sorted(map(tuple, G.match_tree_path(toks, ["VERB", "NOUN", "ADP"]).collect()))
+    assert m1 == m2
