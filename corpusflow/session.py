@@ -85,31 +85,49 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df
 
 
-_ZIP_PATH: list[str] = []
+_ZIP_BYTES: list[bytes] = []
 _SHIPPED_TO: set[int] = set()
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Make ``corpusflow`` importable in the Python workers of every executor.
-
-    Functions run by ``mapInPandas`` refer to corpusflow modules; the package
-    is zipped once per driver process and distributed with ``addPyFile``.
-    """
+def _package_zip() -> bytes:
+    import io
     import zipfile
 
-    sc = spark.sparkContext
-    if id(sc) in _SHIPPED_TO:
-        return
-    if not _ZIP_PATH:
+    if not _ZIP_BYTES:
         pkg = os.path.dirname(os.path.abspath(__file__))
         root = os.path.dirname(pkg)
-        path = os.path.join(tempfile.mkdtemp(prefix="corpusflow-py-"), "corpusflow.zip")
-        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
             for folder, _, files in os.walk(pkg):
                 for name in files:
                     if name.endswith(".py"):
                         full = os.path.join(folder, name)
                         z.write(full, os.path.relpath(full, root))
-        _ZIP_PATH.append(path)
-    sc.addPyFile(_ZIP_PATH[0])
+        _ZIP_BYTES.append(buf.getvalue())
+    return _ZIP_BYTES[0]
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``corpusflow`` importable in the Python workers of every executor.
+
+    Functions run by ``mapInPandas`` / pandas UDFs refer to corpusflow
+    modules.  The package is zipped in memory, written once per session to the
+    shared checkpoint folder through the Hadoop file system, and distributed
+    with ``addPyFile``.
+    """
+    import uuid
+
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED_TO:
+        return
+    jvm = sc._jvm
+    target = jvm.org.apache.hadoop.fs.Path(
+        checkpoint_dir(spark).rstrip("/") + f"/pyfiles-{uuid.uuid4().hex}/corpusflow.zip")
+    fs = target.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(target, True)
+    try:
+        out.write(bytearray(_package_zip()))
+    finally:
+        out.close()
+    sc.addPyFile(target.toString())
     _SHIPPED_TO.add(id(sc))
