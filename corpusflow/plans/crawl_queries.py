@@ -7,7 +7,6 @@ its host; seeds are the first page of each host.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from corpusflow.operators import crawl as C
 from corpusflow.plans.registry import register

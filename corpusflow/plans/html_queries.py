@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions import html as H
 from corpusflow.functions import text as T
-from corpusflow.functions.dates import date_to_text
 from corpusflow.operators import html as HP
 from corpusflow.operators.links import NON_CONTENT_REGEX
 from corpusflow.plans.registry import register

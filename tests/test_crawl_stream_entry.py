@@ -2,7 +2,6 @@ import os
 import tempfile
 from collections import deque
 
-from pyspark.sql import functions as F
 
 from corpusflow.operators import crawl as C
 
