@@ -214,15 +214,17 @@ def sequence_edges(df: DataFrame, group: str, order: list[str], node: str,
 
 def match_pattern(nodes: DataFrame, edges: DataFrame, node_labels: dict[str, str],
                   pattern_edges: Sequence[tuple[str, str, str | None]], graph_cols: Sequence[str] = (),
-                  node_match: Callable[[Column, str], Column] | None = None,
+                  node_match: Callable[[str], Column] | None = None,
                   induced: bool = False) -> DataFrame:
     """All matches of a small pattern graph (labelled nodes, optional
     edge labels) -> one row per match, one column per pattern variable.
 
     Joins follow the pattern edges from the first variable; each new variable
     is joined through an edge on its bound neighbour and then filtered by its
-    node predicate.  Distinct variables map to distinct nodes.  ``induced``
-    also forbids data edges between matched nodes that the pattern lacks.
+    node predicate: the label, and ``node_match(var)`` (U7) if given, a
+    predicate over the node row's columns (e.g. other attributes).  Distinct
+    variables map to distinct nodes.  ``induced`` also forbids data edges
+    between matched nodes that the pattern lacks.
     """
     g = list(graph_cols)
     variables = list(node_labels)
@@ -230,7 +232,7 @@ def match_pattern(nodes: DataFrame, edges: DataFrame, node_labels: dict[str, str
     def node_rows(var: str) -> DataFrame:
         cond = F.col("label") == node_labels[var]
         if node_match is not None:
-            cond = cond & node_match(F.col("label"), var)
+            cond = cond & node_match(var)
         return nodes.filter(cond).select(*g, F.col("node_id").alias(var))
 
     def edge_rows(a: str, b: str, lab: str | None) -> DataFrame:

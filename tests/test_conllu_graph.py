@@ -109,3 +109,25 @@ def test_tree_depth_cycles_and_bad_heads(spark):
     t = spark.createDataFrame(rows, "article_id bigint, sent_id int, id int, head int")
     got = {(r.article_id, r.sent_id): r.depth for r in G.tree_depth(t).collect()}
     assert got == {(1, 0): 2, (1, 1): 3, (2, 0): None}
+
+
+def test_pattern_node_match_and_induced(spark):
+    people = [("Оля", "blue", 56), ("Петя", "brown", 60), ("Юля", "brown", 36), ("Никита", "blue", 35),
+              ("Костя", "blue", 10)]
+    nodes = spark.createDataFrame(people, "node_id string, label string, age int")
+    edges = spark.createDataFrame([("Оля", "Юля", "mother"), ("Петя", "Юля", "father"),
+                                   ("Юля", "Костя", "mother"), ("Никита", "Костя", "father")],
+                                  "src string, dst string, label string")
+    pat = {"grandparent": "blue", "parent": "brown", "child": "blue"}
+    chain = [("grandparent", "parent", None), ("parent", "child", None)]
+
+    def older_than(n):
+        return lambda var: (F.col("age") > n) if var == "grandparent" else F.lit(True)
+
+    assert G.match_pattern(nodes, edges, pat, chain, node_match=older_than(50)).count() == 1
+    assert G.match_pattern(nodes, edges, pat, chain, node_match=older_than(60)).count() == 0
+    assert G.match_pattern(nodes, edges, pat, chain, induced=True).count() == 1
+    mothers = [("grandparent", "parent", "mother"), ("parent", "child", "mother")]
+    assert G.match_pattern(nodes, edges, pat, mothers).count() == 1
+    fathers = [("grandparent", "parent", "father"), ("parent", "child", None)]
+    assert G.match_pattern(nodes, edges, pat, fathers).count() == 0
