@@ -45,3 +45,17 @@ SELECT DISTINCT url FROM links""")
 def q_stream_new_urls(spark, sf):
     target = run_new_urls(spark, sf, glob="pages.parquet")
     return spark.read.parquet(target).select("url")
+
+
+@register("crawl_resumable", "WITH RECURSIVE " + _CHAIN_SQL.lstrip() + """
+, bfs(url, depth) AS (
+  SELECT url, 0 FROM seeds
+  UNION
+  SELECT c.dst, b.depth + 1 FROM bfs b JOIN chain c ON c.src = b.url
+)
+SELECT url, CAST(min(depth) AS INTEGER) AS depth FROM bfs GROUP BY url""")
+def q_crawl_resumable(spark, sf):
+    # C2/C3 as the crawler runs it: frontier rounds with committed state
+    # tables (resumable, can stop once enough URLs are known).
+    pages = load_table(spark, sf, "pages")
+    return C.crawl_levels(C.host_chain_links(pages), C.host_seeds(pages))
