@@ -116,6 +116,23 @@ def annotate_documents(docs: DataFrame, upper: str = T.LATIN_UPPER,
 
 AnalyzerFactory = Callable[[], Callable[[list[str]], list[str]]]
 
+# Analyzers loaded in this Python worker, keyed by factory name.
+_ANALYZERS: dict[tuple[str, str], Callable[[list[str]], list[str]]] = {}
+
+
+def _loaded_analyzer(key, factory):
+    """The worker's analyzer for ``key``, loading it on first use.
+
+    A module-level function is pickled by reference, so on an executor it
+    reads this module's own cache: Python workers are reused across tasks,
+    hence the model is loaded once per worker process, not once per task.
+    """
+    fn = _ANALYZERS.get(key)
+    if fn is None:
+        fn = factory()
+        _ANALYZERS[key] = fn
+    return fn
+
 
 def annotate_with(articles: DataFrame, analyzer_factory: AnalyzerFactory,
                   text_col: str = "text", id_col: str = "article_id") -> DataFrame:
@@ -126,13 +143,11 @@ def annotate_with(articles: DataFrame, analyzer_factory: AnalyzerFactory,
     Output: ``(article_id, conllu)``; parse it with ``sources.conllu.parse_conllu``.
     Arrow batches bound the memory of each call.
     """
-    state: dict[str, object] = {}
+    key = (getattr(analyzer_factory, "__module__", ""),
+           getattr(analyzer_factory, "__qualname__", repr(analyzer_factory)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        analyze = state.get("fn")
-        if analyze is None:
-            analyze = analyzer_factory()
-            state["fn"] = analyze
+        analyze = _loaded_analyzer(key, analyzer_factory)
         for pdf in batches:
             out = analyze(pdf[text_col].fillna("").tolist())
             yield pd.DataFrame({"article_id": pdf[id_col].astype("int64"), "conllu": out})
