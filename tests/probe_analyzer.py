@@ -3,7 +3,7 @@
 import os
 
 
-def probe_factory():
-    with open(os.environ["CORPUSFLOW_PROBE_LOG"], "a") as f:
+def probe_factory(log):
+    with open(log, "a") as f:
         f.write(f"{os.getpid()}\n")
     return lambda texts: ["# sent_id = 1\n# text = x\n1\tx\tx\tX\t_\t_\t0\troot\t_\t_\n\n" for _ in texts]
