@@ -97,8 +97,11 @@ def find_articles(pages: DataFrame, seeds: DataFrame | None = None, cap: int | N
     arts = links.filter(F.col("kind") == "article").select("url", "seed_order", "pos")
     if url_pattern is not None:
         arts = arts.filter(F.col("url").rlike(url_pattern))
-    arts = arts.join(seeds.select("url"), on="url", how="left_anti")
+    # First sighting before the seed anti join: the aggregate absorbs a URL
+    # linked from many pages (partial aggregation), so the join sees each URL
+    # once.  Removing seeds is by URL, so the order of the two does not matter.
     firsts = first_seen(arts, "url", ["seed_order", "pos"])
+    firsts = firsts.join(seeds.select("url"), on="url", how="left_anti")
     if cap is not None:
         firsts = firsts.orderBy("seed_order", "pos").limit(cap)
     return firsts
