@@ -24,7 +24,9 @@ from corpusflow.session import checkpoint_dir
 
 def page_stream(spark: SparkSession, source_dir: str, glob: str = "*.parquet",
                 max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(PAGE).option("pathGlobFilter", glob)
+    # Batches may land as sub-folders (one per writer job): look inside them.
+    reader = (spark.readStream.schema(PAGE).option("pathGlobFilter", glob)
+              .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.parquet(source_dir)

@@ -121,3 +121,20 @@ def test_process_corpus_persists(spark):
     mem_c, mem_t = process_corpus(arts, "rules")
     assert cleaned.first().cleaned == mem_c.first().cleaned
     assert sorted(map(tuple, toks.collect())) == sorted(map(tuple, mem_t.collect()))
+
+
+def test_stream_incremental_arrivals(spark):
+    from corpusflow.streaming.new_urls import run_new_urls
+    src = tempfile.mkdtemp(prefix="pagesi-")
+    schema = "page_id bigint, url string, html string"
+    spark.createDataFrame([(1, "https://s.ru/", '<a href="/a">a</a><a href="/b">b</a>')], schema) \
+        .write.parquet(os.path.join(src, "f1"))
+    ck = os.path.join(tempfile.mkdtemp(prefix="cki-"), "c")
+    tgt = os.path.join(tempfile.mkdtemp(prefix="tgti-"), "t")
+    run_new_urls(spark, src, target=tgt, checkpoint=ck, glob="*.parquet")
+    # a new file arrives: one URL already known, one new
+    spark.createDataFrame([(2, "https://s.ru/x", '<a href="/b">b</a><a href="/c">c</a>')], schema) \
+        .write.parquet(os.path.join(src, "f2"))
+    run_new_urls(spark, src, target=tgt, checkpoint=ck, glob="*.parquet")
+    got = [r.url for r in spark.read.parquet(tgt).collect()]
+    assert sorted(got) == ["https://s.ru/a", "https://s.ru/b", "https://s.ru/c"]
