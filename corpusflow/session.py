@@ -86,7 +86,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
 
 _ZIP_BYTES: list[bytes] = []
-_SHIPPED_TO: set[int] = set()
+_SHIPPED_TO: set[str] = set()
 
 
 def _package_zip() -> bytes:
@@ -118,7 +118,8 @@ def ship_package(spark: SparkSession) -> None:
     import uuid
 
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED_TO:
+    app = sc.applicationId
+    if app in _SHIPPED_TO:
         return
     jvm = sc._jvm
     target = jvm.org.apache.hadoop.fs.Path(
@@ -130,4 +131,4 @@ def ship_package(spark: SparkSession) -> None:
     finally:
         out.close()
     sc.addPyFile(target.toString())
-    _SHIPPED_TO.add(id(sc))
+    _SHIPPED_TO.add(app)
