@@ -168,3 +168,18 @@ def q_meta_page_checks(spark, sf):
         F.col("author") == F.array(F.lit("NOT FOUND")))
     return j.select("page_id", "url", T.title_in_html(F.col("title"), F.col("html")).alias("title_found"),
                     author_ok.alias("author_ok"), (F.col("text") != "").alias("has_text"))
+
+
+@register("article_records", "WITH " + _TEXT_CTE.lstrip() + f"""
+SELECT CAST(row_number() OVER (ORDER BY p.page_id) AS BIGINT) AS article_id, p.url, {_TITLE_SQL} AS title,
+       CAST(to_json({_AUTHORS_SQL}) AS VARCHAR) AS author, t.text
+FROM pages p JOIN page_text t ON t.page_id = p.page_id
+WHERE p.html IS NOT NULL AND p.html <> ''""")
+def q_article_records(spark, sf):
+    # E1 tail: parse every fetched page (P16), then number the articles 1..N
+    # in discovery order (W1) without a single-partition window.
+    from corpusflow.operators.links import assign_ids
+    p = pages(spark, sf).filter(F.col("html").isNotNull() & (F.col("html") != ""))
+    parsed = HP.parse_pages(p, article_classes=None)
+    arts = assign_ids(parsed, ["page_id"])
+    return arts.select("article_id", "url", "title", F.to_json("author").alias("author"), "text")
