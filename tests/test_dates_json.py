@@ -37,3 +37,18 @@ def test_json_fields(spark):
     m = F.from_json("p", "map<string,string>")
     r = df.select(F.array_join(F.map_keys(m), ","), F.get_json_object("p", "$.k")).first()
     assert tuple(r) == ("k,b", "69")
+
+
+def test_date_queries_do_not_depend_on_session_time_zone(spark):
+    import __spark_entry__ as E
+    sf = "/root/testdata/sf0.001"
+    keys = ["parse_meta_date", "unify_date", "date_functions"]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        res = {}
+        for tz in ["UTC", "America/New_York", "Asia/Kathmandu"]:
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            res[tz] = {k: sorted(map(tuple, E.queries()[k](spark, sf).collect())) for k in keys}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert res["America/New_York"] == res["UTC"] == res["Asia/Kathmandu"]
