@@ -1,4 +1,4 @@
-"""Queries of the deduplicating operators (7, 8)."""
+"""Queries of the deduplicating and fingerprinting operators (3, 7, 8, 10)."""
 
 from __future__ import annotations
 
@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.llm.common import documents
+from corpusflow.llm.line_dedup import MIN_PAGES, RATIO, line_dedup
 from corpusflow.llm.ngram_join import Threshold, jaccard_join
+from corpusflow.llm.order_minhash import order_minhash
 from corpusflow.llm.phrase_automata import substring_dedup
 from corpusflow.llm.registry import register
 
@@ -15,7 +17,7 @@ _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _JOIN_SQL = f"""
 WITH RECURSIVE w AS (
     SELECT doc_id, list_transform({_WORDS},
-                                  x -> translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS ws
+                                  lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS ws
     FROM documents),
 s AS MATERIALIZED (
     SELECT DISTINCT doc_id, md5(array_to_string(ws[i:i + 2], ' ')) AS g
@@ -66,3 +68,34 @@ def op8_repeated_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the words under 20-word windows that also start earlier."""
     return substring_dedup(documents(spark, sf_dir), width=20).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_LINES_SQL = f"""
+WITH l AS (
+    SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+k AS (SELECT *, trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS key FROM l),
+total AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+bad AS (SELECT source, key FROM k JOIN total USING (source) WHERE key <> '' GROUP BY source, key, n
+        HAVING count(DISTINCT doc_id) >= {MIN_PAGES} AND count(DISTINCT doc_id) > {RATIO} * n),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS n FROM k ANTI JOIN bad USING (source, key) GROUP BY doc_id),
+every AS (SELECT doc_id, count(*) AS n FROM l GROUP BY doc_id)
+SELECT doc_id, every.n::BIGINT AS n_lines, length(coalesce(kept.text, ''))::BIGINT AS n_chars, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM every LEFT JOIN kept USING (doc_id)
+"""
+
+
+@register("op10_site_line_dedup", _LINES_SQL)
+def op10_site_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that are boilerplate of their source."""
+    docs = documents(spark, sf_dir)
+    before = docs.withColumn("n_lines", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long"))
+    kept = F.coalesce("text", F.lit(""))
+    return line_dedup(before).select("doc_id", "n_lines", F.length(kept).cast("long").alias("n_chars"),
+                                     F.sha2(kept, 256).alias("kept_sha256"))
+
+
+@register("op3_order_minhash")
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, and how near they are."""
+    return order_minhash(documents(spark, sf_dir))
