@@ -299,7 +299,8 @@ def jaccard_join(docs: DataFrame, k: int = 5, limit: Threshold = Threshold(80, 1
     dealt = group.join(size, "comp").select(
         F.col("rep").alias("doc_id"), "comp",
         F.pmod(F.xxhash64("rep"), F.col("nblocks")).cast("int").alias("block"), "nblocks", "copies")
-    grams = docs.join(dealt, "doc_id").select("doc_id", "text", "comp", "block", "nblocks", "copies") \
+    # one plan at every size: the members grow with the corpus, so they are not broadcast even while they are few
+    grams = docs.join(dealt.hint("merge"), "doc_id").select("doc_id", "text", "comp", "block", "nblocks", "copies") \
         .mapInArrow(_with_grams(k), "comp long, i int, j int, block int, doc_id long, copies long, grams binary")
     found = staged(grams.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j")
                    .mapInArrow(_verify(limit), "u long, v long, links long"), "join-links")
