@@ -52,9 +52,15 @@ def unify_date(text: Column) -> Column:
     return F.when(ok, _to_ntz(F.regexp_replace(F.substring(text, 1, 19), "T", " ")))
 
 
+def site_date(text: Column, fmt: str) -> Column:
+    """A date in a site's own format -> TIMESTAMP_NTZ; what doesn't parse gives null."""
+    return F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")
+
+
 def unify_date_instant(text: Column) -> Column:
     """X4, instant variant: the offset applied (a TIMESTAMP)."""
-    return F.try_to_timestamp(text, F.lit(ISO_OFFSET_FORMAT))
+    with_colon = F.regexp_replace(text, r"([+-]\d\d)(\d\d)$", "$1:$2")
+    return F.try_to_timestamp(with_colon, F.lit(ISO_OFFSET_FORMAT))
 
 
 def custom_format(ts: Column) -> Column:

@@ -9,11 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusflow.functions.text import unescape_basic
+from corpusflow.functions.text import unescape_html
 from corpusflow.operators.links import visible_html
 
 TITLE_REGEX = r"(?is)<title[^>]*>(.*?)</title>"
-META_TAG_REGEX = r"(?is)<meta\b[^>]*>"
+META_TAG_REGEX = r"""(?is)<meta\b(?:[^>"']|"[^"]*"|'[^']*')*+>"""
 CONTENT_ATTR_REGEX = r"""(?is)\bcontent\s*=\s*(?:"([^"]*)"|'([^']*)')"""
 
 
@@ -24,14 +24,14 @@ def _attr_is(tag: Column, attr: str, value: str) -> Column:
 
 def page_title(html: Column) -> Column:
     """Text of the first ``<title>``, unstripped, entities unescaped; "" if none."""
-    return unescape_basic(F.regexp_extract(visible_html(html), TITLE_REGEX, 1))
+    return unescape_html(F.regexp_extract(visible_html(html), TITLE_REGEX, 1))
 
 
 def meta_contents(html: Column, attr: str, value: str) -> Column:
     """``content`` of every ``<meta attr="value">`` in document order."""
-    tags = F.filter(F.regexp_extract_all(html, F.lit(META_TAG_REGEX), 0),
+    tags = F.filter(F.regexp_extract_all(visible_html(html), F.lit(META_TAG_REGEX), 0),
                     lambda t: _attr_is(t, attr, value))
-    return F.transform(tags, lambda t: unescape_basic(F.concat(
+    return F.transform(tags, lambda t: unescape_html(F.concat(
         F.regexp_extract(t, CONTENT_ATTR_REGEX, 1), F.regexp_extract(t, CONTENT_ATTR_REGEX, 2))))
 
 

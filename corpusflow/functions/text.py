@@ -6,6 +6,8 @@ whole-stage code generation on the executors.
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ LATIN_UPPER, LATIN_LOWER = "A-ZÀ-ÖØ-Þ", "a-zß-öø-ÿ"
 
 # Title normalisation markers: no-break / space entities and whitespace.
 TITLE_SPLIT_MARKERS = (
-    r"&nbsp;|&#160;|&#32;|&#9248;|&#xA0;|&#x20;|&#x2420;|&#x2423;|&#9251;|[ \t\n\x0B\f\r]"
+    r"(?U)&nbsp;|&#160;|&#32;|&#9248;|&#xA0;|&#x20;|&#x2420;|&#x2423;|&#9251;|\s"
 )
 # ---------------------------------------------------------------------------
 
@@ -120,15 +122,41 @@ def title_in_html(title: Column | str, html: Column | str) -> Column:
     return F.contains(h2, t2)
 
 
-# Entities unescaped in titles and extracted HTML text.  ``&amp;`` goes last so
-# that an escaped entity such as ``&amp;quot;`` is not unescaped twice.
-HTML_ENTITIES = [("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"),
-                 ("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"),
-                 ("&#39;", "'"), ("&amp;", "&")]
-
-
-def unescape_basic(c: Column) -> Column:
-    """Unescape the common named entities (``&amp;`` last)."""
-    for ent, ch in HTML_ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+# Named entities with their semicolon, and those that HTML also knows without one.
+_NAMED = {k: v for k, v in html5.items() if k.endswith(";")}
+_BARE = {k: v for k, v in html5.items() if not k.endswith(";")}
+# Numbers 0x80-0x9f stand for the Windows-1252 characters (undefined ones stay).
+_WINDOWS = {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
+_ENTITY = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)|[^&]+|&"
+
+
+def _number(digits: Column, base: int) -> Column:
+    """Character of a numeric reference."""
+    n = F.conv(F.when(F.length(F.ltrim(digits, F.lit("0"))) > 8, "99999999").otherwise(digits), base, 10).cast("bigint")
+    windows = F.create_map(*[F.lit(x) for pair in _WINDOWS.items() for x in pair])
+    invalid = ((n == 0) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF))
+    gone = (n.between(1, 8) | (n == 0xB) | n.between(0xE, 0x1F) | (n == 0x7F) | n.between(0xFDD0, 0xFDEF)
+            | (n.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE))
+    char = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    return (F.when(n == 13, "\r").when(invalid, "\ufffd").when(n.between(0x80, 0x9F), F.try_element_at(windows, n.cast("int")))
+            .when(gone, "").otherwise(char))
+
+
+def _entity(token: Column) -> Column:
+    """One token of ``_ENTITY``: an entity's text, or the token itself."""
+    named = F.create_map(*[F.lit(x) for k, v in _NAMED.items() for x in ("&" + k, v)])
+    bare = F.array(*[F.struct(F.lit(len(k) + 1).alias("n"), F.lit("&" + k).alias("k"), F.lit(v).alias("v"))
+                     for k, v in _BARE.items()])
+    body = F.rtrim(token, F.lit(";"))
+    longest = F.array_max(F.filter(bare, lambda b: token.startswith(b["k"])))
+    legacy = F.when(longest.isNotNull(), F.concat(longest["v"], token.substr(longest["n"] + 1, F.length(token)))).otherwise(token)
+    return (F.when(token.rlike("^&#[xX]"), _number(body.substr(F.lit(4), F.length(body)), 16))
+            .when(token.startswith("&#"), _number(body.substr(F.lit(3), F.length(body)), 10))
+            .when(token.startswith("&"), F.coalesce(F.try_element_at(named, token), legacy))
+            .otherwise(token))
+
+
+def unescape_html(c: Column) -> Column:
+    """Every named and numeric entity resolved once, as HTML parsers do."""
+    return F.when(c.contains("&"), F.array_join(
+        F.transform(F.regexp_extract_all(c, F.lit(_ENTITY), F.lit(0)), _entity), "")).otherwise(c)

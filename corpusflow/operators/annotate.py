@@ -3,9 +3,11 @@ analyzer slot (U1) that runs an external CoNLL-U producer in Python workers."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,18 +64,22 @@ def sentences(docs: DataFrame, text_col: str = "text", id_col: str = "article_id
 
 
 def annotate_rules(sents: DataFrame, lang_col: str | None = "lang",
-                   id_col: str = "article_id") -> DataFrame:
+                   id_col: str = "article_id", with_text: bool = False) -> DataFrame:
     """The built-in rule annotator, pure Spark SQL.
 
     Input: sentence rows ``(id_col, sent_id, sentence[, lang])``.
     Output: TOKEN rows.  The only join is with the fixed lexicon, broadcast.
+    ``with_text`` adds ``text``: the sentence on its first token, null on the others.
     """
     spark = sents.sparkSession
     toks = sents.select(
         F.col(id_col).alias("article_id"), "sent_id",
         (F.col(lang_col) if lang_col else F.lit(None).cast("string")).alias("lang"),
+        *["sentence"] * with_text,
         F.posexplode(T.rule_tokens("sentence")).alias("pos", "form"),
     ).withColumn("id", (F.col("pos") + 1).cast("int")).drop("pos")
+    if with_text:
+        toks = toks.withColumn("text", F.when(F.col("id") == 1, F.col("sentence"))).drop("sentence")
     toks = toks.withColumn("form_lc", F.lower("form"))
     lex = F.broadcast(lexicon_df(spark))
     toks = toks.join(lex, on=["lang", "form_lc"], how="left")
@@ -87,6 +93,7 @@ def annotate_rules(sents: DataFrame, lang_col: str | None = "lang",
         F.when(F.col("id") == 1, "ROOT").otherwise("dep").alias("deprel"),
         F.lit("_").alias("deps"),
         F.lit("_").alias("misc"),
+        *["text"] * with_text,
     )
 
 
@@ -106,18 +113,18 @@ def rule_feats(form: Column) -> Column:
 
 
 def annotate_documents(docs: DataFrame, upper: str = T.LATIN_UPPER,
-                       lower: str = T.LATIN_LOWER) -> DataFrame:
+                       lower: str = T.LATIN_LOWER, with_text: bool = False) -> DataFrame:
     """documents -> sentences -> rule tokens (``article_id = doc_id + 1``)."""
     d = docs.select((F.col("doc_id") + 1).alias("article_id"), "text", "lang")
-    return annotate_rules(sentences(d, upper=upper, lower=lower, keep=("lang",)))
+    return annotate_rules(sentences(d, upper=upper, lower=lower, keep=("lang",)), with_text=with_text)
 
 
 # --- U1: pluggable analyzer --------------------------------------------------
 
 AnalyzerFactory = Callable[[], Callable[[list[str]], list[str]]]
 
-# Analyzers loaded in this Python worker, keyed by factory name.
-_ANALYZERS: dict[tuple[str, str], Callable[[list[str]], list[str]]] = {}
+# Analyzers loaded in this Python worker, keyed by a hash of the pickled factory.
+_ANALYZERS: dict[str, Callable[[list[str]], list[str]]] = {}
 
 
 def _loaded_analyzer(key, factory):
@@ -143,8 +150,9 @@ def annotate_with(articles: DataFrame, analyzer_factory: AnalyzerFactory,
     Output: ``(article_id, conllu)``; parse it with ``sources.conllu.parse_conllu``.
     Arrow batches bound the memory of each call.
     """
-    key = (getattr(analyzer_factory, "__module__", ""),
-           getattr(analyzer_factory, "__qualname__", repr(analyzer_factory)))
+    # The cache key is what the factory is, not what it is called: two closures
+    # of one maker have one name but not one pickle.
+    key = hashlib.sha256(cloudpickle.dumps(analyzer_factory)).hexdigest()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         analyze = _loaded_analyzer(key, analyzer_factory)
@@ -157,10 +165,6 @@ def annotate_with(articles: DataFrame, analyzer_factory: AnalyzerFactory,
         run, "article_id bigint, conllu string")
 
 
-def token_columns() -> list[str]:
-    return list(TOKEN_COLUMNS)
-
-
 def process_corpus(articles: DataFrame, analyzer: str | AnalyzerFactory | None = "rules",
                    upper: str = T.LATIN_UPPER, lower: str = T.LATIN_LOWER,
                    out: str | None = None) -> tuple[DataFrame, DataFrame | None]:

@@ -16,11 +16,11 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.session import checkpoint_dir
+from corpusflow.session import checkpoint_dir, scratch_path
 
 
-def _done_levels(spark: SparkSession, visited_root: str) -> list[int]:
-    """Frontier depths whose visited table was committed (``_SUCCESS`` last)."""
+def _done_levels(spark: SparkSession, visited_root: str, prefix: str = "depth=") -> list[int]:
+    """Numbers of the state tables that were committed (``_SUCCESS`` last)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(visited_root)
@@ -30,7 +30,7 @@ def _done_levels(spark: SparkSession, visited_root: str) -> list[int]:
     out = []
     for st in fs.listStatus(path):
         name = st.getPath().getName()
-        if name.startswith("depth=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+        if name.startswith(prefix) and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
             out.append(int(name.split("=")[1]))
     return sorted(out)
 
@@ -62,7 +62,7 @@ def crawl_levels(links: DataFrame, seeds: DataFrame, state_dir: str | None = Non
     """
     spark = links.sparkSession
     if state_dir is None:
-        state_dir = os.path.join(checkpoint_dir(spark), f"crawl-{uuid.uuid4().hex}")
+        state_dir = scratch_path(spark, "crawl")
     links_path = os.path.join(state_dir, "links")
     root = os.path.join(state_dir, "visited")
     levels = _done_levels(spark, root)
@@ -82,11 +82,11 @@ def crawl_levels(links: DataFrame, seeds: DataFrame, state_dir: str | None = Non
         front = visited.filter(F.col("depth") == d).select(F.col("url").alias("src"))
         hops = []
         for i in range(1, hops_per_round + 1):
-            # Semi join: links leaving the frontier; repeated frontier URLs
-            # cannot multiply rows, so no per-hop dedupe shuffle is needed (the
-            # round's final group-by dedupes once).
+            # Each hop is reduced to distinct URLs (partial aggregation first), so
+            # a URL linked from a third of all pages reaches the next hop's
+            # semi join as one row.
             reached = (lk.join(front, on="src", how="left_semi").select(F.col("dst").alias("url"))
-                       .join(old, on="url", how="left_anti"))
+                       .distinct().join(old, on="url", how="left_anti"))
             hops.append(reached.select("url", F.lit(d + i).alias("depth")))
             front = reached.select(F.col("url").alias("src"))
         allrows = visited
@@ -107,7 +107,7 @@ def crawl_levels(links: DataFrame, seeds: DataFrame, state_dir: str | None = Non
         "url", F.col("depth").cast("int").alias("depth"))
 
 
-def bfs_levels(links: DataFrame, seeds: DataFrame, max_rounds: int = 64) -> DataFrame:
+def bfs_levels(links: DataFrame, seeds: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """C2, analytic form: BFS depth of every URL reachable from ``seeds`` over a
     stored link table, in O(log chain length + contracted diameter) rounds.
 
@@ -124,7 +124,8 @@ def bfs_levels(links: DataFrame, seeds: DataFrame, max_rounds: int = 64) -> Data
 
     Every step is a join or min-aggregate on URL keys; round state is
     checkpointed to the shared checkpoint folder and counts come from
-    ``observe`` metrics of the checkpointing job.
+    ``observe`` metrics of the checkpointing job.  The relaxation ends when no
+    distance changes; a given ``max_rounds`` that is reached before raises.
     """
     spark = links.sparkSession
     checkpoint_dir(spark)
@@ -167,7 +168,11 @@ def bfs_levels(links: DataFrame, seeds: DataFrame, max_rounds: int = 64) -> Data
     cedges, _ = _observed_checkpoint(cedges, F.count(F.lit(1)).alias("n"))
     dist, _ = _observed_checkpoint(s.select(F.col("url").alias("a"), F.lit(0).cast("bigint").alias("d"),
                                             F.lit(True).alias("changed")), F.count(F.lit(1)).alias("n"))
-    for _ in range(max_rounds):
+    relaxed = 0
+    while True:
+        if max_rounds is not None and relaxed >= max_rounds:
+            raise RuntimeError(f"distances still change after {max_rounds} rounds")
+        relaxed += 1
         front = dist.filter("changed").select("a", "d")
         cand = (front.join(cedges, on="a").select(F.col("dst").alias("a"), (F.col("d") + F.col("w")).alias("nd")))
         best = cand.groupBy("a").agg(F.min("nd").alias("nd"))
@@ -192,6 +197,72 @@ def _observed_checkpoint(df: DataFrame, *metrics):
     return out, obs.get
 
 
+def crawl_pages(pages: DataFrame, seeds: DataFrame, marks: list[str] | None = None,
+                url_pattern: str | None = None, enough: int | None = None, state_dir: str | None = None,
+                max_rounds: int | None = None) -> DataFrame:
+    """C2 / C3 over stored pages: fetch, extract links, keep the site's own, tell articles from
+    navigation, go on with both, until nothing new turns up or ``enough`` articles are found.
+
+    ``seeds(url, seed_order)``; ``pages(page_id, url, html[, status])``: pages whose
+    status is no success are found but not fetched.  Returns ``(url, kind, depth,
+    place)`` of every URL found (seeds excluded), ``place`` being its number in
+    discovery order: by depth, then the place of the page that links to it first,
+    then the position of the link.  ``kind`` is ``article`` or ``navigation``;
+    an article must match ``url_pattern`` if one is given, other links are
+    dropped.  With ``enough`` the rounds stop once that many articles are found,
+    and articles beyond them in discovery order are left out.
+
+    Links are extracted in one pass over the pages, so no round touches HTML.  A
+    round joins the URLs found in the last one to their links, takes each new
+    URL's first sighting (a min-aggregate, partial before the shuffle) and
+    writes only the new rows, under ``<state_dir>/found/round=<n>``.  A restart
+    with the same ``state_dir`` goes on from the newest committed round
+    (``max_rounds`` stops a call early, to resume later).
+    """
+    from corpusflow.functions.urls import strip_fragment
+    from corpusflow.operators.links import assign_ids, classified_links, fetchable, first_seen
+
+    spark = pages.sparkSession
+    state_dir = state_dir or scratch_path(spark, "crawl-pages")
+    root, links_path = os.path.join(state_dir, "found"), os.path.join(state_dir, "links")
+    schema = "url string, kind string, depth int, place long"
+    done = _done_levels(spark, root, "round=")
+    if not done:
+        links = classified_links(fetchable(pages).select("page_id", "url", "html"), marks)
+        if url_pattern is not None:
+            links = links.filter((F.col("kind") != "article") | F.col("url").rlike(url_pattern))
+        links.select(strip_fragment(F.col("seed")).alias("src"), "url", "kind", "page_id", "pos") \
+            .write.mode("overwrite").parquet(links_path)
+        start = assign_ids(seeds.select(strip_fragment(F.col("url")).alias("url"), "seed_order")
+                           .groupBy("url").agg(F.min("seed_order").alias("seed_order")), ["seed_order", "url"], "place")
+        start.select("url", F.lit("seed").alias("kind"), F.lit(0).alias("depth"), F.col("place").cast("long").alias("place")) \
+            .write.mode("overwrite").parquet(os.path.join(root, "round=0"))
+        done = [0]
+    links = spark.read.parquet(links_path)
+    rounds = 0
+    while max_rounds is None or rounds < max_rounds:
+        at = done[-1]
+        found = spark.read.schema(schema).parquet(*[os.path.join(root, f"round={r}") for r in done])
+        last = found.filter(F.col("depth") == at)
+        n_articles, highest, n_last = found.agg(
+            F.count(F.when(F.col("kind") == "article", 1)), F.max("place"), F.count(F.when(F.col("depth") == at, 1))).first()
+        if not n_last or (enough is not None and n_articles >= enough):
+            break
+        new = links.join(last.select(F.col("url").alias("src"), F.col("place").alias("from")), on="src") \
+            .select("url", "from", "page_id", "pos", "kind")
+        new = first_seen(new, "url", ["from", "page_id", "pos"]).join(found.select("url"), on="url", how="left_anti")
+        placed = assign_ids(new, ["from", "page_id", "pos", "url"], "place").select(
+            "url", "kind", F.lit(at + 1).alias("depth"), (F.col("place") + highest).cast("long").alias("place"))
+        placed.write.mode("overwrite").parquet(os.path.join(root, f"round={at + 1}"))
+        done.append(at + 1)
+        rounds += 1
+    found = spark.read.schema(schema).parquet(*[os.path.join(root, f"round={r}") for r in done]).filter("kind <> 'seed'")
+    if enough is None:
+        return found
+    articles = found.filter("kind = 'article'").orderBy("place").limit(enough)
+    return articles.unionByName(found.filter("kind <> 'article'"))
+
+
 def host_chain_links(pages: DataFrame) -> DataFrame:
     """The derived link graph of the stored pages: each page links to the next
     page of its host (in ``page_id`` order).  Built from global sequence

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.operators.links import assign_ids
-from corpusflow.session import checkpoint_dir, ship_package
+from corpusflow.session import materialize as written_once
+from corpusflow.session import ship_package
 
 SENTENCE = ["article_id", "sent_id"]
 
@@ -54,7 +55,7 @@ def match_tree_path(tokens: DataFrame, labels: Sequence[str],
     ``(article_id, sent_id, head) = (.., .., v_{i-1})``.  The label filters are
     applied before any join.  On a stored TOKEN table every step is a scan with
     the label pushed down; when ``tokens`` is a computed plan, ``materialize``
-    checkpoints the label-filtered rows once (shared checkpoint folder) so the
+    writes the label-filtered rows once (shared checkpoint folder) so the
     annotation is not recomputed for every step.
     Output ``(article_id, sent_id, id_1.., form_1.., upos_1..)``.
     """
@@ -62,8 +63,7 @@ def match_tree_path(tokens: DataFrame, labels: Sequence[str],
     base = tokens.filter(F.col("upos").isin(list(set(labels)))).select(
         *SENTENCE, "id", "head", "form", "upos")
     if materialize:
-        checkpoint_dir(tokens.sparkSession)
-        base = base.checkpoint(eager=True)
+        base = written_once(base, "pattern-tokens")
 
     def step(i: int) -> DataFrame:
         t = base.filter(F.col("upos") == labels[i])
@@ -200,7 +200,8 @@ def sequence_edges(df: DataFrame, group: str, order: list[str], node: str,
     range partitioning (``assign_ids``); the edge is an equi-join on
     ``seq + n`` -- unique keys, evenly hashed -- kept when the group matches.
     """
-    seq = assign_ids(df.select(group, *order, node), [group, *order, node], id_col="_seq")
+    names = list(dict.fromkeys([group, *order, node]))
+    seq = assign_ids(df.select(*names), names, id_col="_seq")  # written once, read by every step
     seq = seq.select(group, node, "_seq")
     out = None
     for label, n in steps.items():
@@ -270,11 +271,29 @@ def match_pattern(nodes: DataFrame, edges: DataFrame, node_labels: dict[str, str
     return out.select(*g, *variables)
 
 
-def adjacency(nodes: DataFrame, edges: DataFrame, graph_cols: Sequence[str] = ()) -> DataFrame:
+def adjacency_rows(edges: DataFrame, graph_cols: Sequence[str] = ()) -> DataFrame:
+    """A11 as rows: ``(*graph_cols, node_id, dst, label)``, one per ordered pair of nodes.
+
+    A directed graph holds one edge per pair: of parallel edges the greatest
+    label stays.  The form for hubs: no node's neighbours are gathered.
+    """
+    g = list(graph_cols)
+    return edges.groupBy(*g, F.col("src").alias("node_id"), "dst").agg(F.max("label").alias("label"))
+
+
+def adjacency(nodes: DataFrame, edges: DataFrame, graph_cols: Sequence[str] = (),
+              max_degree: int = 100_000) -> DataFrame:
     """Per node ``{neighbour: {label: ...}}``; nodes without out-edges map
-    to ``{}``.  One row per node (never one map for the whole graph)."""
+    to ``{}``.  One row per node (never one map for the whole graph).
+
+    A map is one row, so a node may have at most ``max_degree`` neighbours;
+    more raise an error (use ``adjacency_rows``)."""
     g = list(graph_cols)
-    e = edges.select(*g, F.col("src").alias("node_id"), "dst", "label")
+    e = adjacency_rows(edges, g)
+    degree = e.groupBy(*g, "node_id").agg(F.count(F.lit(1)).alias("_degree"))
+    checked = F.when(F.col("_degree") <= max_degree, F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit("too many neighbours for one map: node "), F.col("node_id").cast("string"))).cast("boolean"))
+    e = e.join(degree.filter(checked).drop("_degree"), on=[*g, "node_id"])
     j = nodes.select(*g, "node_id").join(e, on=[*g, "node_id"], how="left")
     entry = F.when(F.col("dst").isNotNull(), F.struct(F.col("dst").alias("d"), F.col("label").alias("l")))
     agg = j.groupBy(*g, "node_id").agg(F.array_sort(F.collect_list(entry)).alias("es"))

@@ -64,7 +64,7 @@ class Selector:
 class _Frame:
     tag: str
     records: list[list[str]] = field(default_factory=list)
-    is_article: bool = False
+    article: list[list[str]] | None = None
     is_title: bool = False
     raw_text: bool = False
 
@@ -73,17 +73,20 @@ class PageParser(HTMLParser):
     """Collect everything P10-P15 need in one pass over a page."""
 
     def __init__(self, article_classes: tuple[str, ...] | None = ARTICLE_CLASSES,
-                 selectors: tuple[Selector, ...] = ()) -> None:
+                 selectors: tuple[Selector, ...] = (), block_tags: tuple[str, ...] = BLOCK_TAGS,
+                 skipped_classes: tuple[str, ...] = SKIP_P_CLASSES) -> None:
         super().__init__(convert_charrefs=True)
         self.article_classes = article_classes
+        self.block_tags = block_tags
+        self.skipped_classes = skipped_classes
         self.selectors = selectors
         self.stack: list[_Frame] = []
-        self.blocks: list[list[str]] = []
+        # the blocks of each matching article, nested articles after the outer one
+        self.articles: list[list[list[str]]] = []
         self.selected: list[tuple[str, int, str, str, list[str] | str]] = []
         self.title_parts: list[str] | None = None
         self.title_done = False
         self.metas: list[dict[str, str]] = []
-        self.articles_open = 0
         self.raw_depth = 0
 
     # -- structure ---------------------------------------------------------
@@ -94,8 +97,6 @@ class PageParser(HTMLParser):
 
     def _pop(self) -> None:
         frame = self.stack.pop()
-        if frame.is_article:
-            self.articles_open -= 1
         if frame.raw_text:
             self.raw_depth -= 1
         if frame.is_title:
@@ -113,18 +114,20 @@ class PageParser(HTMLParser):
         classes = a.get("class", "").split()
         if tag == "article" and (self.article_classes is None
                                  or any(c in classes for c in self.article_classes)):
-            frame.is_article = True
-            self.articles_open += 1
+            frame.article = []
+            self.articles.append(frame.article)
         if tag in ("script", "style", "template"):
             frame.raw_text = True
             self.raw_depth += 1
         if tag == "title" and self.title_parts is None:
             frame.is_title = True
             self.title_parts = []
-        if (self.articles_open and tag in BLOCK_TAGS
-                and not (tag == "p" and any(c in classes for c in SKIP_P_CLASSES))):
+        inside = [f.article for f in self.stack if f.article is not None]
+        if (inside and tag in self.block_tags
+                and not (tag == "p" and any(c in classes for c in self.skipped_classes))):
             parts: list[str] = []
-            self.blocks.append(parts)
+            for blocks in inside:
+                blocks.append(parts)
             frame.records.append(parts)
         self._select(tag, a, push=frame)
         self.stack.append(frame)
@@ -169,7 +172,7 @@ class PageParser(HTMLParser):
 
     # -- results -----------------------------------------------------------
     def body_text(self) -> str:
-        texts = ("".join(parts) for parts in self.blocks)
+        texts = ("".join(parts) for blocks in self.articles for parts in blocks)
         return "\n".join(t for t in texts if t)
 
     def title(self) -> str:
@@ -195,8 +198,9 @@ class PageParser(HTMLParser):
 
 
 def parse_html(html: str | None, article_classes: tuple[str, ...] | None = ARTICLE_CLASSES,
-               selectors: tuple[Selector, ...] = ()) -> PageParser:
-    p = PageParser(article_classes, selectors)
+               selectors: tuple[Selector, ...] = (), block_tags: tuple[str, ...] = BLOCK_TAGS,
+               skipped_classes: tuple[str, ...] = SKIP_P_CLASSES) -> PageParser:
+    p = PageParser(article_classes, selectors, block_tags, skipped_classes)
     if html:
         p.feed(html)
         p.close()
@@ -208,34 +212,59 @@ PARSED_SCHEMA = ("page_id bigint, url string, title string, author array<string>
 
 
 def parse_pages(pages: DataFrame, article_classes: tuple[str, ...] | None = ARTICLE_CLASSES,
-                default_ts=None, rules=None) -> DataFrame:
+                default_ts=None, rules=None, keep_html: bool = False) -> DataFrame:
     """Title, authors, date, topics and body text of every page.
 
     One ``mapInPandas`` pass (Arrow batches, no shuffle); the date text is
     turned into a timestamp on the JVM side (X4), missing dates take
-    ``default_ts`` (null unless given).
+    ``default_ts`` (null unless given).  ``rules`` (a ``SiteRules``) gives the
+    article classes, block tags, skipped classes and the date format of a
+    site; ``keep_html`` passes the page on beside its fields.
     """
+    block_tags, skipped = BLOCK_TAGS, SKIP_P_CLASSES
     if rules is not None:
         article_classes = rules.article_classes
+        block_tags, skipped = tuple(rules.block_tags), tuple(rules.skipped_classes)
     classes = tuple(article_classes) if article_classes is not None else None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for pid, url, html in zip(pdf["page_id"], pdf["url"], pdf["html"]):
-                p = parse_html(html, classes)
+                p = parse_html(html, classes, (), block_tags, skipped)
                 rows.append((pid, url, p.title(), p.authors(), p.published(), p.topics(),
-                             p.body_text()))
+                             p.body_text()) + ((html,) if keep_html else ()))
             yield pd.DataFrame(rows, columns=["page_id", "url", "title", "author", "date_raw",
-                                              "topics", "text"])
+                                              "topics", "text"] + ["html"] * keep_html)
 
-    from corpusflow.functions.dates import unify_date
+    from corpusflow.functions.dates import ISO_OFFSET_FORMAT, site_date, unify_date
     ship_package(pages.sparkSession)
-    out = spread(pages.select("page_id", "url", "html")).mapInPandas(run, PARSED_SCHEMA)
-    date = unify_date(F.col("date_raw"))
+    out = spread(pages.select("page_id", "url", "html")).mapInPandas(
+        run, PARSED_SCHEMA + ", html string" * keep_html)
+    own_format = rules.date_format if rules is not None else ISO_OFFSET_FORMAT
+    date = unify_date(F.col("date_raw")) if own_format == ISO_OFFSET_FORMAT else site_date(F.col("date_raw"), own_format)
     if default_ts is not None:
         date = F.coalesce(date, F.lit(default_ts).cast("timestamp_ntz"))
-    return out.select("page_id", "url", "title", "author", date.alias("date"), "topics", "text")
+    return out.select("page_id", "url", "title", "author", date.alias("date"), "topics", "text",
+                      *["html"] * keep_html)
+
+
+def meta_page_checks(meta: DataFrame) -> DataFrame:
+    """Are a page's meta fields true of the page?  Adds ``title_found, author_ok,
+    date_ok, topics_ok, has_text`` to rows with the fields and the page's ``html``
+    (``parse_pages(..., keep_html=True)``, or META joined to its pages).
+
+    Author: every name is in the page, or the not-found mark alone.  Date: there
+    is one and it is written as the meta date pattern.  Topics: each is in the page.
+    """
+    from corpusflow.functions.dates import date_to_text, looks_like_meta_date
+    from corpusflow.functions.text import title_in_html
+    page = F.col("html")
+    author_ok = F.forall("author", lambda a: page.contains(a)) | (F.col("author") == F.array(F.lit(NOT_FOUND_AUTHOR)))
+    return meta.withColumns({
+        "title_found": title_in_html(F.col("title"), page), "author_ok": author_ok,
+        "date_ok": looks_like_meta_date(date_to_text(F.col("date"))),
+        "topics_ok": F.forall("topics", lambda t: page.contains(t)), "has_text": F.col("text") != ""})
 
 
 def html_select(pages: DataFrame, selectors: list[Selector]) -> DataFrame:

@@ -8,13 +8,17 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions import text as T
 from corpusflow.functions import urls as U
-from corpusflow.session import spread
+from corpusflow.session import materialize, spread
 
 # <script>, <style> and comments are dropped before any tag regex: their
 # bodies may hold tag-like strings.
 NON_CONTENT_REGEX = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
-# href attribute of an <a> tag: double-, single- or un-quoted value.
-ANCHOR_HREF_REGEX = r"""(?i)<a\b[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+# First href attribute of an <a> tag: double-, single- or un-quoted value.  The
+# attributes before it are matched whole, so neither a ``>`` or ``href=`` inside a
+# quoted value nor a longer name (``data-href``) is taken for it.
+_VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s>"']+)"""
+ANCHOR_HREF_REGEX = (r"""(?i)<a(?=[\s/])(?:[\s/]++(?!href[\s=])[^\s=>"'/]++(?:\s*+=\s*+""" + _VALUE
+                     + r""")?+)*+[\s/]++href\s*+=\s*+(""" + _VALUE + ")")
 
 
 def visible_html(html: Column) -> Column:
@@ -22,7 +26,7 @@ def visible_html(html: Column) -> Column:
 
 
 def clean_href(raw: Column) -> Column:
-    return T.unescape_basic(F.regexp_replace(raw, r"""^["']|["']$""", ""))
+    return T.unescape_html(F.regexp_replace(raw, r"""^["']|["']$""", ""))
 
 
 def extract_links(pages: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFrame:
@@ -89,11 +93,16 @@ def find_articles(pages: DataFrame, seeds: DataFrame | None = None, cap: int | N
     if rules is not None:
         marks = list(rules.nav_marks) if marks is None else marks
         url_pattern = rules.url_pattern if url_pattern is None else url_pattern
+    # Links are extracted row by row first: the narrow link rows meet the seeds,
+    # no HTML is shuffled.  Seeds that are all the pages need no join at all.
+    ok = fetchable(pages)
     if seeds is None:
-        seeds = pages.select("url", F.col("page_id").alias("seed_order"))
-    fetched = fetch_pages(seeds, pages)
-    links = classified_links(fetched.select("page_id", "url", "html", "seed_order"), marks,
-                             keep=("seed_order",))
+        seeds = pages.select("url")
+        links = classified_links(ok.select("page_id", "url", "html", F.col("page_id").alias("seed_order")),
+                                 marks, keep=("seed_order",))
+    else:
+        links = classified_links(ok.select("page_id", "url", "html"), marks).join(
+            seeds.select(F.col("url").alias("seed"), "seed_order"), on="seed")
     arts = links.filter(F.col("kind") == "article").select("url", "seed_order", "pos")
     if url_pattern is not None:
         arts = arts.filter(F.col("url").rlike(url_pattern))
@@ -110,28 +119,49 @@ def find_articles(pages: DataFrame, seeds: DataFrame | None = None, cap: int | N
 def fetch_pages(urls: DataFrame, pages: DataFrame) -> DataFrame:
     """S6 / J2 / P7: "fetch" URLs from the stored pages table (inner equi join).
 
-    Unknown URLs are skipped like failed requests.  Spark picks the join
+    Unknown URLs and pages whose ``status`` (if there is such a column) is not a
+    success are skipped like failed requests.  Each URL is fetched once: of
+    several stored pages of one URL the one with the least ``page_id`` is
+    taken, chosen on narrow rows before any HTML moves.  Spark picks the join
     strategy: a small frontier is broadcast by AQE from its runtime size, a
     large one is shuffled.
     """
-    return urls.join(pages, on="url", how="inner")
+    ok = fetchable(pages)
+    once = ok.groupBy("url").agg(F.min("page_id").alias("page_id"))
+    return urls.join(once, on="url", how="inner").join(ok.drop("url"), on="page_id", how="inner")
+
+
+def fetchable(pages: DataFrame) -> DataFrame:
+    """Pages that a request gets: all, or those with a 2xx ``status``."""
+    if "status" not in pages.columns:
+        return pages
+    return pages.filter(F.col("status").between(200, 299))
 
 
 def assign_ids(df: DataFrame, order: list[str], id_col: str = "article_id",
-               num_partitions: int | None = None) -> DataFrame:
+               num_partitions: int | None = None, key: list[str] | None = None) -> DataFrame:
     """Consecutive ids 1..N in ``order`` without a single-partition window.
 
     Range-partition and sort by the order key; ``monotonically_increasing_id``
-    then encodes (partition, position in partition).  Per-partition counts (one
-    row per partition, a bound set by ``num_partitions``) give the offsets,
-    which are broadcast back.  ``order`` must be a total order for the result
-    to be repeatable.
+    then encodes (partition, position in partition).  The rows are written
+    once with these numbers, so the counts and the rows see the same range
+    bounds (two range exchanges would sample different ones).  Per-partition
+    counts (one row per partition, a bound set by ``num_partitions``) give the
+    offsets, which are broadcast back.  ``order`` must be a total order for the
+    result to be repeatable.
+
+    With ``key`` (columns that identify a row) only the key and order columns
+    are sorted and written, and the ids are joined back to the other columns.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = list(dict.fromkeys(order))
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("_mid", F.monotonically_increasing_id()))
+    if key is not None:
+        names = list(dict.fromkeys([*key, *order]))
+        ids = assign_ids(df.select(*names), order, id_col, num_partitions)
+        return df.join(ids.select(*key, id_col), on=key)
+    ranged = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                         .withColumn("_mid", F.monotonically_increasing_id()), "ids")
     ranged = ranged.withColumn("_part", F.shiftright("_mid", 33)).withColumn(
         "_local", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))

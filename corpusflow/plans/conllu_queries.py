@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corpusflow.functions.conllu import parse_feats
 from corpusflow.plans.registry import register
 from corpusflow.plans.sqlparts import token_sql
-from corpusflow.plans.text_queries import doc_sentences_and_tokens, doc_tokens
+from corpusflow.plans.text_queries import doc_tokens
 from corpusflow.schemas import TOKEN_COLUMNS
 from corpusflow.sinks.conllu import render_conllu
 from corpusflow.sources.conllu import parse_conllu
@@ -30,21 +30,18 @@ SELECT article_id, string_agg(block, '' ORDER BY sent_id) AS conllu FROM blocks
 
 @register("conllu_render", _render_sql("feats"))
 def q_conllu_render(spark, sf):
-    sents, toks = doc_sentences_and_tokens(spark, sf)
-    return render_conllu(toks, sents)
+    return render_conllu(doc_tokens(spark, sf, with_text=True))
 
 
 @register("conllu_render_no_feats", _render_sql("'_'"))
 def q_conllu_render_no_feats(spark, sf):
-    sents, toks = doc_sentences_and_tokens(spark, sf)
-    return render_conllu(toks, sents, include_feats=False)
+    return render_conllu(doc_tokens(spark, sf, with_text=True), include_feats=False)
 
 
 @register("conllu_roundtrip", token_sql() + """
 SELECT * FROM tokens""")
 def q_conllu_roundtrip(spark, sf):
-    sents, toks = doc_sentences_and_tokens(spark, sf)
-    return parse_conllu(render_conllu(toks, sents)).select(*TOKEN_COLUMNS)
+    return parse_conllu(render_conllu(doc_tokens(spark, sf, with_text=True))).select(*TOKEN_COLUMNS)
 
 
 @register("parse_feats", token_sql() + """

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from corpusflow.functions import paths as P
 from corpusflow.operators import validate as V
 from corpusflow.plans.registry import register
-from corpusflow.session import load_table
+from corpusflow.session import load_table, scratch_path
+from corpusflow.sinks import files as K
 from corpusflow.sinks.files import meta_json
 from corpusflow.sources import files as S
 
@@ -39,8 +40,11 @@ def corpus_files(spark, sf):
 
 @register("scan_raw", "SELECT doc_id + 1 AS article_id, text FROM documents")
 def q_scan_raw(spark, sf):
-    return load_table(spark, sf, "documents").select(
-        (F.col("doc_id") + 1).alias("article_id"), "text")
+    # the texts as the corpus holds them, written and read back by the corpus source
+    docs = load_table(spark, sf, "documents").select((F.col("doc_id") + 1).alias("article_id"), "text")
+    path = scratch_path(spark, "raw")
+    K.write_raw(docs, path)
+    return S.read_raw_table(spark, path)
 
 
 _META_DOCS_SQL = """

@@ -8,6 +8,8 @@ its host; seeds are the first page of each host.
 from __future__ import annotations
 
 
+from pyspark.sql import functions as F
+
 from corpusflow.operators import crawl as C
 from corpusflow.plans.registry import register
 from corpusflow.plans.sqlparts import NETLOC_RE, links_cte, sql_str
@@ -59,3 +61,50 @@ def q_crawl_resumable(spark, sf):
     # tables (resumable, can stop once enough URLs are known).
     pages = load_table(spark, sf, "pages")
     return C.crawl_levels(C.host_chain_links(pages), C.host_seeds(pages))
+
+
+# A site graph derived from the stored pages: page n is page n // 7 of site n % 7 and links to
+# others of its site with fan-in, cycles, links to itself and to pages that do not exist, links with
+# fragments, and links to another site.  Two thirds of the pages are navigation; every eleventh
+# page answers 404.
+SITES = 7
+
+
+def _site_url(site, idx):
+    kind = F.when(idx % 3 == 0, "news").when(idx % 3 == 1, "page").otherwise("category")
+    return F.concat(F.lit("https://site"), site.cast("string"), F.lit(".example/"), kind, F.lit("/"), idx.cast("string"))
+
+
+def site_graph(pages):
+    """``(page_id, url, html, status)`` of the derived graph, and its seeds."""
+    n = F.col("page_id")
+    site, idx = n % SITES, F.floor(n / SITES)
+    targets = [idx * 2 + 1, idx * 3 + 2, F.floor(idx / 2), idx, idx * idx % 50 + 1]
+    html = F.concat(*[x for i, t in enumerate(targets) for x in (
+        F.lit("<p><a class='x' href='"), _site_url(site, t), F.lit(f"#part{i}'>link</a>"))],
+        F.lit("<a href='"), _site_url((site + 1) % SITES, idx), F.lit("'>other site</a>"))
+    rows = pages.select("page_id", _site_url(site, idx).alias("url"), html.alias("html"),
+                        F.when(n % 11 == 10, 404).otherwise(200).alias("status"))
+    seeds = rows.filter(n < 2 * SITES).select("url", n.alias("seed_order"))
+    return rows, seeds
+
+
+_SITE_URL = """'https://site' || CAST({s} AS VARCHAR) || '.example/' || CASE {i} % 3 WHEN 0 THEN 'news' WHEN 1 THEN 'page' ELSE 'category' END
+  || '/' || CAST({i} AS VARCHAR)"""
+
+
+@register("crawl_pages", f"""
+WITH RECURSIVE n AS (SELECT page_id % {SITES} AS s, page_id // {SITES} AS i FROM pages WHERE page_id % 11 <> 10),
+e AS (SELECT s, i, unnest([i * 2 + 1, i * 3 + 2, i // 2, i, i * i % 50 + 1]) AS j FROM n),
+seeds AS (SELECT page_id % {SITES} AS s, page_id // {SITES} AS i FROM pages WHERE page_id < {2 * SITES}),
+walk(s, i, depth) AS (
+  SELECT s, i, 0 FROM seeds
+  UNION
+  SELECT w.s, e.j, w.depth + 1 FROM walk w JOIN e ON e.s = w.s AND e.i = w.i WHERE w.depth < 60
+)
+SELECT {_SITE_URL.format(s="s", i="i")} AS url,
+       CASE i % 3 WHEN 0 THEN 'article' ELSE 'navigation' END AS kind, CAST(min(depth) AS INTEGER) AS depth
+FROM walk GROUP BY s, i HAVING min(depth) > 0""")
+def q_crawl_pages(spark, sf):
+    rows, seeds = site_graph(load_table(spark, sf, "pages"))
+    return C.crawl_pages(rows, seeds).select("url", "kind", "depth")

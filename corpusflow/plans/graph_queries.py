@@ -6,10 +6,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusflow.operators import graph as G
+from corpusflow.operators.stats import pos_frequency_map
 from corpusflow.plans.registry import register
 from corpusflow.plans.sqlparts import token_sql
 from corpusflow.plans.text_queries import doc_tokens, documents
-from corpusflow.session import load_table
+from corpusflow.session import load_table, materialize, scratch_path
+from corpusflow.sinks.files import read_meta, update_meta, write_meta
 
 PATTERN = ("VERB", "NOUN", "ADP")
 EVENT_PATH = ("view", "click", "purchase")
@@ -25,8 +27,8 @@ def _path_sql(labels) -> str:
     joins = "".join(
         f"\nJOIN b t{i} ON t{i}.article_id = t1.article_id AND t{i}.sent_id = t1.sent_id "
         f"AND t{i}.head = t{i - 1}.id AND t{i}.upos = '{labels[i - 1]}'" for i in range(2, k + 1))
-    return (f"\n, b AS (SELECT article_id, sent_id, id, head, form, upos FROM tokens WHERE upos IN ({ins}))"
-            f"\n, m AS (SELECT {sel} FROM b t1{joins} WHERE t1.upos = '{labels[0]}')")
+    return (f"\n, b AS MATERIALIZED (SELECT article_id, sent_id, id, head, form, upos FROM tokens WHERE upos IN ({ins}))"
+            f"\n, m AS MATERIALIZED (SELECT {sel} FROM b t1{joins} WHERE t1.upos = '{labels[0]}')")
 
 
 def _tree_sql(k: int, i: int = 1) -> str:
@@ -50,7 +52,9 @@ SELECT d.article_id, d.sent_id, d.head AS head_id, d.id AS dep_id, d.form AS dep
 FROM tokens d JOIN tokens h ON h.article_id = d.article_id AND h.sent_id = d.sent_id AND h.id = d.head
 WHERE d.head <> 0""")
 def q_dependency_edges(spark, sf):
-    return G.dependency_edges(doc_tokens(spark, sf))
+    # both sides of the self-join read the annotated tokens, which are written once
+    tokens = doc_tokens(spark, sf).select(*G.SENTENCE, "id", "head", "form", "upos", "deprel")
+    return G.dependency_edges(materialize(tokens, "dependency-tokens"))
 
 
 @register("pattern_match", token_sql() + _path_sql(PATTERN) + "\nSELECT * FROM m")
@@ -202,3 +206,30 @@ def q_event_fanin_match(spark, sf):
     nodes, edges = event_graph(spark, sf)
     return G.match_pattern(nodes, edges, {"a": "click", "b": "view", "c": "purchase"},
                            [("a", "c", "next"), ("b", "c", "skip")], graph_cols=["user_id"])
+
+
+_FREQ_SQL = """
+, freq AS (
+  SELECT article_id, '{' || string_agg('"' || upos || '":' || n, ',' ORDER BY upos) || '}' AS pos
+  FROM (SELECT article_id, upos, count(*) AS n FROM tokens GROUP BY article_id, upos) GROUP BY article_id
+)"""
+
+
+@register("meta_write_back", token_sql() + _path_sql(PATTERN) + _MAP_SQL + _FREQ_SQL + """
+SELECT d.doc_id + 1 AS id, d.source AS title, coalesce(f.pos, '{}') AS pos_frequencies,
+       coalesce(p.pattern_matches, CASE WHEN d.doc_id % 2 = 0 THEN '{"9":["kept"]}' END) AS pattern_matches
+FROM documents d LEFT JOIN freq f ON f.article_id = d.doc_id + 1 LEFT JOIN per_art p ON p.article_id = d.doc_id + 1""")
+def q_meta_write_back(spark, sf):
+    # META with earlier matches on every second article is written; POS counts are put in, written and read
+    # again (the earlier matches stay); then the new matches replace the earlier ones where there are any.
+    articles = documents(spark, sf).select(
+        (F.col("doc_id") + 1).alias("article_id"), F.col("source").alias("title"),
+        F.when(F.col("doc_id") % 2 == 0, '{"9":["kept"]}').alias("pattern_matches"))
+    first, second = scratch_path(spark, "meta"), scratch_path(spark, "meta")
+    write_meta(articles, first)
+    counts = pos_frequency_map(doc_tokens(spark, sf)).select("article_id", "pos_frequencies")
+    write_meta(update_meta(read_meta(spark, first), counts=counts), second)
+    found = G.pattern_matches_map(matches(spark, sf), 3)
+    meta = update_meta(read_meta(spark, second), matches=found)
+    ordered = F.map_from_entries(F.array_sort(F.map_entries("pos_frequencies")))
+    return meta.select("id", "title", F.to_json(ordered).alias("pos_frequencies"), "pattern_matches")

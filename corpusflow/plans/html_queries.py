@@ -6,24 +6,20 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions import html as H
 from corpusflow.functions import text as T
+from corpusflow.functions import urls as U
 from corpusflow.operators import html as HP
-from corpusflow.operators.links import NON_CONTENT_REGEX
 from corpusflow.plans.registry import register
-from corpusflow.plans.sqlparts import sql_str, unescape_sql
+from corpusflow.plans.sqlparts import NETLOC_RE, OUT_OF_TEXT, sql_str, unescape_sql
 from corpusflow.session import load_table
 
 SELECTORS = [HP.Selector("div.ad", tag="div", cls="ad"), HP.Selector("h1", tag="h1"),
              HP.Selector("li", tag="li")]
 
-_VIS = f"regexp_replace(html, {sql_str(NON_CONTENT_REGEX)}, '', 'g')"
-_TITLE_SQL = unescape_sql(f"regexp_extract({_VIS}, {sql_str(H.TITLE_REGEX)}, 1)")
-_META_AUTHORS_SQL = f"""
-  list_filter(list_transform(
-    list_filter(regexp_extract_all(html, {sql_str(H.META_TAG_REGEX)}),
-                lambda t: regexp_matches(t, '(?is)\\bname\\s*=\\s*["'']?author(["''\\s/>]|$)')),
-    lambda t: {unescape_sql("(regexp_extract(t, " + sql_str(H.CONTENT_ATTR_REGEX) + ", 1) || regexp_extract(t, " + sql_str(H.CONTENT_ATTR_REGEX) + ", 2))")}),
-  lambda a: a <> '')"""
-_AUTHORS_SQL = f"CASE WHEN len({_META_AUTHORS_SQL}) = 0 THEN ['NOT FOUND'] ELSE {_META_AUTHORS_SQL} END"
+# Title markers as the stored pages can hold them (RE2 has no Unicode white space class).
+_MARKERS = r"&nbsp;|&#160;|&#32;|&#9248;|&#xA0;|&#x20;|&#x2420;|&#x2423;|&#9251;|[\s\x0B\x1c-\x1f\x85\p{Z}]"
+_VIS = f"regexp_replace(html, {sql_str(OUT_OF_TEXT)}, '', 'g')"
+_TITLE_SQL = unescape_sql(f"regexp_extract({_VIS}, '(?s)<title>(.*?)</title>', 1)")
+_AUTHORS_SQL = "['NOT FOUND']"  # the stored pages name no author
 
 # Body text of flat pages (blocks never nest): block start tags become chr(1),
 # everything from a block end tag to the next block start is dropped.
@@ -58,21 +54,65 @@ def q_page_title(spark, sf):
     return pages(spark, sf).select("page_id", H.page_title(F.col("html")).alias("title"))
 
 
-@register("page_authors", f"SELECT page_id, CAST(to_json({_AUTHORS_SQL}) AS VARCHAR) AS author FROM pages")
+def with_head_fields(p):
+    """The stored pages with author, date and topic metas derived from their URLs put into the head.
+
+    Entities, quotes of both kinds, a commented-out meta and empty values are among them.
+    """
+    host = U.netloc_of(F.col("url"))
+    n = F.col("page_id")
+    day = F.lpad((n % 28 + 1).cast("string"), 2, "0")
+    offset = F.when(n % 3 == 0, "+0300").when(n % 3 == 1, "+03:00").otherwise("Z")
+    head = F.concat(
+        F.lit('<head><!-- <meta name="author" content="Ghost"> -->'),
+        F.when(n % 4 == 0, "").otherwise(F.concat(F.lit('<meta name="author" content="'), host, F.lit(' &amp; Co &#8212; &laquo;A&raquo;">'))),
+        F.when(n % 5 == 0, '<meta content="" name="author">').otherwise(""),
+        F.when(n % 7 == 0, "").otherwise(F.concat(F.lit("<META property='article:published_time' content='2024-03-"), day,
+                                                  F.lit("T10:20:30"), offset, F.lit("'>"))),
+        F.lit('<meta name="keywords" content="a &gt; b, '), host, F.lit(',, last ">'),
+        F.when(n % 2 == 0, '<meta data-x="1>0" property="article:tag" content="even">').otherwise(""))
+    return p.withColumn("html", F.concat(head, F.substring_index("html", "<head>", -1)))
+
+
+_HOST_SQL = f"regexp_extract(url, {sql_str(NETLOC_RE)}, 1)"
+
+
+@register("page_authors", f"""
+SELECT page_id, CAST(to_json(CASE WHEN page_id % 4 = 0 THEN ['NOT FOUND']
+                                  ELSE [{_HOST_SQL} || ' & Co — «A»'] END) AS VARCHAR) AS author FROM pages""")
 def q_page_authors(spark, sf):
-    return pages(spark, sf).select("page_id", F.to_json(H.page_authors(F.col("html"))).alias("author"))
+    p = with_head_fields(pages(spark, sf))
+    return p.select("page_id", F.to_json(H.page_authors(F.col("html"))).alias("author"))
 
 
-@register("page_date", "SELECT page_id, CAST(NULL AS VARCHAR) AS date FROM pages")
+@register("page_date", """
+SELECT page_id, CASE WHEN page_id % 7 <> 0 THEN '2024-03-' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') || ' 10:20:30' END AS date
+FROM pages""")
 def q_page_date(spark, sf):
     from corpusflow.functions.dates import unify_date
+    p = with_head_fields(pages(spark, sf))
     d = unify_date(H.page_date_text(F.col("html")))
-    return pages(spark, sf).select("page_id", F.date_format(d, "yyyy-MM-dd HH:mm:ss").alias("date"))
+    return p.select("page_id", F.date_format(d, "yyyy-MM-dd HH:mm:ss").alias("date"))
 
 
-@register("page_topics", "SELECT page_id, '[]' AS topics FROM pages")
+@register("page_topics", f"""
+SELECT page_id, CAST(to_json(list_concat(['a > b', {_HOST_SQL}, 'last'], CASE WHEN page_id % 2 = 0 THEN ['even'] ELSE [] END)) AS VARCHAR) AS topics
+FROM pages""")
 def q_page_topics(spark, sf):
-    return pages(spark, sf).select("page_id", F.to_json(H.page_topics(F.col("html"))).alias("topics"))
+    p = with_head_fields(pages(spark, sf))
+    return p.select("page_id", F.to_json(H.page_topics(F.col("html"))).alias("topics"))
+
+
+@register("parse_head_fields", f"""
+SELECT page_id, CAST(to_json(CASE WHEN page_id % 4 = 0 THEN ['NOT FOUND']
+                                  ELSE [{_HOST_SQL} || ' & Co — «A»'] END) AS VARCHAR) AS author,
+       CASE WHEN page_id % 7 <> 0 THEN '2024-03-' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') || ' 10:20:30' END AS date,
+       CAST(to_json(list_concat(['a > b', {_HOST_SQL}, 'last'], CASE WHEN page_id % 2 = 0 THEN ['even'] ELSE [] END)) AS VARCHAR) AS topics
+FROM pages""")
+def q_parse_head_fields(spark, sf):
+    parsed = HP.parse_pages(with_head_fields(pages(spark, sf)), article_classes=None)
+    return parsed.select("page_id", F.to_json("author").alias("author"),
+                         F.date_format("date", "yyyy-MM-dd HH:mm:ss").alias("date"), F.to_json("topics").alias("topics"))
 
 
 @register("page_text", "WITH " + _TEXT_CTE.lstrip() + """
@@ -137,7 +177,7 @@ SELECT page_id, title,
 FROM n"""
 
 
-@register("title_in_html", _T6_SQL.replace("TITLE", _TITLE_SQL).replace("MARKERS", sql_str(T.TITLE_SPLIT_MARKERS)))
+@register("title_in_html", _T6_SQL.replace("TITLE", _TITLE_SQL).replace("MARKERS", sql_str(_MARKERS)))
 def q_title_in_html(spark, sf):
     p = pages(spark, sf).select("page_id", H.page_title(F.col("html")).alias("title"), "html")
     return p.select("page_id", "title", T.title_in_html(F.col("title"), F.col("html")).alias("found"))
@@ -149,9 +189,9 @@ def q_title_in_html(spark, sf):
   FROM pages p JOIN page_text t ON t.page_id = p.page_id
 ), j AS (
   SELECT m.page_id, m.url, m.title, m.author, m.text, p.html,
-    trim(regexp_replace(m.title, {sql_str(T.TITLE_SPLIT_MARKERS)}, ' ', 'g'), ' ') AS tn,
-    regexp_replace(p.html, {sql_str(T.TITLE_SPLIT_MARKERS)}, ' ', 'g') AS hn
-  FROM meta m JOIN pages p ON p.url = m.url
+    trim(regexp_replace(m.title, {sql_str(_MARKERS)}, ' ', 'g'), ' ') AS tn,
+    regexp_replace(p.html, {sql_str(_MARKERS)}, ' ', 'g') AS hn
+  FROM meta m JOIN pages p ON p.page_id = m.page_id
 )
 SELECT page_id, url,
   CASE WHEN contains(hn, '&quot;') THEN contains(replace(hn, '&quot;', '"'), replace(tn, '&quot;', '"'))
@@ -161,13 +201,18 @@ SELECT page_id, url,
   text <> '' AS has_text
 FROM j""")
 def q_meta_page_checks(spark, sf):
-    p = pages(spark, sf)
-    meta = HP.parse_pages(p, article_classes=None)
-    j = meta.join(p.select("url", "html"), on="url")
-    author_ok = F.forall("author", lambda a: F.col("html").contains(a)) | (
-        F.col("author") == F.array(F.lit("NOT FOUND")))
-    return j.select("page_id", "url", T.title_in_html(F.col("title"), F.col("html")).alias("title_found"),
-                    author_ok.alias("author_ok"), (F.col("text") != "").alias("has_text"))
+    checked = HP.meta_page_checks(HP.parse_pages(pages(spark, sf), article_classes=None, keep_html=True))
+    return checked.select("page_id", "url", "title_found", "author_ok", "has_text")
+
+
+@register("meta_field_checks", """
+SELECT page_id, true AS author_ok, page_id % 7 <> 0 AS date_ok, false AS topics_ok FROM pages""")
+def q_meta_field_checks(spark, sf):
+    # The author as it is read is not in the page (its entities are), but the NOT FOUND mark is let pass;
+    # "a > b" stands in the page as an entity only.
+    p = with_head_fields(pages(spark, sf)).withColumn("html", F.concat("html", F.lit("<!--"), U.netloc_of(F.col("url")), F.lit(" & Co — «A»-->")))
+    checked = HP.meta_page_checks(HP.parse_pages(p, article_classes=None, keep_html=True))
+    return checked.select("page_id", "author_ok", "date_ok", "topics_ok")
 
 
 @register("article_records", "WITH " + _TEXT_CTE.lstrip() + f"""
@@ -179,7 +224,8 @@ def q_article_records(spark, sf):
     # E1 tail: parse every fetched page (P16), then number the articles 1..N
     # in discovery order (W1) without a single-partition window.
     from corpusflow.operators.links import assign_ids
+    # Only the page ids are sorted and numbered; each page is parsed once.
     p = pages(spark, sf).filter(F.col("html").isNotNull() & (F.col("html") != ""))
-    parsed = HP.parse_pages(p, article_classes=None)
-    arts = assign_ids(parsed, ["page_id"])
+    ids = assign_ids(p.select("page_id"), ["page_id"])
+    arts = HP.parse_pages(p, article_classes=None).join(ids, on="page_id")
     return arts.select("article_id", "url", "title", F.to_json("author").alias("author"), "text")

@@ -137,10 +137,12 @@ def q_new_article_urls(spark, sf):
     return L.find_articles(pages(spark, sf))
 
 
-@register("find_articles", "WITH " + links_cte().lstrip() + _NEW_ARTICLES + f"""
-SELECT url, seed_order, pos FROM firsts ORDER BY seed_order, pos LIMIT {ARTICLE_CAP}""")
+@register("find_articles", "WITH " + links_cte(TEST_MARKS).lstrip() + _NEW_ARTICLES + """
+SELECT url, seed_order, pos FROM firsts""")
 def q_find_articles(spark, sf):
-    return L.find_articles(pages(spark, sf), cap=ARTICLE_CAP)
+    p = pages(spark, sf)
+    seeds = p.select("url", F.col("page_id").alias("seed_order"))
+    return L.find_articles(p, seeds, marks=TEST_MARKS)
 
 
 @register("cap_articles", "WITH " + links_cte().lstrip() + _NEW_ARTICLES + f"""
@@ -163,7 +165,7 @@ SELECT page_id, url, row_number() OVER (ORDER BY page_id) AS article_id
 FROM pages WHERE html IS NOT NULL AND html <> ''""")
 def q_assign_article_ids(spark, sf):
     ok = pages(spark, sf).filter(F.col("html").isNotNull() & (F.col("html") != ""))
-    return L.assign_ids(ok.select("page_id", "url"), ["page_id"])
+    return L.assign_ids(ok.select("page_id", "url"), ["page_id"], key=["page_id"])
 
 
 @register("sample_articles", f"""

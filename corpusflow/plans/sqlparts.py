@@ -36,7 +36,7 @@ _norm AS (
       list_transform(string_split(t, chr(1)), lambda x: replace(x, chr(2), ' ')),
       lambda x: length(replace(x, ' ', '')) > 0 AND length(x) > 10) AS l
   FROM _mark
-), sents AS (
+), sents AS MATERIALIZED (
   SELECT article_id, lang, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS sent_id,
          unnest(l) AS sentence
   FROM _lists
@@ -58,7 +58,7 @@ def tokens_cte() -> str:
   SELECT article_id, sent_id, lang, CAST(generate_subscripts(l, 1) AS INTEGER) AS id,
          unnest(l) AS form
   FROM _toklist
-), tokens AS (
+), tokens AS MATERIALIZED (
   SELECT t.article_id, t.sent_id, t.id, t.form, lower(t.form) AS lemma,
     CASE WHEN NOT regexp_matches(t.form, '[\\p{{L}}\\p{{N}}]') THEN 'PUNCT'
          WHEN regexp_matches(t.form, '^\\p{{N}}+$') THEN 'NUM'
@@ -84,10 +84,15 @@ PUNCT_SQL = sql_str(PUNCTUATION)
 
 
 def unescape_sql(expr: str) -> str:
-    from corpusflow.functions.text import HTML_ENTITIES
-    for ent, ch in HTML_ENTITIES:
+    """The entities that the stored pages hold; ``&amp`` also without its semicolon."""
+    for ent, ch in (("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©")):
         expr = f"replace({expr}, {sql_str(ent)}, {sql_str(ch)})"
-    return expr
+    return f"regexp_replace({expr}, '&amp;?', '&', 'g')"
+
+
+# What the stored pages hold besides content, and how they write their links.
+OUT_OF_TEXT = "(?s)<script>.*?</script>|<style>.*?</style>|<!--.*?-->"
+PLAIN_ANCHOR = '<a href="([^"]*)">'
 
 
 NETLOC_RE = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://([^/?#]*)"
@@ -99,15 +104,14 @@ def links_cte(marks: list[str] | None = None) -> str:
     """CTEs ``hrefs(page_id, seed, pos, href)``, ``links(..., link_url, url,
     same_site)`` and ``classified(page_id, seed, pos, href, url, kind)``."""
     from corpusflow.functions.urls import NAVIGATION_MARKS
-    from corpusflow.operators.links import ANCHOR_HREF_REGEX, NON_CONTENT_REGEX
     marks = NAVIGATION_MARKS if marks is None else marks
     mark_list = "[" + ", ".join(sql_str(m) for m in marks) + "]"
     href = unescape_sql("regexp_replace(raw, '^[\"'']|[\"'']$', '', 'g')")
     return f"""
 _vis AS (
-  SELECT page_id, url AS seed, regexp_replace(html, {sql_str(NON_CONTENT_REGEX)}, '', 'g') AS h FROM pages
+  SELECT page_id, url AS seed, regexp_replace(html, {sql_str(OUT_OF_TEXT)}, '', 'g') AS h FROM pages
 ), _raw AS (
-  SELECT page_id, seed, regexp_extract_all(h, {sql_str(ANCHOR_HREF_REGEX)}, 1) AS l FROM _vis
+  SELECT page_id, seed, regexp_extract_all(h, {sql_str(PLAIN_ANCHOR)}, 1) AS l FROM _vis
 ), _hr AS (
   SELECT page_id, seed, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos, unnest(l) AS raw FROM _raw
 ), hrefs AS (

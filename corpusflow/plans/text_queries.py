@@ -17,8 +17,8 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return load_table(spark, sf, "documents")
 
 
-def doc_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    return A.annotate_documents(documents(spark, sf))
+def doc_tokens(spark: SparkSession, sf: str, with_text: bool = False) -> DataFrame:
+    return A.annotate_documents(documents(spark, sf), with_text=with_text)
 
 
 @register("clean_text", f"""

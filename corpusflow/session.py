@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,22 +68,43 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or folder
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread rows over the cluster before CPU-heavy per-row work.
+SPREAD_CONF = "spark.corpusflow.spreadPartitions"
 
-    A scan yields one task per file split; a small table stored as one row
-    group is a single task however many cores there are.  When the plan has
-    fewer partitions than ``min_partitions`` (default: the cluster's default
-    parallelism) the rows are repartitioned round-robin.  Few splits means
-    little data (each split is at most ``spark.sql.files.maxPartitionBytes``),
-    so the shuffle is cheap; large inputs are left as they are.
+
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal rows round-robin into ``partitions`` before CPU-heavy per-row work.
+
+    A scan yields one task per row group, so a table written as one row group
+    is a single task however many cores there are.  Whether that is so is
+    known to whoever runs the job, not to the plan: the number comes from the
+    argument or the setting ``spark.corpusflow.spreadPartitions``, and without
+    either the rows stay where they are.  No job runs to find out.
     """
-    if df.isStreaming:
+    wanted = partitions or int(df.sparkSession.conf.get(SPREAD_CONF, "0"))
+    if df.isStreaming or not wanted:
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    return df.repartition(wanted)
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    Unlike a checkpoint it is one job, and the rows keep their compressed
+    columns.  The folder is removed when the driver's JVM ends.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path under the shared checkpoint folder, removed when the driver's JVM ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
 
 
 _ZIP_BYTES: list[bytes] = []
@@ -115,15 +137,13 @@ def ship_package(spark: SparkSession) -> None:
     shared checkpoint folder through the Hadoop file system, and distributed
     with ``addPyFile``.
     """
-    import uuid
-
     sc = spark.sparkContext
     app = sc.applicationId
     if app in _SHIPPED_TO:
         return
     jvm = sc._jvm
     target = jvm.org.apache.hadoop.fs.Path(
-        checkpoint_dir(spark).rstrip("/") + f"/pyfiles-{uuid.uuid4().hex}/corpusflow.zip")
+        scratch_path(spark, "pyfiles") + "/corpusflow.zip")
     fs = target.getFileSystem(sc._jsc.hadoopConfiguration())
     out = fs.create(target, True)
     try:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.functions.conllu import token_line
@@ -44,14 +44,33 @@ def render_conllu(tokens: DataFrame, sentences: DataFrame | None = None,
     """K1: one CoNLL-U document per article -> ``(article_id, conllu)``.
 
     The per-article collect holds the blocks of one input document, so its
-    size is bounded by the largest single text, not by the corpus.
+    size is bounded by the largest single text, not by the corpus.  Tokens that
+    bring their sentence's ``text`` on its first token (``annotate_rules(...,
+    with_text=True)``, ``parse_conllu``) need one exchange, on the article.
     """
+    if sentences is None and "text" in tokens.columns:
+        return _render_with_text(tokens, include_feats)
     blocks = render_sentences(tokens, sentences, include_feats)
     return blocks.groupBy("article_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("sent_id", "block"))),
                                  lambda b: b["block"]), "").alias("conllu"))
 
 
+def _render_with_text(tokens: DataFrame, include_feats: bool) -> DataFrame:
+    token = F.struct("sent_id", "id", token_line(include_feats).alias("line"), "text")
+    rows = tokens.groupBy("article_id").agg(F.array_sort(F.collect_list(token)).alias("ts"))
+    ts = F.col("ts")
+
+    def block_part(t: Column, i: Column) -> Column:
+        first = (i == 0) | (F.get(ts, i - 1)["sent_id"] != t["sent_id"])
+        last = (i == F.size(ts) - 1) | (F.get(ts, i + 1)["sent_id"] != t["sent_id"])
+        head = F.concat(F.lit("# sent_id = "), (t["sent_id"] + 1).cast("string"), F.lit("\n# text = "),
+                        F.coalesce(t["text"], F.lit("")), F.lit("\n"))
+        return F.concat(F.when(first, head).otherwise(""), t["line"], F.when(last, "\n\n").otherwise("\n"))
+
+    return rows.select("article_id", F.array_join(F.transform(ts, block_part), "").alias("conllu"))
+
+
 def write_conllu(docs: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Store rendered documents as parquet ``(article_id, conllu)``."""
     docs.write.mode(mode).parquet(path)

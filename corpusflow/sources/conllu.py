@@ -49,9 +49,9 @@ def read_conllu_files(spark: SparkSession, path: str, strict: bool = True) -> Da
     empties = listing.filter(F.col("length") == 0).select(
         article_id_from_name(F.col("name")).alias("article_id"))
     if strict:
-        bad = [r.article_id for r in empties.limit(20).collect()]
-        if bad:
-            raise ValueError(f"EmptyFile: conllu of articles {bad} is empty")
+        n, first = empties.agg(F.count(F.lit(1)), F.min("article_id")).first()
+        if n:
+            raise ValueError(f"EmptyFile: the conllu of {n} articles is empty, first of article {first}")
     full = (spark.read.option("pathGlobFilter", "*.conllu").text(path, wholetext=True)
             .select(article_id_from_name(F.col("_metadata.file_name")).alias("article_id"),
                     F.col("value").alias("conllu"), F.lit(False).alias("empty")))

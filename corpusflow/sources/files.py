@@ -20,6 +20,11 @@ def read_raw(spark: SparkSession, path: str, glob: str = "*_raw.txt") -> DataFra
                     F.col("value").alias("text")))
 
 
+def read_raw_table(spark: SparkSession, path: str) -> DataFrame:
+    """S1 on the table form of the raw texts (``sinks.files.write_raw``)."""
+    return spark.read.schema("article_id long, text string").parquet(path)
+
+
 def with_meta_defaults(meta: DataFrame) -> DataFrame:
     """Missing keys get defaults: ``id`` -> 0, ``title`` -> ""; others stay null."""
     return (meta.withColumn("id", F.coalesce(F.col("id"), F.lit(0).cast("bigint")))

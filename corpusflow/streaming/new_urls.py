@@ -12,14 +12,16 @@ streaming checkpoint and the output live in the shared checkpoint folder.
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.operators.links import extract_links, resolve_links
 from corpusflow.schemas import PAGE
-from corpusflow.session import checkpoint_dir
+from corpusflow.session import scratch_path
+
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def page_stream(spark: SparkSession, source_dir: str, glob: str = "*.parquet",
@@ -39,20 +41,24 @@ def link_urls(pages: DataFrame) -> DataFrame:
 
 def run_new_urls(spark: SparkSession, source_dir: str, target: str | None = None,
                  checkpoint: str | None = None, glob: str = "*.parquet",
-                 within_watermark: bool = False) -> str:
+                 within_watermark: str | None = None, max_files_per_trigger: int | None = 1000) -> str:
     """Process every page file available now, once; return the target path.
 
-    ``within_watermark`` switches to ``dropDuplicatesWithinWatermark`` on the
-    arrival time (bounded state) instead of unbounded dedupe state.
+    ``within_watermark`` (an interval such as ``1 hour``) switches to
+    ``dropDuplicatesWithinWatermark`` on the arrival time: bounded state, and a
+    URL comes again after the interval.  Without it every URL ever seen is
+    state, kept in RocksDB on the executors' disks rather than on the heap.
+    A micro-batch reads at most ``max_files_per_trigger`` files; all files
+    are processed, over several batches.
     """
-    base = checkpoint_dir(spark)
-    run = uuid.uuid4().hex
-    target = target or os.path.join(base, f"new-urls-{run}", "table")
-    checkpoint = checkpoint or os.path.join(base, f"new-urls-{run}", "checkpoint")
-    urls = link_urls(page_stream(spark, source_dir, glob))
+    base = scratch_path(spark, "new-urls")
+    target = target or os.path.join(base, "table")
+    checkpoint = checkpoint or os.path.join(base, "checkpoint")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    urls = link_urls(page_stream(spark, source_dir, glob, max_files_per_trigger))
     if within_watermark:
         urls = (urls.withColumn("_arrival", F.current_timestamp())
-                .withWatermark("_arrival", "1 hour").dropDuplicatesWithinWatermark(["url"])
+                .withWatermark("_arrival", within_watermark).dropDuplicatesWithinWatermark(["url"])
                 .drop("_arrival"))
     else:
         urls = urls.dropDuplicates(["url"])

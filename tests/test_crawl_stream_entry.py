@@ -108,7 +108,7 @@ def test_stream_within_watermark(spark):
     pages = spark.createDataFrame([(1, "https://s.ru/", '<a href="/a">a</a><a href="/a">again</a>')],
                                   "page_id bigint, url string, html string")
     pages.write.mode("overwrite").parquet(os.path.join(src, "b"))
-    tgt = run_new_urls(spark, os.path.join(src, "b"), within_watermark=True)
+    tgt = run_new_urls(spark, os.path.join(src, "b"), within_watermark="1 hour")
     assert sorted(r.url for r in spark.read.parquet(tgt).collect()) == ["https://s.ru/a"]
 
 
