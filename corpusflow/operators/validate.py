@@ -132,3 +132,14 @@ def raise_on_violation(violations: DataFrame) -> None:
         r = first[0]
         kind = "EmptyDirectory" if r["rule"].startswith("V4") else "InconsistentDataset"
         raise ValueError(f"{kind}: {r['rule']} {r['detail']}")
+
+
+def duplicate_ids(meta: DataFrame, id_col: str = "id") -> DataFrame:
+    """A7 on metadata: ids that several records hold -> ``(id, n)`` (a partial count before the shuffle)."""
+    return (meta.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
+            .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1))
+
+
+def id_mismatches(meta: DataFrame) -> DataFrame:
+    """Records whose file id (``article_id``, the key) is not the id written inside (``id``)."""
+    return meta.filter(~F.col("article_id").eqNullSafe(F.col("id"))).select("article_id", "id")

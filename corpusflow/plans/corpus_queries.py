@@ -199,3 +199,24 @@ def q_article_id_from_path(spark, sf):
                     F.concat(F.lit("x"), F.col("doc_id").cast("string"), F.lit("_meta.json")))
     d = load_table(spark, sf, "documents").select(F.explode(names).alias("name"))
     return d.select("name", P.article_id_from_name(F.col("name")).alias("article_id"))
+
+
+def _meta_with_wrong_ids(spark, sf):
+    """Meta records of the documents, as JSON text read back; every fiftieth holds its successor's id."""
+    d = load_table(spark, sf, "documents")
+    own = F.col("doc_id") + F.when(F.col("doc_id") % 50 == 0, 2).otherwise(1)
+    js = d.select((F.col("doc_id") + 1).alias("article_id"), F.to_json(F.struct(own.alias("id"), F.col("source").alias("title"))).alias("meta_json"))
+    return S.parse_meta_json(js)
+
+
+@register("duplicate_meta_ids", """
+SELECT id, count(*) AS n FROM (SELECT doc_id + CASE WHEN doc_id % 50 = 0 THEN 2 ELSE 1 END AS id FROM documents)
+GROUP BY id HAVING count(*) > 1""")
+def q_duplicate_meta_ids(spark, sf):
+    return V.duplicate_ids(_meta_with_wrong_ids(spark, sf))
+
+
+@register("meta_id_mismatch", """
+SELECT doc_id + 1 AS article_id, doc_id + 2 AS id FROM documents WHERE doc_id % 50 = 0""")
+def q_meta_id_mismatch(spark, sf):
+    return V.id_mismatches(_meta_with_wrong_ids(spark, sf))
