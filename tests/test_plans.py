@@ -32,12 +32,19 @@ def test_first_seen_uses_no_window(spark):
 def test_sequence_edges_not_windowed_by_group(spark):
     ev = load_table(spark, SF, "events")
     p = plan(G.sequence_edges(ev, "user_id", ["ts", "event_id"], "event_id", {"next": 1}))
-    # rows are numbered over range partitions; the only window sums one count
-    # per partition, never a window partitioned by the (possibly hot) group
-    assert "rangepartitioning(user_id" in p
+    # the numbered rows were written once: no range exchange is left whose bounds
+    # could differ from another's; the only window sums one count per partition,
+    # never a window partitioned by the (possibly hot) group
+    assert "rangepartitioning" not in p
     assert "windowspecdefinition(user_id" not in p
 
 
+def test_ids_do_not_depend_on_exchange_reuse(spark):
+    pages = load_table(spark, SF, "pages")
+    p = plan(L.assign_ids(pages.select("page_id", "url", "html"), ["page_id"], key=["page_id"]))
+    assert "rangepartitioning" not in p
+
+
 def test_rule_annotator_has_no_python(spark):
     p = plan(doc_tokens(spark, SF))
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p and "MapInPandas" not in p
