@@ -85,14 +85,14 @@ def test_entities(spark):
     assert _unescape(spark, values) == [pyhtml.unescape(v) for v in values]
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(st.lists(st.lists(st.sampled_from(["&", "amp", ";", "#", "x", "41", "8212", "eacute", "not", "lt", " ", "é", "&#", "&#x"]), max_size=8).map("".join),
                 min_size=1, max_size=12))
 def test_entities_as_the_parser_has_them(spark, values):
     assert _unescape(spark, values) == [pyhtml.unescape(v) for v in values]
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(st.lists(st.sampled_from([
     '<meta name="author" content="A &amp; B">', "<meta content='&laquo;C&raquo;' name='author'>", '<!-- <meta name="author" content="Ghost"> -->',
     '<meta name="author" content="">', '<meta data-x="1>0" name="author" content="D">', '<script>"<meta name=\'author\' content=\'no\'>"</script>',

@@ -1,4 +1,3 @@
-import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -17,7 +16,7 @@ def test_clean_text(spark):
     assert once == "abcd ef" and one(spark, T.clean_text, once) == once
 
 
-@pytest.mark.parametrize(("text", "want"), [
+SENTENCES = [
     ("Кот спит на диване. Пёс сидит у двери! Кто там стучит? Никого нет дома.",
      ["Кот спит на диване.", "Пёс сидит у двери!", "Кто там стучит?", "Никого нет дома."]),
     ('Он крикнул: "Бегите все сюда!" Потом стало тихо.', ['Он крикнул: "Бегите все сюда!"', "Потом стало тихо."]),
@@ -27,12 +26,16 @@ def test_clean_text(spark):
     ("Ура! Это длинное предложение здесь.", ["Это длинное предложение здесь."]),
     ("Он ушёл далеко... а потом вернулся.", ["Он ушёл далеко... а потом вернулся."]),
     ("", []), ("           ", []),
-])
-def test_split_sentences(spark, text, want):
-    assert one(spark, T.split_sentences, text) == want
+]
 
 
-@settings(max_examples=25, deadline=None)
+def test_split_sentences(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(SENTENCES)], "i int, t string")
+    got = [r.x for r in df.select("i", T.split_sentences(F.col("t")).alias("x")).orderBy("i").collect()]
+    assert got == [want for _, want in SENTENCES]
+
+
+@settings(max_examples=10, deadline=None)
 @given(st.lists(st.sampled_from(["Река", "течёт", "вниз", ".", "!", "?", "\"", " ", "\n", "и.о.", "Гл.", "…", "|", "\t"]), max_size=30))
 def test_sentences_are_pieces_of_the_text_in_order(spark, parts):
     text = " ".join(parts)
@@ -48,11 +51,14 @@ PAGE = "<html><body><h1>Новый мост через реку</h1></body></htm
 MARKERS = [m for m in T.TITLE_SPLIT_MARKERS.removeprefix("(?U)").split("|") if m.startswith("&")]
 
 
-@pytest.mark.parametrize("mark", [*MARKERS, " ", "\t", "\n", "\x0b", "\x0c", "\r", " ", " ", "　"])
-def test_title_markers(spark, mark):
-    title = mark.join(["Новый", "мост", "через", "реку", ""])
-    df = spark.createDataFrame([(title, PAGE), (PAGE[16:35], PAGE.replace(" ", mark)), ("Старый" + mark + "мост", PAGE)], "title string, html string")
-    assert [r[0] for r in df.select(T.title_in_html(F.col("title"), F.col("html"))).collect()] == [True, True, False]
+def test_title_markers(spark):
+    rows, want = [], []
+    for mark in [*MARKERS, " ", "\t", "\n", "\x0b", "\x0c", "\r", "\u00a0", "\u2003", "\u3000"]:
+        rows += [(len(rows), mark.join(["Новый", "мост", "через", "реку", ""]), PAGE),
+                 (len(rows) + 1, PAGE[16:35], PAGE.replace(" ", mark)), (len(rows) + 2, "Старый" + mark + "мост", PAGE)]
+        want += [True, True, False]
+    df = spark.createDataFrame(rows, "i int, title string, html string")
+    assert [r.ok for r in df.select("i", T.title_in_html(F.col("title"), F.col("html")).alias("ok")).orderBy("i").collect()] == want
 
 
 def test_title_quot_and_backslash(spark):
