@@ -1,22 +1,21 @@
 """N-gram Jaccard join by vertical partitioning.
 
-The n-grams have one global order (their 64-bit hash).  Cutting it into
-fragments cuts each document's set into segments.  Two sets of Jaccard
-similarity t or more differ in at most D n-grams, a number that follows from
-their sizes, so of D + 1 fragments at least one holds the same segment in both:
-
-1. *candidates*: each set emits the hashes of its first D + 1 + SPARE segments
-   (D for the largest partner it can have; the number of fragments belongs to a
-   class of sizes, and a set near the upper end of a class also emits for the
-   next one).  Sets that share a segment hash are joined to the first of them.
-   Empty segments count as shared only for sets with more than SPARE of them,
-   which keeps the pigeonhole argument exact without one huge list;
-2. candidate links are closed to groups (connected components);
-3. *partial overlaps*: a group's sets meet in one task (a large group is dealt out
+The n-grams have one global order, and the order is cut into fragments; each
+document's set is cut into segments with it.
+
+1. *Candidates*.  Of two sets that link, the first |x| - t |x| + 1 n-grams of each
+   (its prefix) have one in common, whatever the order is.  The order puts the
+   first fragment (n-grams of small hash, POOL times what a prefix needs) in front,
+   and in it the rarest n-grams first; the rest follows by hash.  So only the first
+   fragment is counted, and n-grams that one set alone has fill most prefixes:
+   such sets have no candidates.  Sets that share a prefix n-gram (and are of like
+   size) are joined to the first of them.
+2. Candidate links are closed to groups (connected components).
+3. *Partial overlaps*.  A group's sets meet in one task (a large group is dealt out
    in pairs of blocks), the overlaps of every fragment are counted separately and
    summed per pair, and the sums decide; only a spanning forest of the links and
-   each set's number of links leave the task, never the pairs;
-4. the links are closed to components.
+   each set's number of links leave the task, never the pairs.
+4. The links are closed to components.
 
 No link is lost: steps 1 and 3 are exact.  Exact copies are one set throughout.
 """
@@ -29,21 +28,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.llm.common import staged, workers_ready
 from corpusflow.llm.components import connected_components
 from corpusflow.llm.textblocks import Words, blocks, gram_hashes, mix
 
-SPARE = 2
-CLASS_RATIO = 1.5
+#: The first fragment's share of all n-grams, as a multiple of a prefix's share.
+POOL = 2.0
 BLOCK_SETS = 512
 BLOCK_GRAMS = 1_000_000
 _COLUMNS = 4096
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_SALT = np.uint64(0x5851F42D4C957F2D)
 
 
 @dataclass(frozen=True)
@@ -57,14 +55,14 @@ class Threshold:
         """The most n-grams by which a set of size a can differ from a linked set."""
         return (a + a * self.den // self.num) * (self.den - self.num) // (self.den + self.num)
 
-    def classes(self, upto: int) -> list[tuple[int, int, int]]:
-        """(least size, first size above, fragments) of the size classes."""
-        out, lo = [], 1
-        while lo <= upto:
-            hi = max(lo + 1, int(lo * max(CLASS_RATIO, self.den / self.num)) + 1)
-            out.append((lo, hi, self.differs(hi) + 1 + SPARE))
-            lo = hi
-        return out
+    def prefix(self, n: int) -> int:
+        """How many n-grams of a set of size n hold one of any linked set's prefix."""
+        return n - -(-n * self.num // self.den) + 1
+
+    def first_fragment(self) -> np.uint64:
+        """The hash below which an n-gram is in the first fragment."""
+        share = min(1.0, POOL * (self.den - self.num) / self.den)
+        return np.uint64(min((1 << 64) - 1, int(share * (1 << 64))))
 
 
 def shingle_sets(words: Words, k: int) -> Iterator[np.ndarray]:
@@ -84,68 +82,72 @@ def shingle_sets(words: Words, k: int) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
-def segment_keys(grams: np.ndarray, limit: Threshold, classes: list[tuple[int, int, int]]) -> np.ndarray:
-    """Hashes of the segments that a set emits (none if only an equal set can link)."""
-    n = len(grams)
-    differs = limit.differs(n)
-    if not differs:
-        return np.zeros(0, np.uint64)
-    emit = differs + 1 + SPARE
-    own = next(i for i, (lo, hi, _) in enumerate(classes) if lo <= n < hi)
-    above = n * limit.den // limit.num >= classes[own][1]
-    total = np.zeros(n + 1, np.uint64)
-    out = []
-    with np.errstate(over="ignore"):
-        np.cumsum(mix(grams ^ _SALT), out=total[1:])
-        for c in (own, own + 1) if above else (own,):
-            parts = classes[c][2]
-            at = np.searchsorted((grams >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32),
-                                 np.arange(min(emit, parts) + 1, dtype=np.uint64))
-            size = np.diff(at)
-            place = mix(np.arange(len(size), dtype=np.uint64) + np.uint64(c << 40))
-            keys = mix((total[at[1:]] - total[at[:-1]]) ^ place)
-            full = size > 0
-            out.append(keys if len(full) - full.sum() > SPARE else keys[full])
-    return np.concatenate(out)
-
-
-def _sets(k: int):
+def _sets(k: int, limit: Threshold):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edge = limit.first_fragment()
         for batch in batches:
-            n, hi, lo = [], [], []
+            n, low, hi, lo = [], [], [], []
             for _, _, words in blocks(batch.column(1)):
                 for grams in shingle_sets(words, k):
                     sign = np.frombuffer(hashlib.blake2b(grams.tobytes(), digest_size=16).digest(), np.int64)
                     n.append(len(grams))
+                    low.append(int(np.searchsorted(grams, edge)))
                     hi.append(sign[0])
                     lo.append(sign[1])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(hi, pa.int64()),
-                                              pa.array(lo, pa.int64())], ["doc_id", "n", "s1", "s2"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in (n, low, hi, lo))],
+                                             ["doc_id", "n", "low", "s1", "s2"])
     return run
 
 
-def _keys(k: int, limit: Threshold):
+def _first_grams(k: int, limit: Threshold):
+    """Each set's n-grams of the first fragment, and the next ones by hash if these are fewer than its prefix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = limit.classes(1 << 40)
+        edge = limit.first_fragment()
         for batch in batches:
             seen: set[bytes] = set()
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for lo, _, words in blocks(batch.column(1)):
-                keys, owner = [], []
+                parts, owner, size = [], [], []
                 for i, grams in enumerate(shingle_sets(words, k)):
+                    if not limit.differs(len(grams)):  # only an equal set can link
+                        continue
                     sign = hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
                     if sign in seen:  # of equal sets one speaks for all
                         continue
                     seen.add(sign)
-                    own = segment_keys(grams, limit, classes)
-                    keys.append(own)
-                    owner.append(np.full(len(own), ids[lo + i], np.int64))
-                if keys:
+                    own = grams[:max(int(np.searchsorted(grams, edge)), limit.prefix(len(grams)))]
+                    parts.append(own)
+                    owner.append(ids[lo + i])
+                    size.append(len(own))
+                if parts:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(owner))], ["key", "doc_id"])
+                        [pa.array(np.concatenate(parts).view(np.int64)), pa.array(np.repeat(np.array(owner, np.int64), size))],
+                        ["gram", "doc_id"])
     return run
 
 
+def _prefix_keys(docs: DataFrame, sets: DataFrame, k: int, limit: Threshold) -> DataFrame:
+    """``(key, doc_id)``: a key per n-gram of a set's prefix that other sets have too, for two size classes."""
+    edge = int(limit.first_fragment())
+    # unsigned order of a signed column: the first fragment is what is below the edge
+    upper = F.col("gram") < edge - (1 << 64) if edge >= 1 << 63 else F.lit(False)
+    below = F.when(F.col("gram") >= 0, F.col("gram") < min(edge, (1 << 63) - 1)).otherwise(upper)
+    shared = docs.mapInArrow(_first_grams(k, limit), "gram long, doc_id long") \
+        .withColumn("sets", F.count(F.lit(1)).over(Window.partitionBy("gram"))).filter("sets > 1")
+    listed = shared.groupBy("doc_id").agg(
+        F.array_sort(F.collect_list(F.when(below, F.struct("sets", "gram")))).alias("front"),
+        F.collect_list(F.when(~below, F.col("gram"))).alias("rest"))
+    prefix = F.col("n") - F.ceil(F.col("n") * limit.num / limit.den) + 1
+    # the n-grams that no other set has come first and have no candidates
+    places = F.greatest(prefix - (F.col("low") - F.size("front")), F.lit(0)).cast("int")
+    own = F.concat(F.transform(F.slice("front", F.lit(1), places), lambda x: x["gram"]), F.col("rest"))
+    like = F.floor(F.log(F.col("n")) / F.log(F.lit(limit.den / limit.num)) + 1e-9).cast("long")
+    return listed.join(sets.select("doc_id", "n", "low").distinct(), "doc_id") \
+        .select("doc_id", like.alias("like"), F.explode(own).alias("gram")) \
+        .select("doc_id", "gram", F.explode(F.array(F.col("like"), F.col("like") + 1)).alias("like")) \
+        .select(F.xxhash64("gram", "like").alias("key"), "doc_id")
+
+
 def _first_of_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (key, doc_id): links from each key's first document to the others."""
     last_key = last_hub = None
@@ -278,12 +280,12 @@ def jaccard_join(docs: DataFrame, k: int = 5, limit: Threshold = Threshold(80, 1
     other columns are ignored.
     """
     docs = workers_ready(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sets = staged(docs.mapInArrow(_sets(k), "doc_id long, n long, s1 long, s2 long"), "join-sets")
+    sets = staged(docs.mapInArrow(_sets(k, limit), "doc_id long, n long, low long, s1 long, s2 long"), "join-sets")
     known = sets.filter("n > 0 and doc_id is not null")
     same = known.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     member = staged(known.join(same, ["s1", "s2"]).select("doc_id", "rep", "copies"), "join-members")
 
-    keys = docs.filter("doc_id is not null").mapInArrow(_keys(k, limit), "key long, doc_id long")
+    keys = _prefix_keys(docs.filter("doc_id is not null"), known, k, limit)
     near = keys.repartition("key").sortWithinPartitions("key", "doc_id") \
         .mapInArrow(_first_of_run, "u long, v long").distinct()
     reps = member.select("doc_id", "rep")
@@ -323,4 +325,4 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """
     found = jaccard_join(docs.select("doc_id", "text"), **options)
     extra = found.filter("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(extra, "doc_id", "left_anti")
+    return docs.join(extra.hint("merge"), "doc_id", "left_anti")  # it grows with the corpus
