@@ -14,18 +14,22 @@ from pyspark.sql import functions as F
 from corpusflow.llm.common import staged
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+#: Links that one task of a round handles; a round of few links runs few tasks.
+TASK_LINKS = 100_000
+
+
+def _large_star(edges: DataFrame, tasks: int) -> DataFrame:
     both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).coalesce(tasks)
     return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")) \
-        .filter("u <> v").distinct()
+        .filter("u <> v").coalesce(tasks)
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, tasks: int) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    return down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v") \
-        .unionAll(least.select("u", F.col("m").alias("v"))).distinct()
+    least = down.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks)
+    return down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").coalesce(tasks) \
+        .unionAll(least.select("u", F.col("m").alias("v"))).distinct().coalesce(tasks)
 
 
 def connected_components(edges: DataFrame, label: str = "components") -> DataFrame:
@@ -35,12 +39,13 @@ def connected_components(edges: DataFrame, label: str = "components") -> DataFra
     null end is ignored; no links give no rows.
     """
     at = staged(edges.select("u", "v").filter("u <> v").distinct(), label)
-    state = None
+    state, count = None, at.count()
     while True:
-        at = staged(_small_star(_large_star(at)), label)
+        tasks = max(6, -(-2 * count // TASK_LINKS))
+        at = staged(_small_star(_large_star(at, tasks), tasks), label)
         now = at.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
-        state = now
+        state, count = now, now[0]
     return at.select(F.col("u").alias("node"), F.col("v").alias("component")) \
         .unionAll(at.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
