@@ -7,9 +7,10 @@ gives.)  The text is prepared as the model says: a space in front, spaces writte
 as U+2581; a character without a piece costs UNKNOWN more than the worst piece and
 becomes its bytes' pieces.
 
-No piece holds a space mark after another character, so the places before such
-marks are always cut, and a word with the marks before it has the same best
-segmentation everywhere: ordinary documents are put together from remembered words.
+No piece holds a space mark after another character, so the places before such marks
+are always cut, as those around white space that is in no piece, and a word with the
+marks before it has the same best segmentation everywhere: ordinary documents are
+put together from remembered words.
 
 A giant document is cut into chunks, whatever its characters.  A piece may reach
 over the end of a chunk, so a chunk's state is how far behind its beginning the first
@@ -32,13 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.llm.common import staged, workers_ready
+from corpusflow.llm.packing import WordIds
+from corpusflow.llm.textblocks import Words, arrays, mix, row_of
 
 #: Code points beyond which a document is cut, and of a chunk; chunks of a block.
 GIANT, CHUNK, BLOCK = 16_384, 8_192, 256
 #: As in the library: what an unknown character costs beyond the worst piece.
 UNKNOWN = 10
 MARK = "▁"
-_REMEMBERED = 300_000
 _NEVER = -(1 << 60)
 _UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -53,8 +55,20 @@ class Lattice:
         self.pieces, self.bytes_at = pieces, bytes_at
         self.reach = max(map(len, pieces))
         self.unknown = min(s for _, s in pieces.values()) - UNKNOWN
-        self._said: dict[str, tuple[bytes, int]] = {}
-        self._text: dict[int, str] = {n: p for p, (n, _) in pieces.items()}
+        if any(MARK in p.lstrip(MARK) for p in pieces):
+            raise ValueError("a piece holds a space mark after another character")
+        used = {c for p in pieces for c in p}
+        self._space = np.zeros(256, bool)  # spaces, and other white space that is in no piece
+        self._space[[ord(c) for c in " \t\n\r\v\f" if c == " " or c not in used]] = True
+        top = max(max(n for n, _ in pieces.values()), bytes_at + 255) + 1
+        self._scores = np.zeros(top, np.int64)
+        # what an id spells: a piece, a byte below 128, or a byte (as a number) of a longer character
+        self._spelling: list[str | int] = [""] * top
+        for b in range(256):
+            self._spelling[bytes_at + b] = chr(b) if b < 128 else b
+        for piece, (n, score) in pieces.items():
+            self._scores[n], self._spelling[n] = score, piece
+        self._known = WordIds(lambda words: [self._numbers(w) for w in words])
 
     @classmethod
     def load(cls, path: str) -> Lattice:
@@ -64,10 +78,7 @@ class Lattice:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         size = model.get_piece_size()
         plain = [i for i in range(size) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
-        lattice = cls({model.id_to_piece(i): (i, round(model.get_score(i))) for i in plain}, model.piece_to_id("<0x00>"))
-        if any(MARK in p.lstrip(MARK) for p in lattice.pieces):
-            raise ValueError("a piece holds a space mark after another character")
-        return lattice
+        return cls({model.id_to_piece(i): (i, round(model.get_score(i))) for i in plain}, model.piece_to_id("<0x00>"))
 
     def _steps(self, text: str, end: int, least: int) -> Iterator[tuple[int, int]]:
         """(start, score) of the pieces that end at ``end`` and start at ``least`` or later, longest first."""
@@ -97,43 +108,98 @@ class Lattice:
             end = back[end]
         return cuts[::-1], best[-1]
 
-    def _numbers(self, piece: str) -> list[int]:
-        known = self.pieces.get(piece)
-        return [known[0]] if known is not None else [self.bytes_at + b for b in piece.encode()]
-
-    def unit(self, text: str) -> tuple[bytes, int]:
-        """Ids (little-endian, 32 bits) and score of a text without an inner sure cut."""
-        known = self._said.get(text)
-        if known is None:
-            cuts, score = self.path(text)
-            ids = [n for a, b in zip([0, *cuts], cuts, strict=False) for n in self._numbers(text[a:b])]
-            known = np.array(ids, "<u4").tobytes(), score
-            if len(self._said) >= _REMEMBERED:
-                self._said.clear()
-            if len(text) <= 64:
-                self._said[text] = known
-        return known
-
-    def encode(self, prepared: str) -> tuple[bytes, int]:
+    def _numbers(self, text: str) -> list[int]:
+        """Ids of a text's best segmentation."""
+        out: list[int] = []
+        at = 0
+        for cut in self.path(text)[0]:
+            known = self.pieces.get(text[at:cut])
+            out += [known[0]] if known is not None else [self.bytes_at + b for b in text[at:cut].encode()]
+            at = cut
+        return out
+
+    def encode_many(self, texts: list[str], dummy: bool) -> list[np.ndarray]:
+        """Ids of plain texts (spaces as spaces), with the model's space in front if ``dummy``.
+
+        A text is cut into words with the spaces before them, and what else stands
+        between: white space that is in no piece, so all these places are sure cuts.  Only words that this worker has not met are segmented.
+        """
+        raw = [t.replace(MARK, " ").encode() for t in texts]
+        at = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        words = Words(data, at, self._space)
+        text = row_of(words.first)
+        n = len(words)
+        if not n:
+            return [self._plain_ids(t, dummy) for t in texts]
+        start, end = words.start, words.end
+        # spaces right before each word, and what stands between these and the word before
+        solid = np.maximum.accumulate(np.where(data != 0x20, np.arange(len(data)), -1))
+        spaces = start - 1 - np.maximum(np.where(start > 0, solid[start - 1], -1), at[text] - 1)
+        begins = np.zeros(n, bool)
+        begins[words.first[:-1][np.diff(words.first) > 0]] = True
+        before = np.where(begins, at[text], np.concatenate([[0], end[:-1]]))
+        between = start - spaces - before
+        odd = np.diff(words.first) == 0
+        odd[text[begins & (between > 0)]] = True
+        spaces = spaces + (begins & dummy)
+        last = words.first[1:][~(np.diff(words.first) == 0)] - 1
+        rest = at[1:][text[last]] - end[last]
+        gap, tail = np.flatnonzero(~begins & (between > 0)), last[rest > 0]
+        gaps = Words.__new__(Words)
+        gaps.data = data
+        gaps.start = np.concatenate([before[gap], end[tail]])
+        gaps.end = np.concatenate([before[gap] + between[gap], at[1:][text[tail]]])
+        sorted_ = np.argsort(gaps.start, kind="stable")
+        gaps.start, gaps.end = gaps.start[sorted_], gaps.end[sorted_]
+        hashes = np.concatenate([mix(words.hashes() + spaces.astype(np.uint64) * np.uint64(0x632BE59BD9B4E019)),
+                                 mix(gaps.hashes() ^ np.uint64(0x5851F42D4C957F2D))])
+        place = np.concatenate([np.arange(n) * 3 + 1, np.concatenate([gap * 3, tail * 3 + 2])[sorted_]])
+        order = np.argsort(place, kind="stable")
+        whole = data.tobytes()
+
+        def spelled(i: int) -> str:
+            j = int(order[i])
+            if j < n:
+                return MARK * int(spaces[j]) + whole[start[j]:end[j]].decode()
+            return whole[gaps.start[j - n]:gaps.end[j - n]].decode().replace(" ", MARK)
+
+        ids, size = self._known.ids(hashes[order], spelled)
+        total = np.concatenate([[0], np.cumsum(size)])
+        of = text[place[order] // 3]
+        edge = total[np.searchsorted(of, np.arange(len(texts) + 1))]
+        return [self._plain_ids(t, dummy) if o else ids[x:y] for t, o, x, y in zip(texts, odd.tolist(), edge[:-1], edge[1:], strict=True)]
+
+    def _plain_ids(self, text: str, dummy: bool) -> np.ndarray:
+        return np.array(self._numbers((MARK if dummy and text else "") + text.replace(" ", MARK)), np.uint32)
+
+    def score(self, ids: np.ndarray) -> int:
+        """Score of a segmentation: an unknown character counts once, at its first byte."""
+        raw = ids.astype(np.int64) - self.bytes_at
+        is_byte = (raw >= 0) & (raw < 256)
+        unknown = int((is_byte & ((raw & 0xC0) != 0x80)).sum())
+        return int(self._scores[ids[~is_byte]].sum()) + unknown * self.unknown
+
+    def encode(self, text: str) -> tuple[bytes, int]:
         """Ids and score of a prepared text (or of a part between two cuts)."""
-        said = [self.unit(u) for u in _UNIT.findall(prepared)]
-        return b"".join([s[0] for s in said]), sum([s[1] for s in said])
+        ids = self.encode_many([text.replace(MARK, " ")], False)[0]
+        return ids.astype("<u4").tobytes(), self.score(ids)
 
     def decode(self, ids: bytes) -> str:
         """The prepared text again."""
-        out, raw = [], bytearray()
-        text, low = self._text, self.bytes_at
-        for n in np.frombuffer(ids, "<u4").tolist():
-            if n in text:
-                if raw:
-                    out.append(raw.decode(errors="replace"))
-                    raw.clear()
-                out.append(text[n])
-            else:
-                raw.append(n - low)
-        if raw:
-            out.append(raw.decode(errors="replace"))
-        return "".join(out)
+        out = [self._spelling[n] for n in np.frombuffer(ids, "<u4").tolist()]
+        if not any(isinstance(x, int) for x in out):
+            return "".join(out)
+        text, raw = [], bytearray()
+        for x in out:
+            if isinstance(x, int):
+                raw.append(x)
+                continue
+            if raw:
+                text.append(raw.decode(errors="replace"))
+                raw.clear()
+            text.append(x)
+        return "".join(text) + raw.decode(errors="replace")
 
     def matrix(self, text: str, size: int) -> np.ndarray:
         """Best scores from each entry to each exit of the chunk text[:size]; text goes on up to reach - 1 further.
@@ -210,31 +276,36 @@ def _lattice(path: str) -> Lattice:
     return _LATTICES[path]
 
 
+def _parts(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """Runs of rows of about a megabyte of text."""
+    offsets, _ = arrays(column)
+    lo, n = 0, len(column)
+    while lo < n:
+        hi = min(n, max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + (1 << 20), side="right")) - 1))
+        yield lo, hi
+        lo = hi
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string()]
     names = [c.split()[0] for c in OUT.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
-def _row(lattice: Lattice, doc_id: int | None, chunk: int, start: int, part: str) -> tuple:
-    ids, score = lattice.encode(part)
-    text = lattice.decode(ids).replace(MARK, " ")
-    return doc_id, chunk, start, len(ids) // 4, zlib.crc32(ids), score, ids, text if start else text[1:]
+def _row(lattice: Lattice, doc_id: int | None, chunk: int, start: int, ids: np.ndarray) -> tuple:
+    raw = ids.astype("<u4").tobytes()
+    text = lattice.decode(raw).replace(MARK, " ")
+    return doc_id, chunk, start, len(ids), zlib.crc32(raw), lattice.score(ids), raw, text if start else text[1:]
 
 
 def _whole(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = _lattice(path)
         for batch in batches:
-            rows, held = [], 0
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                rows.append(_row(lattice, doc_id, 0, 0, prepared(text)))
-                held += len(text or "")
-                if held > 1 << 20:
-                    yield _batch(rows)
-                    rows, held = [], 0
-            if rows:
-                yield _batch(rows)
+            for lo, hi in _parts(batch.column(1)):
+                texts = [t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()]
+                ids = lattice.encode_many(texts, True)
+                yield _batch([_row(lattice, d, 0, 0, i) for d, i in zip(batch.column(0).slice(lo, hi - lo).to_pylist(), ids, strict=True)])
     return run
 
 
@@ -264,10 +335,11 @@ def _trace(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = _lattice(path)
         for batch in batches:
-            rows = [_row(lattice, doc_id, chunk, chunk * CHUNK + entry, part[entry:min(CHUNK, len(part)) + exit_])
-                    for doc_id, chunk, part, entry, exit_ in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
-            if rows:
-                yield _batch(rows)
+            doc_id, chunk, part, entry, exit_ = (c.to_pylist() for c in batch.columns)
+            for lo in range(0, len(part), 100):
+                own = range(lo, min(lo + 100, len(part)))
+                ids = lattice.encode_many([part[i][entry[i]:min(CHUNK, len(part[i])) + exit_[i]].replace(MARK, " ") for i in own], False)
+                yield _batch([_row(lattice, doc_id[i], chunk[i], chunk[i] * CHUNK + entry[i], x) for i, x in zip(own, ids, strict=True)])
     return run
 
 
@@ -275,18 +347,18 @@ def _states(chunks: DataFrame) -> DataFrame:
     """``(row, chunk, entry, exit)`` from the chunks' matrices: products of blocks, states of blocks, states of chunks."""
     import pandas as pd
 
-    def product(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def product(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         total = None
         for raw in rows.sort_values("chunk")["matrix"]:
             total = _square(raw) if total is None else max_plus(total, _square(raw))
         return pd.DataFrame({"row": [key[0]], "block": [key[1]], "matrix": [total.astype("<i8").tobytes()]})
 
-    def over_blocks(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def over_blocks(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("block")
         found = trace_states([_square(raw) for raw in rows["matrix"]], 0, 0)
         return pd.DataFrame({"row": key[0], "block": rows["block"], "entry": [a for a, _ in found], "exit": [b for _, b in found]})
 
-    def over_chunks(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def over_chunks(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("chunk")
         found = trace_states([_square(raw) for raw in rows["matrix"]], int(rows["entry"].iloc[0]), int(rows["exit"].iloc[0]))
         return pd.DataFrame({"row": key[0], "chunk": rows["chunk"], "entry": [a for a, _ in found], "exit": [b for _, b in found]})

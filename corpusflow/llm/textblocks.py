@@ -67,10 +67,10 @@ def arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """Words of consecutive texts: byte ranges, and the first word of each text."""
 
-    def __init__(self, data: np.ndarray, text_at: np.ndarray):
-        """``data``: the texts' bytes, one after another; ``text_at``: n + 1 offsets into it."""
+    def __init__(self, data: np.ndarray, text_at: np.ndarray, space: np.ndarray = _SPACE):
+        """``data``: the texts' bytes, one after another; ``text_at``: n + 1 offsets into it; ``space``: which bytes part words."""
         self.data, self.text_at = data, text_at
-        solid = ~_SPACE[data]
+        solid = ~space[data]
         starts, ends = solid.copy(), solid.copy()
         starts[1:] &= ~solid[:-1]
         ends[:-1] &= ~solid[1:]
