@@ -68,6 +68,8 @@ class Lattice:
             self._spelling[bytes_at + b] = chr(b) if b < 128 else b
         for piece, (n, score) in pieces.items():
             self._scores[n], self._spelling[n] = score, piece
+        self._begun: dict[str, int | None] = {p[:i]: None for p in pieces for i in range(1, len(p))}
+        self._begun.update({p: score for p, (_, score) in pieces.items()})
         self._known = WordIds(lambda words: [self._numbers(w) for w in words])
 
     @classmethod
@@ -92,16 +94,25 @@ class Lattice:
 
     def path(self, text: str) -> tuple[list[int], int]:
         """Cuts of the best segmentation (without 0) and its score; of equal last pieces the longest."""
-        best, back = [0] + [_NEVER] * len(text), [0] * (len(text) + 1)
-        get, reach, unknown = self.pieces.get, self.reach, self.unknown
-        for end in range(1, len(text) + 1):
-            top, at = _NEVER, end - 1
-            for start in range(max(0, end - reach), end):
-                known = get(text[start:end])
-                score = best[start] + (known[1] if known is not None else unknown if start == end - 1 else _NEVER)
-                if score > top:
-                    top, at = score, start
-            best[end], back[end] = top, at
+        size = len(text)
+        best, back = [0] + [_NEVER] * size, [0] * (size + 1)
+        get, reach, unknown = self._begun.get, self.reach, self.unknown
+        for start in range(size):
+            base = best[start]
+            for end in range(start + 1, min(size, start + reach) + 1):
+                score = get(text[start:end], _NEVER)  # None: only the beginning of pieces
+                if score is None or score == _NEVER:
+                    if end > start + 1:
+                        if score is None:
+                            continue
+                        break
+                    first, score = score, unknown
+                else:
+                    first = None
+                if base + score > best[end]:
+                    best[end], back[end] = base + score, start
+                if first == _NEVER:
+                    break
         cuts, end = [], len(text)
         while end:
             cuts.append(end)
