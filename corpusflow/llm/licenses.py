@@ -18,9 +18,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusflow.llm.license_texts import BSD_2_CLAUSE, BSD_3_CLAUSE, CC0, GPL_3_NOTICE, ISC, UNLICENSE
+
 THRESHOLD = 0.8
 
-# Short licences and notices, as published.
+# Short licences and notices, as published.  Beginnings of a licence that stand alone as a notice come
+# before the full text.
 TEMPLATES: dict[str, list[str]] = {
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
@@ -46,18 +49,22 @@ TEMPLATES: dict[str, list[str]] = {
         following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and
         the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED
         BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
-        IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."""],
+        IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.""",
+        BSD_2_CLAUSE],
+    "BSD-3-Clause": [BSD_3_CLAUSE],
     "ISC": [
         """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
         provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND
         THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND
-        FITNESS."""],
+        FITNESS.""",
+        ISC],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
         """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as
         published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.""",
         """This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty
-        of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."""],
+        of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.""",
+        GPL_3_NOTICE],
     "MPL-2.0": [
         """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed
         with this file, You can obtain one at http://mozilla.org/MPL/2.0/."""],
@@ -67,8 +74,10 @@ TEMPLATES: dict[str, list[str]] = {
                      "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.",
                      "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
-    "CC0-1.0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."],
-    "Unlicense": ["This is free and unencumbered software released into the public domain."],
+    "CC0-1.0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+                CC0],
+    "Unlicense": ["This is free and unencumbered software released into the public domain.",
+                  UNLICENSE],
 }
 
 
