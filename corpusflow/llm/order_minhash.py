@@ -1,6 +1,9 @@
 """Order MinHash fingerprints: sensitive to edit distance, not only to shared parts.
 
-A text is a row of symbols (runs of at most SYMBOL code points without white space).
+A text is a row of symbols: words of at most SYMBOL code points, pieces of longer words and
+runs, and single code points of scripts that are written without spaces.  Where a long run is cut
+depends on the code points there, not on the distance from its beginning, so that an edit changes
+only the symbols around it.
 Its k-mers, numbered by occurrence (the second time a k-mer comes it is another
 item), are hashed, and the hash deals each to one of TUPLES x SIZE slots; the least hash of
 a slot is selected.  The SIZE selected k-mers of a tuple are put back into their text
@@ -25,6 +28,19 @@ BUCKET_BYTES = 4_000_000
 MAX_BUCKETS = 1 << 17
 _CUTS = 64
 
+#: Scripts written without spaces (Thai to Burmese, Khmer, Chinese, Japanese and Yi with their signs and wide forms).
+_SINGLE = r"\x{0E00}-\x{109F}\x{1780}-\x{17FF}\x{2E80}-\x{A4CF}\x{F900}-\x{FAFF}\x{FF00}-\x{FFEF}\x{1B000}-\x{1B16F}\x{20000}-\x{3FFFF}"
+_OTHER = rf"[^\s{_SINGLE}]"
+#: Long runs are cut behind these (every eighth code point of ASCII).
+_CUT = r"[%\-5=EMU\]emu}]"
+_SYMBOLS = "|".join((
+    rf"[{_SINGLE}]",
+    rf"(?<!{_OTHER}){_OTHER}{{1,{SYMBOL}}}+(?!{_OTHER})",  # a whole word
+    rf"{_OTHER}{{3,31}}?{_CUT}",  # of a longer one: up to a cut
+    rf"{_OTHER}{{1,32}}+(?!{_OTHER})",  # its end
+    rf"({_OTHER})\1{{31}}",  # far from a cut: one code point again and again
+    _OTHER))
+
 
 def _bucket(docs: DataFrame) -> tuple[Column, int]:
     """A number that grows with ``doc_id``, and how many there are at most."""
@@ -65,7 +81,7 @@ def _ordered(docs: DataFrame) -> DataFrame:
 
 
 def _kmers(body: Column, k: int) -> Column:
-    symbols = F.regexp_extract_all(body, F.lit(rf"\S{{1,{SYMBOL}}}"), F.lit(0))
+    symbols = F.regexp_extract_all(body, F.lit(_SYMBOLS), F.lit(0))
     return F.explode(F.array(symbols)), F.arrays_zip(*(
         F.col("symbols") if i == 0 else F.slice("symbols", F.lit(i + 1), F.greatest(F.size("symbols"), F.lit(1))) for i in range(k)))
 

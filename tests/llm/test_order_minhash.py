@@ -78,3 +78,27 @@ def test_edges_of_the_input(spark):
 def test_no_python_on_the_main_path(spark):
     plan = order_minhash(spark.createDataFrame([(1, "a")], "doc_id long, text string"))._jdf.queryExecution().toString()
     assert not any(w in plan for w in ("Python", "Pandas", "MapInArrow"))
+
+
+def test_one_insertion_in_a_text_without_spaces(spark):
+    rnd = random.Random(6)
+
+    def of(alphabet, n=4_000):
+        return "".join(rnd.choice(alphabet) for _ in range(n))
+
+    base64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    code = "".join(f"function {c}(a,{c}){{return a[{i}]+{c}*{i * 7}}};".replace(" ", "_") for i, c in enumerate(of("abcxyz", 200)))
+    texts = {"han": of([chr(x) for x in range(0x4E00, 0x9FA5)]), "rare han": of([chr(x) for x in range(0x20000, 0x2A000)]),
+             "kana": of([chr(x) for x in range(0x3042, 0x3094)]), "thai": of([chr(x) for x in range(0x0E01, 0x0E2F)]),
+             "base64": of(base64), "hex": of("0123456789abcdef"), "digits": of("0123456789"), "code": code,
+             "cyrillic": of([chr(x) for x in range(0x430, 0x450)]), "one": "z" * 4_000}
+    docs = []
+    for i, text in enumerate(texts.values()):
+        half = len(text) // 2
+        for j, x in enumerate((text, "a" + text, text, text[:half] + "a" + text[half:])):
+            docs.append((i * 10 + 9 - j, x))
+    rows = {r.doc_id: r for r in order_minhash(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for i, name in enumerate(texts):
+        assert rows[i * 10 + 9].near_next > 0.8, name  # one put in front
+        if name != "one":  # that has few symbols
+            assert rows[i * 10 + 7].near_next > 0.8, name  # and in the middle
