@@ -147,3 +147,58 @@ def test_full_licence_texts_as_published(spark):
     want = {1: "BSD-2-Clause", 2: "BSD-3-Clause", 3: "ISC", 4: "Unlicense", 5: "CC0-1.0"}
     assert {r.doc_id: r.license for r in rows} == {d: want[d] for d, _ in docs}
     assert all(r.dice > 0.85 for r in rows)
+
+
+APACHE = """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+"""
+GPL = """ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+ * GNU General Public License for more details.
+ *
+ * You should have received a copy of the GNU General Public License
+ * along with this program.  If not, see <https://www.gnu.org/licenses/>.
+"""
+
+
+def test_notices_wrapped_inside_longer_documents(spark):
+    code = "\n".join(f"def f{i}(x{i}): return x{i} * {i} + g{i}(x{i})" for i in range(200)) + "\n"
+    mit = BSD_2.split("\n", 4)[4]
+    docs = [(1, "# coding\n" + APACHE + "\n" + code), (2, "/*\n" + GPL + " */\n" + code), (3, code + "\n" + ISC + "\n" + code),
+            (4, code + APACHE + code + UNLICENSE), (5, code + mit + "\n\n" + APACHE + code), (6, BSD_2 + "\nParts are\n" + APACHE),
+            (7, code + "Licensed under\nCC BY 4.0.\n" + code), (8, code), (9, BSD_2), (10, code + "\r\n".join(APACHE.split("\n")))]
+    df = spark.createDataFrame([*docs, (None, docs[0][1]), (1, docs[0][1])], "doc_id long, text string")
+    got = {}
+    for r in license_scan(df).collect():
+        got.setdefault(r.doc_id, []).append((r.line, r.license, r.dice > 0.9))
+    at = {d: text.split("\n") for d, text in docs}
+
+    def line(d, begin, nth=0):
+        return [i for i, x in enumerate(at[d]) if x.strip(" #*").startswith(begin)][nth]
+
+    apache, gpl = "Licensed under the Apache", "This program is free"
+    assert sorted(got[1]) == [(1, "Apache-2.0", True)] == sorted(got[None])
+    assert sorted(got[2]) == [(1, "GPL-3.0", True)]
+    assert [(x, ok) for _, x, ok in got[3]] == [("ISC", True)]
+    assert {(line(4, apache), "Apache-2.0", True)} <= set(got[4]) and {x for _, x, _ in got[4]} == {"Apache-2.0", "Unlicense"}
+    assert sorted(x for _, x, _ in got[5]) == ["Apache-2.0", "BSD-2-Clause"]
+    assert {x for _, x, _ in got[6]} == {"Apache-2.0", "BSD-2-Clause"}
+    assert got[7] == [(line(7, "Licensed under"), "CC-BY-4.0", True)]
+    assert 8 not in got and got[9] == [(-1, "BSD-2-Clause", True)]
+    assert got[10] == [(200, "Apache-2.0", True)]
+    assert line(2, gpl) == 1
