@@ -16,7 +16,9 @@ document).  Windows are judged on the input.
    that occur more than once, compiles them to an Aho-Corasick automaton, and
    streams the spans through it; every occurrence after the first is a repeat.
    An anchor with very many spans (the edge of a passage that is everywhere) is
-   dealt out further, by its windows.
+   dealt out further, in slices of its spans: each slice gives the places of its
+   windows, these are summed per window, and the repeated ones go back to the
+   slices that have them, each with an automaton of its own.
 4. The repeated ranges meet their documents, and the other words stay.
 
 Documents without a repeated anchor cannot hold a repeated window, so leaving
@@ -26,6 +28,7 @@ them out of step 3 loses nothing.
 from __future__ import annotations
 
 import hashlib
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -38,7 +41,7 @@ from pyspark.sql import functions as F
 from corpusflow.llm.common import staged, workers_ready
 from corpusflow.llm.textblocks import Prefix, Words, blocks, gram_hashes, mix, row_of
 
-#: Spans of one anchor beyond which its windows are dealt out one by one.
+#: Spans of one anchor beyond which they are dealt out, in slices of about as many.
 HOT_SPANS = 5_000
 _STEP = 1 << 19
 _LOW = np.uint64((1 << 20) - 1)
@@ -159,33 +162,38 @@ def _spans(width: int):
                             continue  # another row of this id
                         own = data[words.start[b]:words.end[e]].split()
                         line = b" ".join(own).decode()
-                        if parts == 1:
-                            rows.append((key, 0, 1, ids[lo + i], first, line))
-                        else:
-                            for part in {zlib.crc32(b" ".join(own[j:j + width])) % parts for j in range(more + 1)}:
-                                rows.append((key, part, parts, ids[lo + i], first, line))
+                        rows.append((key, zlib.crc32(b"%d %d" % (ids[lo + i], first)) % parts, parts, ids[lo + i], first, line))
                 for at in range(0, len(rows), 20_000):
                     yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(
                         zip(*rows[at:at + 20_000], strict=True), kinds, strict=True)], names)
     return run
 
 
-def locate(rows: list[tuple[int, int, int, int, str]], width: int) -> list[tuple[int, int, int]]:
+def _digest(window: str) -> tuple[int, int]:
+    return struct.unpack("<qq", hashlib.blake2b(window.encode(), digest_size=16).digest())
+
+
+def locate(rows: list[tuple[int, int, int, int, str]], width: int,
+           known: dict[tuple[int, int], tuple[int, int]] | None = None) -> list[tuple[int, int, int]]:
     """Ranges (doc_id, first word, words) of the windows that also start earlier among ``rows``.
 
     ``rows``: (part, parts, doc_id, first word, words joined by a space), all
     spans of some anchors.  The windows that occur at several places are compiled
-    to one automaton, and all rows are streamed through it.
+    to one automaton, and all rows are streamed through it.  ``known``: digests and
+    first places of those windows, if the rows are only a slice of the spans.
     """
     import ahocorasick
 
     places: dict[str, tuple[int, int]] = {}
     again: set[str] = set()
-    for part, parts, doc, first, line in rows:
+    for _, _, doc, first, line in rows:
         own = line.split(" ")
         for j in range(len(own) - width + 1):
             window = " ".join(own[j:j + width])
-            if parts > 1 and zlib.crc32(window.encode()) % parts != part:
+            if known is not None:
+                if window not in places and (place := known.get(_digest(window))):
+                    again.add(window)
+                    places[window] = place
                 continue
             at = (doc, first + j)
             old = places.setdefault(window, at)
@@ -221,13 +229,61 @@ def locate(rows: list[tuple[int, int, int, int, str]], width: int) -> list[tuple
     return out
 
 
+def _ranges(found: list[tuple[int, int, int]]) -> pa.RecordBatch:
+    doc, first, size = zip(*found, strict=True) if found else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(first, pa.int32()),
+                                       pa.array(size, pa.int32())], ["doc_id", "first", "size"])
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], list[tuple]]]:
+    """(key, part) and the other columns of its rows; the rows come sorted by these two."""
+    rows: list[tuple] = []
+    group = None
+    for batch in batches:
+        for k, part, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if rows and (k, part) != group:
+                yield group, rows
+                rows = []
+            group = k, part
+            rows.append(tuple(rest))
+    if rows:
+        yield group, rows
+
+
+def _places(width: int):
+    """Of each slice: its windows' digests, each with the least place and whether there are several."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["key", "part", "a", "b", "doc_id", "first", "several"]
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
+        for (key, part), rows in _groups(batches):
+            ends: dict[str, tuple] = {}
+            for doc, first, line in rows:
+                own = line.split(" ")
+                for j in range(len(own) - width + 1):
+                    window, at = " ".join(own[j:j + width]), (doc, first + j)
+                    lo, hi = ends.get(window, (at, at))
+                    ends[window] = min(lo, at), max(hi, at)
+            out = [(key, part, *_digest(w), *lo, lo != hi) for w, (lo, hi) in ends.items()]
+            for at in range(0, len(out), 20_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(
+                    zip(*out[at:at + 20_000], strict=True), kinds, strict=True)], names)
+    return run
+
+
+def _slices(width: int):
+    """Rows of a slice: its spans, and its repeated windows (without words) with their first places."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _groups(batches):
+            known = {(a, b): (doc, first) for doc, first, line, a, b in rows if line is None}
+            if known:
+                yield _ranges(locate([(0, 1, doc, first, line) for doc, first, line, _, _ in rows if line is not None], width, known))
+    return run
+
+
 def _shards(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(rows: list[tuple]) -> pa.RecordBatch:
-            found = locate(rows, width)
-            doc, first, size = zip(*found, strict=True) if found else ((), (), ())
-            return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(first, pa.int32()),
-                                               pa.array(size, pa.int32())], ["doc_id", "first", "size"])
+            return _ranges(locate(rows, width))
         rows: list[tuple] = []
         held, group = 0, None
         for batch in batches:
@@ -284,6 +340,22 @@ def _joined(words: Words, kept: np.ndarray, n_kept: np.ndarray) -> tuple[bytes,
     return data[take].tobytes(), size[words.text_at]
 
 
+def _located_in_slices(spans: DataFrame, width: int) -> DataFrame:
+    """``(doc_id, first, size)`` of the spans of hot anchors: no task needs all spans of one window."""
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartition("key", "part").sortWithinPartitions("key", "part")
+
+    places = dealt(spans.select("key", "part", "doc_id", "first", "words")).mapInArrow(
+        _places(width), "key long, part int, a long, b long, doc_id long, first int, several boolean")
+    place = F.struct("doc_id", "first")
+    again = places.groupBy("a", "b").agg(F.min("key").alias("key"), F.collect_list("part").alias("parts"), F.min(place).alias("place"),
+                                         (F.max("several") | (F.min(place) != F.max(place))).alias("several")).filter("several")
+    back = again.select("key", F.explode("parts").alias("part"), "place.doc_id", "place.first", F.lit(None).cast("string").alias("words"), "a", "b")
+    none = F.lit(None).cast("long")
+    return dealt(spans.select("key", "part", "doc_id", "first", "words", none.alias("a"), none.alias("b")).unionByName(back)) \
+        .mapInArrow(_slices(width), "doc_id long, first int, size int")
+
+
 def repeated_ranges(docs: DataFrame, width: int = 20, gram: int = 4) -> DataFrame:
     """``(doc_id, first, size)``: runs of words under windows that also start earlier (runs may overlap)."""
     rows = docs.filter("doc_id is not null").mapInArrow(
@@ -291,14 +363,18 @@ def repeated_ranges(docs: DataFrame, width: int = 20, gram: int = 4) -> DataFram
     seen = staged(rows.repartition("key").sortWithinPartitions("known", "key", "span", "doc_id", "first")
                   .mapInArrow(_confirm, "whole boolean, key long, doc_id long, first int, more int"), "phrase-anchors")
     inner = seen.filter("not whole").select("key", "doc_id", "first", "more")
-    hot = inner.groupBy("key").count().filter(F.col("count") > HOT_SPANS) \
-        .select("key", F.ceil(F.col("count") / HOT_SPANS).cast("int").alias("parts"))
-    todo = inner.join(hot, "key", "left").groupBy("doc_id").agg(F.collect_list(F.struct(
-        "key", "first", "more", F.coalesce("parts", F.lit(1)).alias("parts"))).alias("todo"))
-    spans = docs.join(todo, "doc_id").select("doc_id", "text", "todo").mapInArrow(
-        _spans(width), "key long, part int, parts int, doc_id long, first int, words string")
-    located = spans.repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(
-        _shards(width), "doc_id long, first int, size int")
+    hot = staged(inner.groupBy("key").count().filter(F.col("count") > HOT_SPANS)
+                 .select("key", F.ceil(F.col("count") / HOT_SPANS).cast("int").alias("parts")), "phrase-hot")
+
+    def spans(rows: DataFrame) -> DataFrame:
+        todo = rows.groupBy("doc_id").agg(F.collect_list(F.struct("key", "first", "more", "parts")).alias("todo"))
+        return docs.join(todo, "doc_id").select("doc_id", "text", "todo").mapInArrow(
+            _spans(width), "key long, part int, parts int, doc_id long, first int, words string")
+
+    located = spans(inner.join(F.broadcast(hot), "key", "left_anti").withColumn("parts", F.lit(1))) \
+        .repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(_shards(width), "doc_id long, first int, size int")
+    if not hot.isEmpty():
+        located = located.unionAll(_located_in_slices(staged(spans(inner.join(F.broadcast(hot), "key")), "phrase-hot-spans"), width))
     return seen.filter("whole").select("doc_id", "first", (F.col("more") + width).alias("size")).unionAll(located)
 
 

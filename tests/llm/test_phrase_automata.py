@@ -1,5 +1,7 @@
 import random
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from corpusflow.llm.phrase_automata import locate, sha256_hex, substring_dedup
@@ -58,3 +60,24 @@ def test_a_very_long_text(spark):
     half = " ".join(long.split()[300_000:300_050])
     docs = [(1, long), (2, "x " + half + " y"), (3, "z" * 3_000_000)]
     assert _run(spark, docs, 20, 4) == brute(docs, 20)
+
+
+def test_no_shard_needs_all_spans_of_a_hot_anchor():
+    import corpusflow.llm.phrase_automata as m
+    n, parts = 2_000, 20
+    text = [f"h{i} " + " ".join(f"s{j}" for j in range(25)) + f" t{i}" for i in range(n)]
+    todo = [[{"key": 1, "first": 0, "more": 5, "parts": parts}]] * n
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(text), pa.array(todo)], ["doc_id", "text", "todo"])
+    dealt = Counter(p for b in m._spans(20)([batch]) for p in b.column(1).to_pylist())
+    assert sum(dealt.values()) == n and max(dealt.values()) < 2 * n / parts
+
+
+@pytest.mark.parametrize("width", [20, 5])
+def test_hot_anchors_in_slices(spark, monkeypatch, width):
+    import corpusflow.llm.phrase_automata as m
+    monkeypatch.setattr(m, "HOT_SPANS", 2)
+    docs = _texts(width + 1, width)
+    docs += [(1000 + i, f"h{i} " + " ".join(f"s{j}" for j in range(25)) + f" t{i} t{i % 3}") for i in range(60)]
+    docs.append(docs[-1])  # a repeated row is no later place
+    want = brute(docs[:-1], width)
+    assert _run(spark, docs, width, min(width, 4)) == want
