@@ -1,4 +1,4 @@
-"""Queries of the scanning operators (2, 9)."""
+"""Queries of the scanning operators (2, 9, 13)."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.llm.common import documents
 from corpusflow.llm.licenses import THRESHOLD, license_scan, template_rows_sql
+from corpusflow.llm.pii_bootstrap import personal_data
 from corpusflow.llm.registry import register
 from corpusflow.llm.secret_crf import scan
 
@@ -42,3 +43,10 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, line ORDER BY dice DESC, license
 def op9_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence templates that whole documents or their lines match."""
     return license_scan(documents(spark, sf_dir))
+
+
+@register("op13_pii_bootstrap")
+def op13_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document: fixed patterns, and identifiers found by their context."""
+    return personal_data(documents(spark, sf_dir)).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans", "n_found")
