@@ -6,6 +6,7 @@ whole-stage code generation on the executors.
 
 from __future__ import annotations
 
+import json
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -122,41 +123,50 @@ def title_in_html(title: Column | str, html: Column | str) -> Column:
     return F.contains(h2, t2)
 
 
-# Named entities with their semicolon, and those that HTML also knows without one.
-_NAMED = {k: v for k, v in html5.items() if k.endswith(";")}
-_BARE = {k: v for k, v in html5.items() if not k.endswith(";")}
-# Numbers 0x80-0x9f stand for the Windows-1252 characters (undefined ones stay).
-_WINDOWS = {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
 _ENTITY = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)|[^&]+|&"
 
 
-def _number(digits: Column, base: int) -> Column:
-    """Character of a numeric reference."""
-    n = F.conv(F.when(F.length(F.ltrim(digits, F.lit("0"))) > 8, "99999999").otherwise(digits), base, 10).cast("bigint")
-    windows = F.create_map(*[F.lit(x) for pair in _WINDOWS.items() for x in pair])
-    invalid = ((n == 0) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF))
-    gone = (n.between(1, 8) | (n == 0xB) | n.between(0xE, 0x1F) | (n == 0x7F) | n.between(0xFDD0, 0xFDEF)
-            | (n.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE))
-    char = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
-    return (F.when(n == 13, "\r").when(invalid, "\ufffd").when(n.between(0x80, 0x9F), F.try_element_at(windows, n.cast("int")))
-            .when(gone, "").otherwise(char))
-
-
-def _entity(token: Column) -> Column:
-    """One token of ``_ENTITY``: an entity's text, or the token itself."""
-    named = F.create_map(*[F.lit(x) for k, v in _NAMED.items() for x in ("&" + k, v)])
-    bare = F.array(*[F.struct(F.lit(len(k) + 1).alias("n"), F.lit("&" + k).alias("k"), F.lit(v).alias("v"))
-                     for k, v in _BARE.items()])
-    body = F.rtrim(token, F.lit(";"))
-    longest = F.array_max(F.filter(bare, lambda b: token.startswith(b["k"])))
-    legacy = F.when(longest.isNotNull(), F.concat(longest["v"], token.substr(longest["n"] + 1, F.length(token)))).otherwise(token)
-    return (F.when(token.rlike("^&#[xX]"), _number(body.substr(F.lit(4), F.length(body)), 16))
-            .when(token.startswith("&#"), _number(body.substr(F.lit(3), F.length(body)), 10))
-            .when(token.startswith("&"), F.coalesce(F.try_element_at(named, token), legacy))
-            .otherwise(token))
+def _literal(value: object) -> str:
+    """The JSON text of ``value`` as an SQL literal."""
+    return "'" + json.dumps(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _number_sql(digits: str, base: int) -> str:
+    """Character of a numeric reference; 0x80-0x9f stand for the Windows-1252 characters (undefined ones stay)."""
+    windows = {str(n): bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
+    number = f"cast(conv(CASE WHEN length(ltrim('0', {digits})) > 8 THEN '99999999' ELSE {digits} END, {base}, 10) AS bigint)"
+    return f"""transform(array({number}), n -> CASE
+        WHEN n = 13 THEN chr(13)
+        WHEN n = 0 OR n > 1114111 OR n BETWEEN 55296 AND 57343 THEN decode(unhex('EFBFBD'), 'UTF-8')
+        WHEN n BETWEEN 128 AND 159 THEN try_element_at(from_json({_literal(windows)}, 'map<string,string>'), cast(n AS string))
+        WHEN n BETWEEN 1 AND 8 OR n = 11 OR n BETWEEN 14 AND 31 OR n = 127 OR n BETWEEN 64976 AND 65007 OR (n & 65534) = 65534 THEN ''
+        ELSE decode(unhex(lpad(hex(n), 8, '0')), 'UTF-32') END)[0]"""
+
+
+def _entity_sql() -> str:
+    """The text of one token t of ``_ENTITY``: what an entity stands for, or the token itself.
+
+    All names are one constant map by first letter, which Spark reads once per plan.  Some
+    names hold without a semicolon: of these the longest that the token starts with counts.
+    """
+    names: dict[str, dict[str, str]] = {}
+    for name, text in html5.items():
+        names.setdefault(name[0], {})[name] = text
+    own = f"try_element_at(from_json({_literal(names)}, 'map<string,map<string,string>>'), substr(t, 2, 1))"
+    bare = sorted({len(k) for k in html5 if not k.endswith(";")}, reverse=True)
+    starts = ", ".join(f"concat(try_element_at(o, substr(t, 2, {n})), substr(t, {n + 2}))" for n in bare)
+    body = "trim(TRAILING ';' FROM t)"
+    return f"""t -> CASE
+        WHEN t RLIKE '^&#[xX]' THEN {_number_sql(f"substr({body}, 4)", 16)}
+        WHEN startswith(t, '&#') THEN {_number_sql(f"substr({body}, 3)", 10)}
+        WHEN startswith(t, '&') THEN transform(array({own}), o -> coalesce(try_element_at(o, substr(t, 2)), {starts}, t))[0]
+        ELSE t END"""
+
+
+_ENTITY_SQL = _entity_sql()
 
 
 def unescape_html(c: Column) -> Column:
     """Every named and numeric entity resolved once, as HTML parsers do."""
-    return F.when(c.contains("&"), F.array_join(
-        F.transform(F.regexp_extract_all(c, F.lit(_ENTITY), F.lit(0)), _entity), "")).otherwise(c)
+    tokens = F.regexp_extract_all(c, F.lit(_ENTITY), F.lit(0))
+    return F.when(c.contains("&"), F.array_join(F.call_function("transform", tokens, F.expr(_ENTITY_SQL)), "")).otherwise(c)

@@ -17,8 +17,8 @@ NON_CONTENT_REGEX = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
 # attributes before it are matched whole, so neither a ``>`` or ``href=`` inside a
 # quoted value nor a longer name (``data-href``) is taken for it.
 _VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s>"']+)"""
-ANCHOR_HREF_REGEX = (r"""(?i)<a(?=[\s/])(?:[\s/]++(?!href[\s=])[^\s=>"'/]++(?:\s*+=\s*+""" + _VALUE
-                     + r""")?+)*+[\s/]++href\s*+=\s*+(""" + _VALUE + ")")
+ANCHOR_HREF_REGEX = (r"""(?i)<a(?=[\s/])(?:[\s/]*+(?!href[\s=])[^\s=>"'/]++(?:\s*+=\s*+""" + _VALUE
+                     + r""")?+)*+[\s/]*+href\s*+=\s*+(""" + _VALUE + ")")
 
 
 def visible_html(html: Column) -> Column:
@@ -132,10 +132,10 @@ def fetch_pages(urls: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def fetchable(pages: DataFrame) -> DataFrame:
-    """Pages that a request gets: all, or those with a 2xx ``status``."""
+    """Pages that a request gets: all, or those with a ``status`` below 400."""
     if "status" not in pages.columns:
         return pages
-    return pages.filter(F.col("status").between(200, 299))
+    return pages.filter(F.col("status").between(200, 399))
 
 
 def assign_ids(df: DataFrame, order: list[str], id_col: str = "article_id",

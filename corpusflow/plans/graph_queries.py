@@ -46,11 +46,15 @@ def q_dependency_graph(spark, sf):
     return G.dependency_graph(doc_tokens(spark, sf))
 
 
+# a sentence's tokens are numbered from 1, so the head is an element of the sentence's list
 @register("dependency_edges", token_sql() + """
-SELECT d.article_id, d.sent_id, d.head AS head_id, d.id AS dep_id, d.form AS dep_form, d.upos AS dep_upos,
-       d.deprel, h.form AS head_form, h.upos AS head_upos
-FROM tokens d JOIN tokens h ON h.article_id = d.article_id AND h.sent_id = d.sent_id AND h.id = d.head
-WHERE d.head <> 0""")
+, s AS MATERIALIZED (
+  SELECT article_id, sent_id, list(form ORDER BY id) AS forms, list(upos ORDER BY id) AS tags, list(deprel ORDER BY id) AS rels,
+         list(head ORDER BY id) AS heads FROM tokens GROUP BY article_id, sent_id),
+e AS (SELECT *, unnest(range(1, len(heads) + 1))::INTEGER AS i FROM s)
+SELECT article_id, sent_id, heads[i] AS head_id, i AS dep_id, forms[i] AS dep_form, tags[i] AS dep_upos, rels[i] AS deprel,
+       forms[heads[i]] AS head_form, tags[heads[i]] AS head_upos
+FROM e WHERE heads[i] <> 0""")
 def q_dependency_edges(spark, sf):
     # both sides of the self-join read the annotated tokens, which are written once
     tokens = doc_tokens(spark, sf).select(*G.SENTENCE, "id", "head", "form", "upos", "deprel")

@@ -108,3 +108,28 @@ def test_site_rules(spark):
     p2 = spark.createDataFrame([(1, "u", html)], "page_id bigint, url string, html string")
     assert H.parse_pages(p2, rules=SiteRules(article_classes=("post",))).first().text == "a"
     assert H.parse_pages(p2, rules=SiteRules()).first().text == ""
+
+
+def test_anchor_attributes_that_touch(spark):
+    html = """<a class="x"href="/lost">a</a><a id='i'href='/b'title="t">b</a><a data-href="/no"href=/c>c</a><a/href="/d">d</a>
+    <a title="a > b href='/no'" href="/e">e</a><abbr href="/no">f</abbr><a class="x"data-href="/no">g</a>"""
+    pages = spark.createDataFrame([(1, "https://s.ru/", html)], "page_id bigint, url string, html string")
+    assert [r.href for r in L.extract_links(pages).orderBy("pos").collect()] == ["/lost", "/b", "/c", "/d", "/e"]
+
+
+def test_answers_below_400_are_fetched(spark):
+    pages = spark.createDataFrame([(i, f"u{s}", "", s) for i, s in enumerate([200, 204, 304, 399, 400, 404, 500])],
+                                  "page_id bigint, url string, html string, status int")
+    assert [r.status for r in L.fetchable(pages).orderBy("page_id").collect()] == [200, 204, 304, 399]
+
+
+def test_entity_columns_are_quick_to_build(spark):
+    import time
+
+    from corpusflow.functions import html as F_html
+    pages = spark.createDataFrame([(1, "<meta name='keywords' content='a&amp;b'>")], "page_id bigint, html string")
+    pages.select(F_html.page_topics(F.col("html")))
+    began = time.perf_counter()
+    df = pages.select(F_html.page_topics(F.col("html")).alias("topics"))
+    assert time.perf_counter() - began < 0.5
+    assert df.first().topics == ["a&b"]
