@@ -29,7 +29,7 @@ from corpusflow.llm.textblocks import Words, arrays, gram_hashes, mix, row_of
 MIN_COUNT, LONGEST, TOP, INSIDE = 10, 3, 2000, 50
 #: Phrases of one trie, and tries of one broadcast.
 TRIE, ROUND_TRIES = 50_000, 16
-BLOCK = 4_000_000
+BLOCK = 1_500_000
 _SALTS = 64
 
 _LOWER = np.arange(256, dtype=np.uint8)
