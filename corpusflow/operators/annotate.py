@@ -4,6 +4,7 @@ analyzer slot (U1) that runs an external CoNLL-U producer in Python workers."""
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.functions import text as T
+from corpusflow.functions.conllu import FIELDS as TOKEN_FIELDS
 from corpusflow.schemas import TOKEN_COLUMNS
 from corpusflow.session import ship_package, spread
 
@@ -97,6 +99,51 @@ def annotate_rules(sents: DataFrame, lang_col: str | None = "lang",
     )
 
 
+def annotate_sentences(sents: DataFrame, lang_col: str | None = "lang", id_col: str = "article_id",
+                       fields: tuple[str, ...] = TOKEN_FIELDS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """U3 with a sentence as one row: ``(article_id, sent_id, *keep, tokens)``.
+
+    ``tokens`` is an array of structs of ``fields`` in the order of their ids, so the
+    token of id i is element i.  Row-local: nothing is exploded, joined or shuffled; the
+    lexicon is a constant map by language.  Sentences without a token are left out.
+    """
+    lang = F.col(lang_col) if lang_col else F.lit(None).cast("string")
+    known: dict[str, dict[str, str]] = {}
+    for language, form, upos in LEXICON:
+        known.setdefault(language, {})[form] = upos
+    lexicon = F.from_json(F.lit(json.dumps(known)), "map<string,map<string,string>>")
+
+    def token(form: Column, at: Column) -> Column:
+        values = {
+            "id": (at + 1).cast("int"), "form": form, "lemma": F.lower(form),
+            "upos": rule_upos(form, at + 1, F.try_element_at(F.try_element_at(lexicon, lang), F.lower(form))),
+            "xpos": F.lit("_"), "feats": rule_feats(form), "head": at.cast("int"),
+            "deprel": F.when(at == 0, "ROOT").otherwise("dep"), "deps": F.lit("_"), "misc": F.lit("_")}
+        return F.struct(*[values[f].alias(f) for f in fields])
+
+    return sents.select(F.col(id_col).alias("article_id"), "sent_id", *keep,
+                        F.transform(T.rule_tokens("sentence"), token).alias("tokens")).filter(F.size("tokens") > 0)
+
+
+def group_sentences(tokens: DataFrame, fields: tuple[str, ...] = TOKEN_FIELDS) -> DataFrame:
+    """Sentence rows ``(article_id, sent_id, tokens)`` of a TOKEN table: one exchange, a row bounded by a sentence.
+
+    Ids that are not 1..n within their sentence raise ``TokenIds``.
+    """
+    rows = tokens.groupBy("article_id", "sent_id").agg(F.array_sort(F.collect_list(F.struct("id", *[f for f in fields if f != "id"]))).alias("tokens"))
+    wrong = F.exists(F.transform("tokens", lambda t, i: t["id"] != i + 1), lambda x: x)
+    said = F.concat(F.lit("TokenIds: not 1..n in sentence "), F.col("sent_id").cast("string"), F.lit(" of article "), F.col("article_id").cast("string"))
+    return rows.withColumn("tokens", F.when(wrong, F.raise_error(said)).otherwise(F.col("tokens")))
+
+
+def document_sentences(docs: DataFrame, upper: str = T.LATIN_UPPER, lower: str = T.LATIN_LOWER,
+                       fields: tuple[str, ...] = TOKEN_FIELDS, with_text: bool = False) -> DataFrame:
+    """documents -> annotated sentence rows (``article_id = doc_id + 1``); ``with_text`` adds ``sentence``."""
+    d = docs.select((F.col("doc_id") + 1).alias("article_id"), "text", "lang")
+    sents = sentences(d, upper=upper, lower=lower, keep=("lang",))
+    return annotate_sentences(sents, fields=fields, keep=("sentence",) * with_text)
+
+
 def rule_upos(form: Column, tok_id: Column, lex_upos: Column) -> Column:
     """First rule that fits: PUNCT, NUM, lexicon, PROPN (capital, not first), NOUN."""
     return (F.when(~form.rlike(r"[\p{L}\p{N}]"), "PUNCT")

@@ -81,6 +81,46 @@ def match_tree_path(tokens: DataFrame, labels: Sequence[str],
     return out.select(*cols)
 
 
+def dependency_edges_in(sents: DataFrame) -> DataFrame:
+    """J6 on sentence rows (``annotate_sentences``, ``group_sentences``): the head of a token is an
+    element of its own sentence's array, so no join and no exchange is needed."""
+    ts = F.col("tokens")
+    pairs = F.transform(F.filter(ts, lambda t: t["head"] > 0), lambda t: F.struct(t.alias("d"), F.get(ts, t["head"] - 1).alias("h")))
+    return sents.select(*SENTENCE, F.explode(pairs).alias("p")).filter(F.col("p.h").isNotNull()).select(
+        *SENTENCE, F.col("p.d.head").alias("head_id"), F.col("p.d.id").alias("dep_id"), F.col("p.d.form").alias("dep_form"),
+        F.col("p.d.upos").alias("dep_upos"), F.col("p.d.deprel").alias("deprel"), F.col("p.h.form").alias("head_form"),
+        F.col("p.h.upos").alias("head_upos"))
+
+
+def match_in_sentences(sents: DataFrame, labels: Sequence[str],
+                       node_match: Callable[[Column, int], Column] | None = None) -> DataFrame:
+    """G3 / J7 on sentence rows: the matches of ``match_tree_path``, found inside each row.
+
+    A token has one head, so a path is fixed by its last token: those with the last label
+    climb to their heads, one array lookup and one label test a step.  Work is linear in the
+    sentence and nothing is shuffled.  ``node_match(token, i)`` (U7) is a further predicate on
+    the token struct of step i.
+    """
+    k, ts = len(labels), F.col("tokens")
+
+    def fits(t: Column, i: int) -> Column:
+        own = t["upos"] == labels[i - 1]
+        return own if node_match is None else own & node_match(t, i - 1)
+
+    def step(paths: Column, i: int) -> Column:
+        """The paths with their heads in front, as far as these fit label i."""
+        behind = range(i + 1, k + 1)
+        up = F.transform(paths, lambda p: F.struct(F.get(ts, p[f"v{i + 1}"]["head"] - 1).alias(f"v{i}"), *[p[f"v{j}"].alias(f"v{j}") for j in behind]))
+        return F.filter(up, lambda p: fits(p[f"v{i}"], i))
+
+    paths = F.transform(F.filter(ts, lambda t: fits(t, k)), lambda t: F.struct(t.alias(f"v{k}")))
+    for i in range(k - 1, 0, -1):
+        paths = step(paths, i)
+    out = sents.select(*SENTENCE, F.explode(paths).alias("p"))
+    return out.select(*SENTENCE, *[F.col(f"p.v{i}.{c}").alias(f"{n}_{i}") for n, c in (("id", "id"), ("form", "form"), ("upos", "upos"))
+                                   for i in range(1, k + 1)])
+
+
 def match_tree(k: int, i: int = 1) -> Column:
     """The nested tree ``{upos, text, children}`` of a path match, depth k."""
     children = (F.array().cast("array<string>") if i == k else F.array(match_tree(k, i + 1)))

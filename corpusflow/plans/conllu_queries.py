@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusflow.functions.conllu import parse_feats
+from corpusflow.operators.annotate import document_sentences
 from corpusflow.plans.registry import register
 from corpusflow.plans.sqlparts import token_sql
-from corpusflow.plans.text_queries import doc_tokens
+from corpusflow.plans.text_queries import doc_tokens, documents
 from corpusflow.schemas import TOKEN_COLUMNS
-from corpusflow.sinks.conllu import render_conllu
+from corpusflow.sinks.conllu import render_conllu, render_sentence_rows
 from corpusflow.sources.conllu import parse_conllu
 
 
@@ -30,12 +31,12 @@ SELECT article_id, string_agg(block, '' ORDER BY sent_id) AS conllu FROM blocks
 
 @register("conllu_render", _render_sql("feats"))
 def q_conllu_render(spark, sf):
-    return render_conllu(doc_tokens(spark, sf, with_text=True))
+    return render_sentence_rows(document_sentences(documents(spark, sf), with_text=True))
 
 
 @register("conllu_render_no_feats", _render_sql("'_'"))
 def q_conllu_render_no_feats(spark, sf):
-    return render_conllu(doc_tokens(spark, sf, with_text=True), include_feats=False)
+    return render_sentence_rows(document_sentences(documents(spark, sf), with_text=True), include_feats=False)
 
 
 @register("conllu_roundtrip", token_sql() + """

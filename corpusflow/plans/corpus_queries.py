@@ -10,11 +10,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusflow.functions import paths as P
+from corpusflow.functions.text import clean_text
 from corpusflow.operators import validate as V
 from corpusflow.plans.registry import register
+from corpusflow.plans.sqlparts import PUNCT_SQL
 from corpusflow.session import load_table, scratch_path
 from corpusflow.sinks import files as K
 from corpusflow.sinks.files import meta_json
+from corpusflow.sources import corpus_source as C
 from corpusflow.sources import files as S
 
 _FILES_SQL = """
@@ -184,6 +187,20 @@ def q_validate_corpus(spark, sf):
     return V.validate_corpus(corpus_files(spark, sf))
 
 
+@register("corpus_file_roundtrip", """
+SELECT doc_id + 1 AS article_id, kind, name, CAST(strlen(text) AS BIGINT) AS length, text FROM (
+  SELECT doc_id, 'raw' AS kind, CAST(doc_id + 1 AS VARCHAR) || '_raw.txt' AS name, text FROM documents
+  UNION ALL
+  SELECT doc_id, 'cleaned', CAST(doc_id + 1 AS VARCHAR) || '_cleaned.txt', """ + f"translate(lower(text), {PUNCT_SQL}, '')" + """ FROM documents)
+WHERE text IS NOT NULL""")
+def q_corpus_file_roundtrip(spark, sf):
+    # K3 + K4 + K6: one file per article and kind, read back by the corpus source
+    docs = load_table(spark, sf, "documents").select((F.col("doc_id") + 1).alias("article_id"), "text")
+    path = scratch_path(spark, "corpus-files")
+    C.write_files(C.article_files(docs, raw=F.col("text"), cleaned=clean_text("text")), path)
+    return C.read_files(spark, path, ("raw", "cleaned")).select("article_id", "kind", "name", "length", "text")
+
+
 @register("list_corpus_files")
 def q_list_corpus_files(spark, sf):
     return S.list_files(spark, sf, "*.parquet").select("name", "length")

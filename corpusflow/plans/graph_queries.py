@@ -6,11 +6,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusflow.operators import graph as G
+from corpusflow.operators.annotate import document_sentences
 from corpusflow.operators.stats import pos_frequency_map
 from corpusflow.plans.registry import register
 from corpusflow.plans.sqlparts import token_sql
 from corpusflow.plans.text_queries import doc_tokens, documents
-from corpusflow.session import load_table, materialize, scratch_path
+from corpusflow.session import load_table, scratch_path
 from corpusflow.sinks.files import read_meta, update_meta, write_meta
 
 PATTERN = ("VERB", "NOUN", "ADP")
@@ -37,7 +38,7 @@ def _tree_sql(k: int, i: int = 1) -> str:
 
 
 def matches(spark, sf):
-    return G.match_tree_path(doc_tokens(spark, sf), PATTERN, materialize=True)
+    return G.match_in_sentences(document_sentences(documents(spark, sf), fields=("id", "form", "upos", "head")), PATTERN)
 
 
 @register("dependency_graph", token_sql() + """
@@ -56,9 +57,7 @@ SELECT article_id, sent_id, heads[i] AS head_id, i AS dep_id, forms[i] AS dep_fo
        forms[heads[i]] AS head_form, tags[heads[i]] AS head_upos
 FROM e WHERE heads[i] <> 0""")
 def q_dependency_edges(spark, sf):
-    # both sides of the self-join read the annotated tokens, which are written once
-    tokens = doc_tokens(spark, sf).select(*G.SENTENCE, "id", "head", "form", "upos", "deprel")
-    return G.dependency_edges(materialize(tokens, "dependency-tokens"))
+    return G.dependency_edges_in(document_sentences(documents(spark, sf), fields=("id", "form", "upos", "head", "deprel")))
 
 
 @register("pattern_match", token_sql() + _path_sql(PATTERN) + "\nSELECT * FROM m")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.functions.conllu import token_line
+from corpusflow.functions.conllu import FIELDS, token_line, underscore_if_empty
 
 
 def render_sentences(tokens: DataFrame, sentences: DataFrame | None = None,
@@ -56,6 +56,21 @@ def render_conllu(tokens: DataFrame, sentences: DataFrame | None = None,
                                  lambda b: b["block"]), "").alias("conllu"))
 
 
+def render_sentence_rows(sents: DataFrame, include_feats: bool = True) -> DataFrame:
+    """K1 / K2 on sentence rows ``(article_id, sent_id, sentence, tokens)``: ``(article_id, conllu)``.
+
+    A sentence's block is made inside its row; one exchange brings an article's blocks
+    together, which is bounded by one article.
+    """
+    def line(t: Column) -> Column:
+        return F.concat_ws("\t", *[F.lit("_") if f == "feats" and not include_feats else underscore_if_empty(t[f]) for f in FIELDS])
+
+    block = F.concat(F.lit("# sent_id = "), (F.col("sent_id") + 1).cast("string"), F.lit("\n# text = "), F.coalesce("sentence", F.lit("")),
+                     F.lit("\n"), F.array_join(F.transform("tokens", line), "\n"), F.lit("\n\n"))
+    blocks = sents.select("article_id", F.struct("sent_id", block.alias("block")).alias("b"))
+    return blocks.groupBy("article_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("b")), lambda b: b["block"]), "").alias("conllu"))
+
+
 def _render_with_text(tokens: DataFrame, include_feats: bool) -> DataFrame:
     token = F.struct("sent_id", "id", token_line(include_feats).alias("line"), "text")
     rows = tokens.groupBy("article_id").agg(F.array_sort(F.collect_list(token)).alias("ts"))

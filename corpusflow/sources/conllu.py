@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.functions.conllu import is_token_line
-from corpusflow.functions.paths import article_id_from_name
+from corpusflow.sources.corpus_source import read_files
 
 
 def parse_conllu(docs: DataFrame, text_col: str = "conllu", id_col: str = "article_id") -> DataFrame:
@@ -37,25 +37,15 @@ def parse_conllu(docs: DataFrame, text_col: str = "conllu", id_col: str = "artic
 
 
 def read_conllu_files(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
-    """Read ``*.conllu`` files whole -> ``(article_id, conllu, empty)``; the
+    """Read ``N_udpipe.conllu`` files whole -> ``(article_id, conllu, empty)``; the
     article id is the file-name prefix.
 
-    Spark's file sources skip zero-length files, so empty files are found in
-    the metadata listing: with ``strict`` they raise ``EmptyFile``, otherwise
-    they are kept as rows with ``empty = true`` and no text.
+    Zero-length files are rows like any others: with ``strict`` reading one raises
+    ``EmptyFile``, otherwise it has ``empty = true`` and no text.
     """
-    from corpusflow.sources.files import list_files
-    listing = list_files(spark, path, "*.conllu")
-    empties = listing.filter(F.col("length") == 0).select(
-        article_id_from_name(F.col("name")).alias("article_id"))
+    files = read_files(spark, path, ("udpipe",))
+    empty = F.col("length") == 0
     if strict:
-        n, first = empties.agg(F.count(F.lit(1)), F.min("article_id")).first()
-        if n:
-            raise ValueError(f"EmptyFile: the conllu of {n} articles is empty, first of article {first}")
-    full = (spark.read.option("pathGlobFilter", "*.conllu").text(path, wholetext=True)
-            .select(article_id_from_name(F.col("_metadata.file_name")).alias("article_id"),
-                    F.col("value").alias("conllu"), F.lit(False).alias("empty")))
-    if strict:
-        return full
-    return full.unionByName(empties.select("article_id", F.lit("").alias("conllu"),
-                                           F.lit(True).alias("empty")))
+        said = F.concat(F.lit("EmptyFile: the conllu of article "), F.col("article_id").cast("string"), F.lit(" is empty"))
+        files = files.withColumn("text", F.when(empty, F.raise_error(said)).otherwise(F.col("text")))
+    return files.select("article_id", F.col("text").alias("conllu"), empty.alias("empty"))

@@ -9,6 +9,7 @@ from corpusflow.operators import validate as V
 from corpusflow.sinks import files as K
 from corpusflow.sources import files as S
 from corpusflow.sources.conllu import read_conllu_files
+from corpusflow.sources.corpus_source import read_files
 from goldens import CONLLU_2
 
 
@@ -27,8 +28,12 @@ def make_corpus(n_raw=5, n_meta=5, skip=(), empty=(), extra=()):
     return d
 
 
+def listing(spark, d):
+    return read_files(spark, d, content=False).select("path", "name", "length", "modified")
+
+
 def violations(spark, d):
-    files = V.file_rows(S.list_files(spark, d))
+    files = V.file_rows(listing(spark, d))
     return sorted(r.rule for r in V.validate_corpus(files).collect())
 
 
@@ -41,7 +46,7 @@ def test_empty_directory(spark):
     d = make_corpus(0, 0, extra=["readme.md"])
     assert violations(spark, d) == ["V4_empty_directory"]
     with pytest.raises(ValueError, match="EmptyDirectory"):
-        V.raise_on_violation(V.validate_corpus(V.file_rows(S.list_files(spark, d))))
+        V.raise_on_violation(V.validate_corpus(V.file_rows(listing(spark, d))))
 
 
 def test_missing_raw_and_unequal(spark):
@@ -51,7 +56,7 @@ def test_missing_raw_and_unequal(spark):
 
 
 def test_missing_ids_and_balance(spark):
-    files = V.file_rows(S.list_files(spark, make_corpus(skip={("raw", 2), ("raw", 4)})))
+    files = V.file_rows(listing(spark, make_corpus(skip={("raw", 2), ("raw", 4)})))
     raw = files.filter(F.col("kind") == "raw")
     assert [r.missing_id for r in V.missing_ids(raw).orderBy("missing_id").collect()] == [2, 4]
     bal = V.raw_meta_balance(files).orderBy("article_id").collect()
