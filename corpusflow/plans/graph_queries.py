@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.operators import graph as G
 from corpusflow.operators.annotate import document_sentences
+from corpusflow.operators.patterns import match_graph
 from corpusflow.operators.stats import pos_frequency_map
 from corpusflow.plans.registry import register
 from corpusflow.plans.sqlparts import token_sql
@@ -211,6 +212,31 @@ def q_event_fanin_match(spark, sf):
                            [("a", "c", "next"), ("b", "c", "skip")], graph_cols=["user_id"])
 
 
+# users as nodes: an edge from each event's user to that of the next event, labelled by the event's type
+_USER_SQL = """
+WITH t AS (SELECT user_id, event_type, row_number() OVER (ORDER BY ts, event_id) AS rn FROM events),
+e AS MATERIALIZED (SELECT DISTINCT a.user_id AS src, b.user_id AS dst, a.event_type AS label FROM t a JOIN t b ON b.rn = a.rn + 1
+                   WHERE a.user_id <> b.user_id)"""
+
+
+def user_graph(spark, sf):
+    e = load_table(spark, sf, "events").withColumn("everyone", F.lit(1))
+    steps = G.sequence_edges(e, "everyone", ["ts", "event_id"], "event_id", {"next": 1})
+    who = e.select(F.col("event_id").alias("src"), F.col("user_id").alias("a"), F.col("event_type").alias("label"))
+    to = e.select(F.col("event_id").alias("dst"), F.col("user_id").alias("b"))
+    edges = steps.select("src", "dst").join(who, "src").join(to, "dst").select(F.col("a").alias("src"), F.col("b").alias("dst"), "label")
+    label = F.when(F.col("user_id") % 2 == 0, "even").otherwise("odd")
+    return e.select(F.col("user_id").alias("node_id"), label.alias("label")), edges
+
+
+@register("user_triangle_match", _USER_SQL + """
+SELECT x.src AS a, x.dst AS b, y.dst AS c FROM e x JOIN e y ON y.src = x.dst AND y.label = 'view' JOIN e z ON z.src = y.dst AND z.dst = x.src
+WHERE x.label = 'view' AND z.label = 'click' AND x.src % 2 = 0 AND x.dst % 2 = 1 AND y.dst % 2 = 0""")
+def q_user_triangle_match(spark, sf):
+    nodes, edges = user_graph(spark, sf)
+    return match_graph(nodes, edges, {"a": "even", "b": "odd", "c": "even"}, [("a", "b", "view"), ("b", "c", "view"), ("c", "a", "click")])
+
+
 _FREQ_SQL = """
 , freq AS (
   SELECT article_id, '{' || string_agg('"' || upos || '":' || n, ',' ORDER BY upos) || '}' AS pos
