@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from corpusflow.operators import crawl as C
 from corpusflow.plans.registry import register
 from corpusflow.plans.sqlparts import NETLOC_RE, links_cte, sql_str
-from corpusflow.session import load_table
+from corpusflow.session import load_table, scratch_path
+from corpusflow.streaming.articles import current_articles, run_updates
 from corpusflow.streaming.new_urls import run_new_urls
 
 _CHAIN_SQL = f"""
@@ -49,6 +50,33 @@ def q_stream_new_urls(spark, sf):
     return spark.read.parquet(target).select("url")
 
 
+# the given pages, then every third page with a paragraph more, then every second page as it was at first
+_ARRIVALS_SQL = """
+b AS (
+  SELECT 0 AS step, page_id, url, coalesce(html, '') AS html FROM pages
+  UNION ALL SELECT 1, page_id, url, coalesce(html, '') || '<p>more</p>' FROM pages WHERE page_id % 3 = 0
+  UNION ALL SELECT 2, page_id, url, coalesce(html, '') FROM pages WHERE page_id % 2 = 0
+), l AS (
+  SELECT step, url, max(page_id) AS page_id, sha256(arg_max(html, page_id)) AS digest FROM b WHERE url IS NOT NULL GROUP BY step, url
+), c AS (
+  SELECT *, lag(digest) OVER (PARTITION BY url ORDER BY step) AS was FROM l
+), v AS (
+  SELECT url, page_id, digest, step, row_number() OVER (PARTITION BY url ORDER BY step) AS version FROM c WHERE was IS NULL OR was <> digest
+)"""
+
+
+@register("stream_article_updates", "WITH " + _ARRIVALS_SQL.lstrip() + """
+SELECT url, CAST(version AS INTEGER) AS version, page_id, digest FROM v QUALIFY row_number() OVER (PARTITION BY url ORDER BY version DESC) = 1""")
+def q_stream_article_updates(spark, sf):
+    base = scratch_path(spark, "article-updates")
+    pages = load_table(spark, sf, "pages").select("page_id", "url", "html")
+    for step, batch in enumerate([pages, pages.filter("page_id % 3 = 0").withColumn("html", F.concat(F.coalesce("html", F.lit("")), F.lit("<p>more</p>"))),
+                                  pages.filter("page_id % 2 = 0")]):
+        batch.write.parquet(f"{base}/landed/{step}")
+        run_updates(spark, f"{base}/landed", base, article_classes=None)
+    return current_articles(spark, base).select("url", "version", "page_id", "digest")
+
+
 @register("crawl_resumable", "WITH RECURSIVE " + _CHAIN_SQL.lstrip() + """
 , bfs(url, depth) AS (
   SELECT url, 0 FROM seeds
