@@ -9,16 +9,15 @@ document).  Windows are judged on the input.
    anchors, so only occurrences of one anchor need to meet.  Neighbouring
    windows mostly share an anchor: one row per anchor place stands for them
    (about one row per eight words), with a hash of the span that they cover.
-2. *Confirming.*  Rows sorted by (anchor, span): rows after the first of a span
-   are repeats in whole.  The first rows of anchors with several spans may share
-   some windows; their spans' words go on to step 3.
-3. *Automata.*  Those spans are dealt out by anchor.  Each shard confirms the windows
-   that occur more than once, compiles them to an Aho-Corasick automaton, and
-   streams the spans through it; every occurrence after the first is a repeat.
-   An anchor with very many spans (the edge of a passage that is everywhere) is
-   dealt out further, in slices of its spans: each slice gives the places of its
-   windows, these are summed per window, and the repeated ones go back to the
-   slices that have them, each with an automaton of its own.
+2. *Choosing.*  Rows sorted by (anchor, span): rows after the first of a span are
+   equal to it in whole, by the hash of the span, and need no automaton.  The first rows
+   of anchors with several spans may share some windows; their words go on to step 3.
+3. *Automata.*  Those spans are dealt out in slices of about SLICE_BYTES, whatever their
+   anchors.  Each slice gives its windows with their least places; these are summed per
+   window, and the windows of several places go back to the slices that have them.
+   There they are compiled to an Aho-Corasick automaton, through which the slice's
+   spans are streamed; every occurrence after the first is a repeat.  No task needs all
+   spans of an anchor or all places of a window.
 4. The repeated ranges meet their documents, and the other words stay.
 
 Documents without a repeated anchor cannot hold a repeated window, so leaving
@@ -29,7 +28,6 @@ from __future__ import annotations
 
 import hashlib
 import struct
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,11 +39,10 @@ from pyspark.sql import functions as F
 from corpusflow.llm.common import staged, workers_ready
 from corpusflow.llm.textblocks import Prefix, Words, blocks, gram_hashes, mix, row_of
 
-#: Spans of one anchor beyond which they are dealt out, in slices of about as many.
-HOT_SPANS = 5_000
+#: Bytes of the spans that one automaton is made for and streamed with.
+SLICE_BYTES = 1 << 20
 _STEP = 1 << 19
 _LOW = np.uint64((1 << 20) - 1)
-_SHARD_BYTES = 4 << 20
 
 
 def _owned(words: Words, width: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
@@ -148,24 +145,20 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _spans(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.string()]
-        names = ["key", "part", "parts", "doc_id", "first", "words"]
         for batch in batches:
             ids, todo = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for lo, _, words in blocks(batch.column(1)):
                 rows: list[tuple] = []
                 data = words.data.tobytes()
                 for i, a in enumerate(words.first[:-1]):
-                    for key, first, more, parts in ((x["key"], x["first"], x["more"], x["parts"]) for x in todo[lo + i]):
+                    for first, more in ((x["first"], x["more"]) for x in todo[lo + i]):
                         b, e = a + first, a + first + more + width - 1
                         if e >= words.first[i + 1]:
                             continue  # another row of this id
-                        own = data[words.start[b]:words.end[e]].split()
-                        line = b" ".join(own).decode()
-                        rows.append((key, zlib.crc32(b"%d %d" % (ids[lo + i], first)) % parts, parts, ids[lo + i], first, line))
+                        rows.append((ids[lo + i], first, b" ".join(data[words.start[b]:words.end[e]].split()).decode()))
                 for at in range(0, len(rows), 20_000):
                     yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(
-                        zip(*rows[at:at + 20_000], strict=True), kinds, strict=True)], names)
+                        zip(*rows[at:at + 20_000], strict=True), (pa.int64(), pa.int32(), pa.string()), strict=True)], ["doc_id", "first", "words"])
     return run
 
 
@@ -178,7 +171,7 @@ def locate(rows: list[tuple[int, int, int, int, str]], width: int,
     """Ranges (doc_id, first word, words) of the windows that also start earlier among ``rows``.
 
     ``rows``: (part, parts, doc_id, first word, words joined by a space), all
-    spans of some anchors.  The windows that occur at several places are compiled
+    spans of some windows.  The windows that occur at several places are compiled
     to one automaton, and all rows are streamed through it.  ``known``: digests and
     first places of those windows, if the rows are only a slice of the spans.
     """
@@ -235,35 +228,20 @@ def _ranges(found: list[tuple[int, int, int]]) -> pa.RecordBatch:
                                        pa.array(size, pa.int32())], ["doc_id", "first", "size"])
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], list[tuple]]]:
-    """(key, part) and the other columns of its rows; the rows come sorted by these two."""
-    rows: list[tuple] = []
-    group = None
-    for batch in batches:
-        for k, part, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if rows and (k, part) != group:
-                yield group, rows
-                rows = []
-            group = k, part
-            rows.append(tuple(rest))
-    if rows:
-        yield group, rows
-
-
 def _places(width: int):
-    """Of each slice: its windows' digests, each with the least place and whether there are several."""
+    """Rows (part, doc_id, first, words) to their windows: digest, least place and whether there are several, per part."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "part", "a", "b", "doc_id", "first", "several"]
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
-        for (key, part), rows in _groups(batches):
-            ends: dict[str, tuple] = {}
-            for doc, first, line in rows:
+        names = ["part", "a", "b", "doc_id", "first", "several"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
+        for batch in batches:
+            ends: dict[tuple, tuple] = {}
+            for part, doc, first, line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 own = line.split(" ")
                 for j in range(len(own) - width + 1):
-                    window, at = " ".join(own[j:j + width]), (doc, first + j)
+                    window, at = (part, " ".join(own[j:j + width])), (doc, first + j)
                     lo, hi = ends.get(window, (at, at))
                     ends[window] = min(lo, at), max(hi, at)
-            out = [(key, part, *_digest(w), *lo, lo != hi) for w, (lo, hi) in ends.items()]
+            out = [(part, *_digest(w), *lo, lo != hi) for (part, w), (lo, hi) in ends.items()]
             for at in range(0, len(out), 20_000):
                 yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(
                     zip(*out[at:at + 20_000], strict=True), kinds, strict=True)], names)
@@ -271,32 +249,21 @@ def _places(width: int):
 
 
 def _slices(width: int):
-    """Rows of a slice: its spans, and its repeated windows (without words) with their first places."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _groups(batches):
-            known = {(a, b): (doc, first) for doc, first, line, a, b in rows if line is None}
-            if known:
-                yield _ranges(locate([(0, 1, doc, first, line) for doc, first, line, _, _ in rows if line is not None], width, known))
-    return run
+    """Rows sorted by part: a slice's spans, and its repeated windows (without words) with their first places."""
+    def located(rows: list[tuple]) -> pa.RecordBatch:
+        known = {(a, b): (doc, first) for _, doc, first, line, a, b in rows if line is None}
+        return _ranges(locate([(0, 1, doc, first, line) for _, doc, first, line, _, _ in rows if line is not None], width, known) if known else [])
 
-
-def _shards(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(rows: list[tuple]) -> pa.RecordBatch:
-            return _ranges(locate(rows, width))
         rows: list[tuple] = []
-        held, group = 0, None
         for batch in batches:
-            key, *rest = (c.to_pylist() for c in batch.columns)
-            for k, part, parts, doc, first, line in zip(key, *rest, strict=True):
-                if held > _SHARD_BYTES and (k, part) != group:
-                    yield done(rows)
-                    rows, held = [], 0
-                group = k, part
-                rows.append((part, parts, doc, first, line))
-                held += len(line)
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if rows and row[0] != rows[0][0]:
+                    yield located(rows)
+                    rows = []
+                rows.append(row)
         if rows:
-            yield done(rows)
+            yield located(rows)
     return run
 
 
@@ -340,20 +307,19 @@ def _joined(words: Words, kept: np.ndarray, n_kept: np.ndarray) -> tuple[bytes,
     return data[take].tobytes(), size[words.text_at]
 
 
-def _located_in_slices(spans: DataFrame, width: int) -> DataFrame:
-    """``(doc_id, first, size)`` of the spans of hot anchors: no task needs all spans of one window."""
-    def dealt(rows: DataFrame) -> DataFrame:
-        return rows.repartition("key", "part").sortWithinPartitions("key", "part")
-
-    places = dealt(spans.select("key", "part", "doc_id", "first", "words")).mapInArrow(
-        _places(width), "key long, part int, a long, b long, doc_id long, first int, several boolean")
+def _located(spans: DataFrame, width: int) -> DataFrame:
+    """``(doc_id, first, size)`` of the repeats inside spans ``(doc_id, first, words)``."""
+    size = spans.agg(F.sum(F.octet_length("words"))).first()[0] or 0
+    parts = int(size // SLICE_BYTES) + 1
+    spans = spans.select(F.pmod(F.xxhash64("doc_id", "first"), F.lit(parts)).alias("part"), "doc_id", "first", "words")
+    places = spans.mapInArrow(_places(width), "part long, a long, b long, doc_id long, first int, several boolean")
     place = F.struct("doc_id", "first")
-    again = places.groupBy("a", "b").agg(F.min("key").alias("key"), F.collect_list("part").alias("parts"), F.min(place).alias("place"),
-                                         (F.max("several") | (F.min(place) != F.max(place))).alias("several")).filter("several")
-    back = again.select("key", F.explode("parts").alias("part"), "place.doc_id", "place.first", F.lit(None).cast("string").alias("words"), "a", "b")
+    again = staged(places.groupBy("a", "b").agg(F.min(place).alias("place"), (F.max("several") | (F.min(place) != F.max(place))).alias("several"))
+                   .filter("several").select("a", "b", "place.doc_id", "place.first"), "phrase-windows")
+    back = places.select("part", "a", "b").join(again, ["a", "b"]).select("part", "doc_id", "first", F.lit(None).cast("string").alias("words"), "a", "b")
     none = F.lit(None).cast("long")
-    return dealt(spans.select("key", "part", "doc_id", "first", "words", none.alias("a"), none.alias("b")).unionByName(back)) \
-        .mapInArrow(_slices(width), "doc_id long, first int, size int")
+    rows = spans.select("*", none.alias("a"), none.alias("b")).unionByName(back)
+    return rows.repartition("part").sortWithinPartitions("part").mapInArrow(_slices(width), "doc_id long, first int, size int")
 
 
 def repeated_ranges(docs: DataFrame, width: int = 20, gram: int = 4) -> DataFrame:
@@ -362,20 +328,10 @@ def repeated_ranges(docs: DataFrame, width: int = 20, gram: int = 4) -> DataFram
         _anchors(width, gram), "known boolean, key long, span long, doc_id long, first int, more int")
     seen = staged(rows.repartition("key").sortWithinPartitions("known", "key", "span", "doc_id", "first")
                   .mapInArrow(_confirm, "whole boolean, key long, doc_id long, first int, more int"), "phrase-anchors")
-    inner = seen.filter("not whole").select("key", "doc_id", "first", "more")
-    hot = staged(inner.groupBy("key").count().filter(F.col("count") > HOT_SPANS)
-                 .select("key", F.ceil(F.col("count") / HOT_SPANS).cast("int").alias("parts")), "phrase-hot")
-
-    def spans(rows: DataFrame) -> DataFrame:
-        todo = rows.groupBy("doc_id").agg(F.collect_list(F.struct("key", "first", "more", "parts")).alias("todo"))
-        return docs.join(todo, "doc_id").select("doc_id", "text", "todo").mapInArrow(
-            _spans(width), "key long, part int, parts int, doc_id long, first int, words string")
-
-    located = spans(inner.join(F.broadcast(hot), "key", "left_anti").withColumn("parts", F.lit(1))) \
-        .repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(_shards(width), "doc_id long, first int, size int")
-    if not hot.isEmpty():
-        located = located.unionAll(_located_in_slices(staged(spans(inner.join(F.broadcast(hot), "key")), "phrase-hot-spans"), width))
-    return seen.filter("whole").select("doc_id", "first", (F.col("more") + width).alias("size")).unionAll(located)
+    todo = seen.filter("not whole").groupBy("doc_id").agg(F.collect_list(F.struct("first", "more")).alias("todo"))
+    spans = staged(docs.join(todo, "doc_id").select("doc_id", "text", "todo").mapInArrow(
+        _spans(width), "doc_id long, first int, words string"), "phrase-spans")
+    return seen.filter("whole").select("doc_id", "first", (F.col("more") + width).alias("size")).unionAll(_located(spans, width))
 
 
 def substring_dedup(docs: DataFrame, width: int = 20, gram: int = 4,

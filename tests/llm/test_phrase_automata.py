@@ -35,7 +35,7 @@ def test_against_brute_force(spark, width, gram):
 
 def test_hot_anchors_are_dealt_out(spark, monkeypatch):
     import corpusflow.llm.phrase_automata as m
-    monkeypatch.setattr(m, "HOT_SPANS", 3)
+    monkeypatch.setattr(m, "SLICE_BYTES", 300)
     docs = [(i, f"h{i} " + " ".join(f"s{j}" for j in range(25)) + f" t{i} t{i % 3}") for i in range(80)]
     assert _run(spark, docs, 20, 4) == brute(docs, 20)
 
@@ -62,20 +62,28 @@ def test_a_very_long_text(spark):
     assert _run(spark, docs, 20, 4) == brute(docs, 20)
 
 
-def test_no_shard_needs_all_spans_of_a_hot_anchor():
+def test_no_slice_needs_all_spans_of_a_hot_anchor(spark, monkeypatch):
     import corpusflow.llm.phrase_automata as m
-    n, parts = 2_000, 20
-    text = [f"h{i} " + " ".join(f"s{j}" for j in range(25)) + f" t{i}" for i in range(n)]
-    todo = [[{"key": 1, "first": 0, "more": 5, "parts": parts}]] * n
-    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(text), pa.array(todo)], ["doc_id", "text", "todo"])
-    dealt = Counter(p for b in m._spans(20)([batch]) for p in b.column(1).to_pylist())
-    assert sum(dealt.values()) == n and max(dealt.values()) < 2 * n / parts
+    monkeypatch.setattr(m, "SLICE_BYTES", 10_000)
+    n = 1_500
+    spans = spark.createDataFrame([(i, 0, f"h{i} " + " ".join(f"s{j}" for j in range(25)) + f" t{i}") for i in range(n)], "doc_id long, first int, words string")
+    sizes = Counter()
+    slices = m._slices
+    monkeypatch.setattr(m, "_slices", lambda width: lambda batches: (pa.RecordBatch.from_arrays(
+        [b.column(0), pa.array([0] * b.num_rows, pa.int32()), pa.array([int(x is not None) for x in b.column(3).to_pylist()], pa.int32())], ["doc_id", "first", "size"])
+        for b in batches))
+    for r in m._located(spans, 20).groupBy("doc_id").sum("size").collect():
+        sizes[r[0]] += r[1]
+    assert len(sizes) > 10 and sum(sizes.values()) == n and max(sizes.values()) < 3 * n / len(sizes)
+    monkeypatch.setattr(m, "_slices", slices)
+    found = {(r.doc_id, r.first, r.size) for r in m._located(spans, 20).collect()}
+    assert found == {(i, 1, 25) for i in range(1, n)}
 
 
 @pytest.mark.parametrize("width", [20, 5])
 def test_hot_anchors_in_slices(spark, monkeypatch, width):
     import corpusflow.llm.phrase_automata as m
-    monkeypatch.setattr(m, "HOT_SPANS", 2)
+    monkeypatch.setattr(m, "SLICE_BYTES", 200)
     docs = _texts(width + 1, width)
     docs += [(1000 + i, f"h{i} " + " ".join(f"s{j}" for j in range(25)) + f" t{i} t{i % 3}") for i in range(60)]
     docs.append(docs[-1])  # a repeated row is no later place
