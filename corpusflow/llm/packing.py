@@ -305,7 +305,8 @@ def _runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
 
 def _round(pieces: DataFrame, columns: str, size: int) -> DataFrame:
     groups = max(1, -(-pieces.count() // GROUP))
-    return pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(groups))) \
+    # by the row's number in the written table, so that rows of equal or no ids are dealt out as well
+    return pieces.withColumn("group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups))) \
         .repartition("group").sortWithinPartitions("group", "doc_id", "piece") \
         .mapInArrow(_packed(size), f"{columns}, group long, bin long, fill long, offset long")
 

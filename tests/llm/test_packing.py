@@ -102,3 +102,13 @@ def test_edges_of_the_input(spark):
     df = spark.createDataFrame([(1, "a", 1, "x"), (1, "a", 1, "x"), (None, "b", None, None)], schema)
     rows = pack(df, PATH).collect()
     assert len(rows) == 3 and len({(r.sequence_id, r.offset) for r in rows}) == 3
+
+
+def test_rows_without_ids_are_dealt_out(spark, monkeypatch):
+    import corpusflow.llm.packing as m
+    monkeypatch.setattr(m, "GROUP", 50)
+    df = spark.createDataFrame([(None if i % 3 else 7, "a b c") for i in range(600)], "doc_id long, text string").repartition(4)
+    rows = pack(df, PATH, size=64).collect()
+    assert len(rows) == 600 and len({(r.sequence_id, r.offset) for r in rows}) == 600
+    groups = {r.sequence_id // (m.GROUP * 2) for r in rows if r.sequence_id >= 0}
+    assert len(groups) > 6  # twelve groups of about fifty rows
