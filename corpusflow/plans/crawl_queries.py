@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusflow.operators import crawl as C
+from corpusflow.operators.frontier import crawl_frontier
+from corpusflow.operators.links import classified_links, fetchable
 from corpusflow.plans.registry import register
 from corpusflow.plans.sqlparts import NETLOC_RE, links_cte, sql_str
 from corpusflow.session import load_table, scratch_path
@@ -121,6 +123,23 @@ _SITE_URL = """'https://site' || CAST({s} AS VARCHAR) || '.example/' || CASE {i}
   || '/' || CAST({i} AS VARCHAR)"""
 
 
+@register("crawl_frontier", f"""
+WITH RECURSIVE n AS (SELECT page_id % {SITES} AS s, page_id // {SITES} AS i FROM pages WHERE page_id % 11 <> 10),
+e AS (SELECT s, i, unnest([i * 2 + 1, i * 3 + 2, i // 2, i, i * i % 50 + 1]) AS j FROM n),
+walk(s, i) AS (
+  SELECT page_id % {SITES}, page_id // {SITES} FROM pages WHERE page_id < {2 * SITES}
+  UNION
+  SELECT w.s, e.j FROM walk w JOIN e ON e.s = w.s AND e.i = w.i
+)
+SELECT {_SITE_URL.format(s="s", i="i")} AS url, 'site' || CAST(s AS VARCHAR) || '.example' AS host, true AS fetched FROM walk""")
+def q_crawl_frontier(spark, sf):
+    # at most a hundredth of the pages, and 16, of each site in a round; run to the end
+    rows, seeds = site_graph(load_table(spark, sf, "pages"))
+    links = classified_links(fetchable(rows)).select(F.col("seed").alias("src"), F.col("url").alias("dst"))
+    found = crawl_frontier(links, seeds, per_host=16 + rows.count() // 100)
+    return found.select("url", "host", F.col("fetched").isNotNull().alias("fetched"))
+
+
 @register("crawl_pages", f"""
 WITH RECURSIVE n AS (SELECT page_id % {SITES} AS s, page_id // {SITES} AS i FROM pages WHERE page_id % 11 <> 10),
 e AS (SELECT s, i, unnest([i * 2 + 1, i * 3 + 2, i // 2, i, i * i % 50 + 1]) AS j FROM n),
