@@ -42,11 +42,54 @@ GIANT, CHUNK, BLOCK = 16_384, 8_192, 256
 UNKNOWN = 10
 MARK = "▁"
 _NEVER = -(1 << 60)
+_NO_KEY = np.uint64((1 << 64) - 1)
+#: Code points of a word up to which words are segmented together.
+TOGETHER = 256
+_WORDS = 1 << 14
 _UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 OUT = "doc_id long, chunk int, start long, n_ids long, ids_crc32 long, score long, ids binary, text string"
 
 
+class Beginnings:
+    """A trie of pieces whose steps are looked up for many places of many texts at once: open addressing over (state, character)."""
+
+    def __init__(self, begun: dict[str, int | None], numbers: dict[str, tuple[int, int]]):
+        """``begun``: all pieces (with scores) and all beginnings of pieces (None)."""
+        texts = sorted(begun, key=len)
+        at = {"": 0} | {t: i for i, t in enumerate(texts, 1)}
+        self.score = np.array([_NEVER] + [_NEVER if begun[t] is None else begun[t] for t in texts], np.int64)
+        self.number = np.array([-1] + [numbers[t][0] if begun[t] is not None else -1 for t in texts], np.int64)
+        self._shift = np.uint64(64 - max(16, (4 * len(texts)).bit_length()))
+        size = 1 << (64 - int(self._shift))
+        self._keys, self._to = np.full(size + 64, _NO_KEY, np.uint64), np.full(size + 64, -1, np.int64)
+        self._probes = 1
+        key = np.array([at[t[:-1]] << 21 | ord(t[-1]) for t in texts], np.uint64)
+        for k, slot, to in zip(key.tolist(), self._slot(key).tolist(), range(1, len(texts) + 1), strict=True):
+            first = slot
+            while self._to[slot] >= 0:
+                slot += 1
+            self._keys[slot], self._to[slot] = k, to
+            self._probes = max(self._probes, slot - first + 1)
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return (key * np.uint64(0x9E3779B97F4A7C15) >> self._shift).astype(np.int64)
+
+    def step(self, state: np.ndarray, char: np.ndarray) -> np.ndarray:
+        """The next states; -1 where no piece goes on like this."""
+        key = (state << 21 | char).astype(np.uint64)
+        slot = self._slot(key)
+        out = np.where(self._keys[slot] == key, self._to[slot], -1)
+        for probe in range(1, self._probes):
+            rest = np.flatnonzero((out < 0) & (self._to[slot + probe - 1] >= 0))
+            if not len(rest):
+                break
+            hit = rest[self._keys[slot[rest] + probe] == key[rest]]
+            out[hit] = self._to[slot[hit] + probe]
+        return out
+
+
 class Lattice:
     """Pieces and their scores; the best segmentation of texts and of parts of texts."""
 
@@ -70,7 +113,8 @@ class Lattice:
             self._scores[n], self._spelling[n] = score, piece
         self._begun: dict[str, int | None] = {p[:i]: None for p in pieces for i in range(1, len(p))}
         self._begun.update({p: score for p, (_, score) in pieces.items()})
-        self._known = WordIds(lambda words: [self._numbers(w) for w in words])
+        self._trie = Beginnings(self._begun, pieces)
+        self._known = WordIds(lambda words: [ids for i in range(0, len(words), _WORDS) for ids in self.numbers_many(words[i:i + _WORDS])])
 
     @classmethod
     def load(cls, path: str) -> Lattice:
@@ -129,6 +173,69 @@ class Lattice:
             at = cut
         return out
 
+    def numbers_many(self, texts: list[str]) -> list[list[int]]:
+        """Ids of the best segmentations of many words, as ``_numbers`` has them.
+
+        The pieces at all places of all words are found length by length, and the words' best
+        segmentations position by position, each step for all words at once.  Very long words,
+        and those with a character that no piece has, go one by one.
+        """
+        out: list[list[int] | None] = [None if 0 < len(t) <= TOGETHER else self._numbers(t) for t in texts]
+        todo = [i for i, x in enumerate(out) if x is None]
+        if not todo:
+            return out
+        chars = np.frombuffer("".join(texts[i] for i in todo).encode("utf-32-le"), np.uint32).astype(np.int64)
+        size = np.array([len(texts[i]) for i in todo])
+        word = np.repeat(np.arange(len(todo)), size)
+        begin = np.cumsum(size) - size
+        end = (begin + size)[word]
+        # pieces as edges (start, length, state)
+        at, state = np.arange(len(chars)), np.zeros(len(chars), np.int64)
+        starts, lengths, states = [], [], []
+        for length in range(1, self.reach + 1):
+            inside = at + length <= end[at]
+            at, state = at[inside], state[inside]
+            state = self._trie.step(state, chars[at + length - 1])
+            take = np.flatnonzero((state >= 0) & (self._trie.score[state] != _NEVER)) if length > 1 else np.arange(len(at))
+            starts.append(at[take])
+            lengths.append(np.full(len(take), length))
+            states.append(state[take])
+            at, state = at[state >= 0], state[state >= 0]
+            if not len(at):
+                break
+        start, length, state = np.concatenate(starts), np.concatenate(lengths), np.concatenate(states)
+        score = np.where(state >= 0, self._trie.score[state], _NEVER)
+        unknown = score == _NEVER
+        score[unknown] = self.unknown
+        # every word has a node before each of its characters and one behind
+        source = start + word[start]
+        target = source + length
+        place = (start - begin[word[start]]).astype(np.int16)
+        order = np.argsort(place, kind="stable")
+        best, back = np.full(len(chars) + len(todo), _NEVER, np.int64), np.full(len(chars) + len(todo), -1, np.int64)
+        best[begin + np.arange(len(todo))] = 0
+        for own in np.split(order, np.flatnonzero(np.diff(place[order])) + 1):
+            reached = best[source[own]] + score[own]
+            better = reached > best[target[own]]
+            own = own[better]
+            best[target[own]], back[target[own]] = reached[better], own
+        node = begin + size + np.arange(len(todo))
+        used = []
+        while len(node):
+            edge = back[node]
+            used.append(edge)
+            node = source[edge]
+            node = node[back[node] >= 0]
+        edges = np.concatenate(used)
+        edges = edges[np.argsort(start[edges], kind="stable")]
+        odd = np.zeros(len(todo), bool)
+        odd[word[start[edges[unknown[edges]]]]] = True
+        numbers = self._trie.number[state[edges]].tolist()
+        cut = np.searchsorted(word[start[edges]], np.arange(len(todo) + 1)).tolist()
+        for j, i in enumerate(todo):
+            out[i] = self._numbers(texts[i]) if odd[j] else numbers[cut[j]:cut[j + 1]]
+        return out
+
     def encode_many(self, texts: list[str], dummy: bool) -> list[np.ndarray]:
         """Ids of plain texts (spaces as spaces), with the model's space in front if ``dummy``.
 
@@ -217,16 +324,25 @@ class Lattice:
 
         Entry e: the first cut is at e; exit f: the first cut at or behind ``size`` is at size + f.
         """
-        states = self.reach
-        cuts = [m.start() for m in _UNIT.finditer(text) if m.start() and m.start() <= size and text[m.start() - 1] != MARK]
-        if not cuts:
-            return self._transfer(text, size, states)
-        first, last = cuts[0], cuts[-1]
-        head = self._transfer(text[:first], first, states)[:, 0]
-        tail = self._transfer(text[last:], size - last, 1)[0]
-        out = head[:, None] + self.encode(text[first:last])[1] + tail[None, :]
-        out[(head <= _NEVER // 2)[:, None] | (tail <= _NEVER // 2)[None, :]] = _NEVER
-        return out
+        return self.matrices([text], [size])[0]
+
+    def matrices(self, texts: list[str], sizes: list[int]) -> list[np.ndarray]:
+        """The matrices of many chunks; what stands between the first and the last sure cut of each is encoded together."""
+        cuts = [[m.start() for m in _UNIT.finditer(text) if m.start() and m.start() <= size and text[m.start() - 1] != MARK]
+                for text, size in zip(texts, sizes, strict=True)]
+        middles = self.encode_many([text[own[0]:own[-1]].replace(MARK, " ") if own else "" for text, own in zip(texts, cuts, strict=True)], False)
+        found = []
+        for text, size, own, middle in zip(texts, sizes, cuts, middles, strict=True):
+            if not own:
+                found.append(self._transfer(text, size, self.reach))
+                continue
+            first, last = own[0], own[-1]
+            head = self._transfer(text[:first], first, self.reach)[:, 0]
+            tail = self._transfer(text[last:], size - last, 1)[0]
+            out = head[:, None] + self.score(middle) + tail[None, :]
+            out[(head <= _NEVER // 2)[:, None] | (tail <= _NEVER // 2)[None, :]] = _NEVER
+            found.append(out)
+        return found
 
     def _transfer(self, text: str, size: int, entries: int) -> np.ndarray:
         """As ``matrix``, position by position, for all entries at once."""
@@ -321,19 +437,29 @@ def _whole(path: str):
 
 
 def _cut(path: str):
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.binary())
+    names = ["doc_id", "row", "chunk", "chunks", "part", "matrix"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = _lattice(path)
-        names = ["doc_id", "row", "chunk", "chunks", "part", "matrix"]
+
+        def done(rows: list[tuple]) -> pa.RecordBatch:
+            found = lattice.matrices([r[4] for r in rows], [r[5] for r in rows])
+            columns = [*list(zip(*rows, strict=True))[:5], [m.astype("<i8").tobytes() for m in found]]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
         for batch in batches:
+            rows: list[tuple] = []
             for doc_id, row, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 text = prepared(text)
                 starts = range(0, len(text), CHUNK)
                 for chunk, at in enumerate(starts):
-                    part = text[at:at + CHUNK + lattice.reach - 1]
-                    matrix = lattice.matrix(part, min(CHUNK, len(text) - at))
-                    yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(
-                        (doc_id, row, chunk, len(starts), part, matrix.astype("<i8").tobytes()),
-                        (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.binary()), strict=True)], names)
+                    rows.append((doc_id, row, chunk, len(starts), text[at:at + CHUNK + lattice.reach - 1], min(CHUNK, len(text) - at)))
+                    if len(rows) == 100:
+                        yield done(rows)
+                        rows = []
+            if rows:
+                yield done(rows)
     return run
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 
 from corpusflow.llm import piece_scan as ps
-from corpusflow.llm.piece_scan import Lattice, encode, max_plus, plain, prepared, trace_states
+from corpusflow.llm.piece_scan import MARK, Lattice, encode, max_plus, plain, prepared, trace_states
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -120,3 +120,20 @@ def test_edges_of_the_input(spark):
     rows = encode(df, PATH).collect()
     assert len(rows) == 3 * -(-(len(long) + 1) // ps.CHUNK)
     assert sum(len(r.text) for r in rows) == 3 * len(long)
+
+
+def test_words_segmented_together_are_as_one_by_one():
+    pieces = {p: (i, -s) for i, (p, s) in enumerate([("a", 5), ("b", 6), ("ab", 7), ("ba", 7), ("aba", 9), (MARK, 4), (MARK + "a", 6), ("é", 5), ("bab", 12), ("aab", 10)])}
+    own = Lattice(pieces, 100)
+    rnd = random.Random(4)
+    words = ["".join(rnd.choice("aabbé" + MARK + "x日") for _ in range(rnd.randrange(12))) for _ in range(3_000)]
+    words += ["ab" * 200, "a" * 256, "a" * 257, "é" * 1000, "", "x", "😀a"]
+    assert own.numbers_many(words) == [own._numbers(w) for w in words]
+
+
+def test_matrices_of_many_chunks_are_those_of_each(lattice):
+    rnd = random.Random(5)
+    texts = [MARK + "".join(rnd.choice(["the", "é", MARK, MARK, "international", "x", "日本"]) for _ in range(rnd.randrange(1, 60))) for _ in range(40)]
+    sizes = [max(1, len(t) - rnd.randrange(12)) for t in texts]
+    for text, size, found in zip(texts, sizes, lattice.matrices(texts, sizes), strict=True):
+        assert (found == lattice.matrix(text, size)).all()
