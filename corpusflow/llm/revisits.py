@@ -15,6 +15,7 @@ move only for the matched pairs.
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,15 +76,15 @@ def latest_earlier(records: DataFrame, slices: int = SLICES) -> DataFrame:
     ``records``: ``record_id, record_type, url (canonical), date``, no nulls.  Of
     responses of one second the one with the largest id counts.
     """
-    at = F.unix_micros("date")
-    first, last = records.agg(F.min(at), F.max(at)).first()
-    if first is None:
+    # cuts at quantiles of the dates: no slice holds much more than its share of the records
+    cuts = records.agg(F.percentile_approx(F.unix_micros("date"), [i / slices for i in range(1, slices)] or [0.5], 10_000)).first()[0]
+    if cuts is None:
         return records.select("record_id", F.col("record_id").alias("original_id"))
-    width = (last - first) // slices + 1
     line = records.groupBy("url", "date").agg(
         F.max(F.when(F.col("record_type") == "response", F.col("record_id"))).alias("here"),
-        F.max(F.col("record_type") == "revisit").alias("asks")) \
-        .withColumn("slice", F.expr(f"(unix_micros(date) - {first}L) div {width}L"))
+        F.max(F.col("record_type") == "revisit").alias("asks")).withColumn("micros", F.unix_micros("date").cast("double"))
+    splits = [float("-inf"), *sorted({float(c) for c in cuts}), float("inf")]
+    line = Bucketizer(splits=splits, inputCol="micros", outputCol="slice").transform(line).drop("micros")
     before = Window.partitionBy("url", "slice").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
     inside = line.withColumn("earlier", F.last("here", ignorenulls=True).over(before))
     ends = line.filter("here is not null").groupBy("url", "slice").agg(F.max(F.struct("date", "here")).alias("end"))

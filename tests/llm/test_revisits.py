@@ -76,3 +76,25 @@ def test_edges_of_the_input(spark):
             (3, "revisit", "http://a/", at[0], 304, tag, None, None, None), (4, "request", "http://a/", at[2], None, None, None, None, None)]
     got = {r.record_id: (r.resolution, r.original_id, r.headers) for r in resolve_revisits(spark.createDataFrame(rows, schema)).collect()}
     assert got == {2: ("resolved", 1, {"etag": '"1"'}), 3: ("no_earlier_response", None, None)}
+
+
+def test_slices_hold_equal_shares_whatever_the_dates(spark, monkeypatch):
+    """One record of 1970 beside a URL that has all others: the slices still part these."""
+    import corpusflow.llm.revisits as m
+    n = 4_000
+    rows = [(0, "response", "http://hot/", dt.datetime(1970, 1, 2))]
+    rows += [(i, "response" if i % 5 else "revisit", "http://hot/", T0 + dt.timedelta(seconds=i)) for i in range(1, n)]
+    df = spark.createDataFrame(rows, "record_id long, record_type string, url string, date timestamp")
+    seen = []
+
+    class Spy(m.Bucketizer):
+        def transform(self, line):
+            out = super().transform(line)
+            seen.append(out.groupBy("slice").count())
+            return out
+
+    monkeypatch.setattr(m, "Bucketizer", Spy)
+    got = {r.record_id: r.original_id for r in m.latest_earlier(df, 32).collect()}
+    assert got == {i: (i - 1 if (i - 1) % 5 or i == 1 else i - 2) for i in range(1, n) if i % 5 == 0}
+    (sizes,) = [[r["count"] for r in s.collect()] for s in seen]
+    assert len(sizes) == 32 and max(sizes) < 2 * n / 32
