@@ -100,7 +100,7 @@ def q_pattern_search(spark, sf):
     return j.select("article_id", F.coalesce(F.to_json("pattern_matches"), F.lit("{}")).alias("pattern_matches"))
 
 
-@register("pattern_matches_grouped", token_sql() + _path_sql(PATTERN) + """
+_GROUPED_SQL = """
 , l2 AS (
   SELECT article_id, sent_id, id_1, id_2, upos_1, form_1, upos_2, form_2,
          list({'upos': upos_3, 'text': form_3, 'children': []::VARCHAR[]} ORDER BY id_3) AS ch
@@ -111,12 +111,24 @@ def q_pattern_search(spark, sf):
      'children': list({'upos': upos_2, 'text': form_2, 'children': ch} ORDER BY id_2)} AS tree
   FROM l2 GROUP BY article_id, sent_id, id_1, upos_1, form_1
 )
-SELECT article_id, sent_id, id_1, CAST(to_json(tree) AS VARCHAR) AS tree FROM l1""")
+SELECT article_id, sent_id, id_1, CAST(to_json(tree) AS VARCHAR) AS tree FROM l1"""
+
+
+@register("pattern_matches_grouped", token_sql() + _path_sql(PATTERN) + _GROUPED_SQL)
 def q_pattern_matches_grouped(spark, sf):
     g = G.grouped_trees(matches(spark, sf), 3)
     return g.select(*G.SENTENCE, "id_1", F.to_json("tree").alias("tree"))
 
 
+# the rule annotator's trees are chains; with half its id as head, a token has two dependants
+@register("pattern_matches_branching", token_sql() + _path_sql(PATTERN).replace("id, head, form", "id, id // 2 AS head, form") + _GROUPED_SQL)
+def q_pattern_matches_branching(spark, sf):
+    sents = document_sentences(documents(spark, sf), fields=("id", "form", "upos"))
+    halved = F.transform("tokens", lambda t: F.struct(t["id"], t["form"], t["upos"], F.floor(t["id"] / 2).cast("int").alias("head")))
+    g = G.grouped_trees(G.match_in_sentences(sents.withColumn("tokens", halved), PATTERN), 3)
+    return g.select(*G.SENTENCE, "id_1", F.to_json("tree").alias("tree"))
+
+
 @register("sentence_tree_depth", token_sql().replace("WITH ", "WITH RECURSIVE ", 1) + """
 , walk(article_id, sent_id, id, depth) AS (
   SELECT article_id, sent_id, id, 1 FROM tokens WHERE head = 0
