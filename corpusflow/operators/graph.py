@@ -228,6 +228,13 @@ def tree_depth(tokens: DataFrame) -> DataFrame:
     return per.select(*SENTENCE, depth(F.col("t.id"), F.col("t.head")).alias("depth"))
 
 
+def tree_depth_in(sents: DataFrame) -> DataFrame:
+    """A12 on sentence rows: ``(article_id, sent_id, depth)`` as ``tree_depth`` has it, without an exchange."""
+    ship_package(sents.sparkSession)
+    depth = F.pandas_udf(_batch_tree_depth, "bigint")
+    return sents.select(*SENTENCE, depth(F.col("tokens.id"), F.col("tokens.head")).alias("depth"))
+
+
 # --- attributed graphs (events) ---------------------------------------------
 
 def sequence_edges(df: DataFrame, group: str, order: list[str], node: str,

@@ -138,7 +138,7 @@ def q_pattern_matches_branching(spark, sf):
 )
 SELECT article_id, sent_id, CAST(max(depth) AS BIGINT) AS depth FROM walk GROUP BY article_id, sent_id""")
 def q_sentence_tree_depth(spark, sf):
-    return G.tree_depth(doc_tokens(spark, sf))
+    return G.tree_depth_in(document_sentences(documents(spark, sf), fields=("id", "head")))
 
 
 # --- events graph -------------------------------------------------------------

@@ -71,6 +71,14 @@ def test_ids_must_count_from_one(spark):
     assert G.match_in_sentences(A.group_sentences(heads, ("id", "form", "upos", "head")), ("X", "X")).collect() == []
 
 
+def test_depths(spark):
+    docs = load_table(spark, SF, "documents")
+    own = G.tree_depth_in(A.document_sentences(docs, fields=("id", "head")))
+    assert "Exchange" not in plan(own) and rows(own) == rows(G.tree_depth(doc_tokens(spark, SF)))
+    golden = parse_conllu(spark.createDataFrame([(2, CONLLU_2)], "article_id long, conllu string"))
+    assert rows(G.tree_depth_in(A.group_sentences(golden))) == rows(G.tree_depth(golden))
+
+
 def test_rendering(spark):
     docs = load_table(spark, SF, "documents")
     for feats in (True, False):
