@@ -19,6 +19,8 @@ bytes; the first document of each is also sent to the bucket that it follows.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,7 +57,11 @@ def _bucket(docs: DataFrame) -> tuple[Column, int]:
     number = F.lit(0).cast("long")
     for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
         width = max(1, -(-(b - a) // each))
-        inside = F.expr(f"(doc_id - {a}L) div {width}L")
+        if b - a < 1 << 63:
+            inside = F.call_function("div", F.col("doc_id") - F.lit(a), F.lit(width))
+        else:  # the difference of two ids does not fit a long
+            wide = F.col("doc_id").cast("decimal(20,0)") - F.lit(Decimal(a))
+            inside = F.call_function("div", wide, F.lit(Decimal(width))).cast("long")
         number = F.when(F.col("doc_id") >= a, F.lit(i * each).cast("long") + F.least(inside, F.lit(each - 1))).otherwise(number)
     return number, each * max(1, len(cuts) - 1)
 

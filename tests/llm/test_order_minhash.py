@@ -102,3 +102,15 @@ def test_one_insertion_in_a_text_without_spaces(spark):
         assert rows[i * 10 + 9].near_next > 0.8, name  # one put in front
         if name != "one":  # that has few symbols
             assert rows[i * 10 + 7].near_next > 0.8, name  # and in the middle
+
+
+def test_ids_further_apart_than_a_long(spark):
+    ids = [-(2 ** 63), -(2 ** 63 - 1), -7, 5, 6, 2 ** 63 - 1]
+    docs = [(d, f"text number {i} of these few, with some more words") for i, d in enumerate(ids)]
+    rows = {r.doc_id: r for r in order_minhash(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert sorted(rows) == ids
+    text = dict(docs)
+    for i, d in enumerate(ids):
+        own, following = text[d], text[ids[i - 1]]
+        third = len(own) // 3
+        assert rows[d].edited_sha256 == hashlib.sha256((own[:len(own) - third] + following[:third]).encode()).hexdigest()
