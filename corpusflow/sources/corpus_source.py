@@ -44,10 +44,12 @@ _TEMPORARY = "_temporary"
 
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a path or URI, and the path in it."""
-    if "://" in path or path.startswith("file:"):
-        fs, own = pafs.FileSystem.from_uri(path if "://" in path else "file://" + path[len("file:"):])
-        return fs, own.rstrip("/")
-    return pafs.LocalFileSystem(), path.rstrip("/")
+    if path.startswith("file:"):
+        path = "/" + path[len("file:"):].lstrip("/")
+    if "://" not in path:
+        return pafs.LocalFileSystem(), path.rstrip("/")
+    fs, own = pafs.FileSystem.from_uri(path)
+    return fs, own.rstrip("/")
 
 
 @dataclass
@@ -205,7 +207,8 @@ def read_files(spark: SparkSession, path: str, kinds: Sequence[str] = tuple(ARTI
 
 
 def write_files(files: DataFrame, path: str, mode: str = "overwrite", folders: bool = True) -> None:
-    """K1, K3-K5: rows ``(article_id, kind, text)`` as one file each; ``mode="overwrite"`` replaces the folder (K7).
+    """K1, K3-K5: rows ``(article_id, kind, text)`` as one file each; ``mode="overwrite"`` empties the folder first (K7),
+    so the rows must not come from it.
 
     Rows of one article and kind are written once; which of several, is not defined.  A
     null text makes an empty file; a null id or an unknown kind fails the job.
