@@ -16,7 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.session import checkpoint_dir, scratch_path
+from corpusflow.session import checkpoint_dir, materialize, scratch_path
 
 
 def _done_levels(spark: SparkSession, visited_root: str, prefix: str = "depth=") -> list[int]:
@@ -45,16 +45,16 @@ def crawl_levels(links: DataFrame, seeds: DataFrame, state_dir: str | None = Non
     resume); ``enough`` stops once that many URLs are known (the crawl goal,
     checked between rounds).
 
-    One round = one Spark job that expands the frontier (depth d) by up to
-    ``hops_per_round`` levels: hop i takes the targets of the links leaving
-    hop i-1 (a semi join) minus the URLs visited before the round; all hops plus the visited
-    table are grouped by URL keeping the smallest depth.  This is exact BFS:
-    past the frontier a shortest path never re-enters the old visited set,
-    and any walk only gives an upper bound.  Redundant work is bounded by
-    the hop count, and the number of Spark jobs drops by that factor on
-    deep, narrow link graphs.
+    A round takes the levels after depth d up to depth t = d + max(hops_per_round, d), so a
+    deep link graph takes a number of rounds that grows with the logarithm of its depth.
+    Chains of URLs with one incoming link are contracted first (``_contracted``); a round
+    follows the weighted links between the other URLs, ``hops_per_round`` hops from what is
+    known, then reads the URLs of the chains off their distances.  Each hop adds at least
+    one to the depth: a URL that takes more hops lies deeper than the least depth m that
+    the last hop found.  So all levels up to min(t, m) are exact and whole, and the round
+    ends there, at least ``hops_per_round`` levels on.
 
-    State (K9): ``<state_dir>/links`` (materialised once) and
+    State (K9): ``<state_dir>/links``, ``edges`` and ``chains=0`` (materialised once) and
     ``<state_dir>/visited/depth=<D>``, the whole visited table whose frontier
     is depth D (one compact table; a round reads one folder).  Counts come
     from ``observe`` metrics of the writing job.  A restart continues from
@@ -63,7 +63,7 @@ def crawl_levels(links: DataFrame, seeds: DataFrame, state_dir: str | None = Non
     spark = links.sparkSession
     if state_dir is None:
         state_dir = scratch_path(spark, "crawl")
-    links_path = os.path.join(state_dir, "links")
+    links_path, edges_path, chains_path = (os.path.join(state_dir, x) for x in ("links", "edges", "chains=0"))
     root = os.path.join(state_dir, "visited")
     levels = _done_levels(spark, root)
     if not levels:
@@ -71,37 +71,52 @@ def crawl_levels(links: DataFrame, seeds: DataFrame, state_dir: str | None = Non
         (seeds.select("url").distinct().select("url", F.lit(0).alias("depth"))
          .write.mode("overwrite").parquet(os.path.join(root, "depth=0")))
         levels = [0]
-    lk = spark.read.parquet(links_path)
+    if not _done_levels(spark, state_dir, "chains="):
+        lk = spark.read.parquet(links_path).filter(F.col("src").isNotNull() & ~F.col("src").eqNullSafe(F.col("dst")))
+        chains, edges = _contracted(lk, spark.read.parquet(os.path.join(root, "depth=0")).select("url"))
+        edges.write.mode("overwrite").parquet(edges_path)
+        chains.write.mode("overwrite").parquet(chains_path)
+    chains, edges = spark.read.parquet(chains_path), spark.read.parquet(edges_path)
+    branching = not edges.isEmpty()
     d = levels[-1]
     done_now = 0
     while max_rounds is None or done_now < max_rounds:
         visited = spark.read.parquet(os.path.join(root, f"depth={d}"))
         if enough is not None and visited.count() >= enough:
             break
-        old = visited.select("url")
-        front = visited.filter(F.col("depth") == d).select(F.col("url").alias("src"))
-        hops = []
-        for i in range(1, hops_per_round + 1):
+        top = d + max(hops_per_round, d)
+        start = visited
+        if branching:
+            # What the known URLs link to beyond depth d, then what these link to.
             # Each hop is reduced to distinct URLs (partial aggregation first), so
             # a URL linked from a third of all pages reaches the next hop's
-            # semi join as one row.
-            reached = (lk.join(front, on="src", how="left_semi").select(F.col("dst").alias("url"))
-                       .distinct().join(old, on="url", how="left_anti"))
-            hops.append(reached.select("url", F.lit(d + i).alias("depth")))
-            front = reached.select(F.col("url").alias("src"))
-        allrows = visited
-        for h in hops:
-            allrows = allrows.unionByName(h)
-        nxt = allrows.groupBy("url").agg(F.min("depth").alias("depth"))
-        top = d + hops_per_round
-        obs = Observation(f"crawl_depth_{top}")
-        nxt = nxt.observe(obs, F.sum(F.when(F.col("depth") > d, 1).otherwise(0)).alias("n_new"),
-                          F.sum(F.when(F.col("depth") == top, 1).otherwise(0)).alias("n_front"))
+            # join as one row.
+            hop, hops = visited, []
+            for _ in range(hops_per_round):
+                hop = (edges.join(hop.select(F.col("url").alias("a"), "depth"), on="a")
+                       .select(F.col("dst").alias("url"), (F.col("depth") + F.col("w")).cast("int").alias("depth"))
+                       .filter(F.col("depth").between(d + 1, top)).groupBy("url").agg(F.min("depth").alias("depth")))
+                hops.append(hop.withColumn("last", F.lit(False)))
+            hops[-1] = hops[-1].withColumn("last", F.lit(True))
+            found = hops[0]
+            for h in hops[1:]:
+                found = found.unionByName(h)
+            found = found.groupBy("url").agg(F.min("depth").alias("depth"), F.min(F.when(F.col("last"), F.col("depth"))).alias("ahead"))
+            obs = Observation(f"crawl_hops_{uuid.uuid4().hex[:8]}")
+            found = materialize(found.observe(obs, F.min("ahead").alias("ahead")), "crawl-hops").drop("ahead")
+            ahead = obs.get["ahead"]
+            top = top if ahead is None else min(top, ahead)
+            known = visited.select(F.col("url").alias("_known"))
+            start = visited.unionByName(found.join(known, F.col("url").eqNullSafe(F.col("_known")), "left_anti").filter(F.col("depth") <= top))
+        chained = (chains.join(start.select(F.col("url").alias("anc"), "depth"), on="anc")
+                   .select(F.col("node").alias("url"), (F.col("depth") + F.col("dist")).cast("int").alias("depth"))
+                   .filter(F.col("depth").between(d + 1, top)))
+        obs = Observation(f"crawl_depth_{uuid.uuid4().hex[:8]}")
+        nxt = start.unionByName(chained).observe(obs, F.count(F.when(F.col("depth") == top, 1)).alias("n_front"))
         nxt.write.mode("overwrite").parquet(os.path.join(root, f"depth={top}"))
-        m = obs.get
         d = top
         done_now += 1
-        if not m["n_new"] or not m["n_front"]:
+        if not obs.get["n_front"]:
             break
     return spark.read.parquet(os.path.join(root, f"depth={d}")).select(
         "url", F.col("depth").cast("int").alias("depth"))
@@ -131,8 +146,35 @@ def bfs_levels(links: DataFrame, seeds: DataFrame, max_rounds: int | None = None
     checkpoint_dir(spark)
     e = links.select("src", "dst").filter(F.col("src") != F.col("dst")).dropDuplicates(["src", "dst"])
     s = seeds.select("url").distinct()
+    resolved, cedges = _contracted(e, s)
+    dist, _ = _observed_checkpoint(s.select(F.col("url").alias("a"), F.lit(0).cast("bigint").alias("d"),
+                                            F.lit(True).alias("changed")), F.count(F.lit(1)).alias("n"))
+    relaxed = 0
+    while True:
+        if max_rounds is not None and relaxed >= max_rounds:
+            raise RuntimeError(f"distances still change after {max_rounds} rounds")
+        relaxed += 1
+        front = dist.filter("changed").select("a", "d")
+        cand = (front.join(cedges, on="a").select(F.col("dst").alias("a"), (F.col("d") + F.col("w")).alias("nd")))
+        best = cand.groupBy("a").agg(F.min("nd").alias("nd"))
+        j = dist.select("a", "d").join(best, on="a", how="full_outer")
+        better = F.col("nd").isNotNull() & (F.col("d").isNull() | (F.col("nd") < F.col("d")))
+        nxt = j.select("a", F.when(better, F.col("nd")).otherwise(F.col("d")).alias("d"),
+                       better.alias("changed"))
+        dist, m = _observed_checkpoint(nxt, F.sum(F.col("changed").cast("int")).alias("n_changed"))
+        if not m["n_changed"]:
+            break
+    anchors = dist.select(F.col("a").alias("url"), F.col("d").alias("depth"))
+    chained = resolved.join(dist.select(F.col("a").alias("anc"), F.col("d")), on="anc", how="inner").select(
+        F.col("node").alias("url"), (F.col("d") + F.col("dist")).alias("depth"))
+    return anchors.unionByName(chained).select("url", F.col("depth").cast("int").alias("depth"))
+
+
+def _contracted(e: DataFrame, s: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Steps 1 and 2 of ``bfs_levels`` for distinct links ``e(src, dst)`` without loops and seeds ``s(url)``:
+    chain URLs ``(node, anc, dist)`` that meet an anchor, and weighted edges ``(a, dst, w)`` between anchors."""
     indeg = e.groupBy("dst").agg(F.count(F.lit(1)).alias("k"), F.min("src").alias("pred"))
-    chain = (indeg.filter(F.col("k") == 1).join(s, indeg["dst"] == s["url"], "left_anti")
+    chain = (indeg.filter((F.col("k") == 1) & F.col("dst").isNotNull()).join(s, indeg["dst"] == s["url"], "left_anti")
              .select(F.col("dst").alias("node"), F.col("pred").alias("anc"),
                      F.lit(1).cast("bigint").alias("dist")))
     state = _observed_checkpoint(chain, F.count(F.lit(1)).alias("n"))
@@ -166,27 +208,7 @@ def bfs_levels(links: DataFrame, seeds: DataFrame, max_rounds: int | None = None
     cedges = (from_chain.select("a", "dst", "w0").unionByName(from_anchor)
               .groupBy("a", "dst").agg((F.min("w0") + 1).alias("w")))
     cedges, _ = _observed_checkpoint(cedges, F.count(F.lit(1)).alias("n"))
-    dist, _ = _observed_checkpoint(s.select(F.col("url").alias("a"), F.lit(0).cast("bigint").alias("d"),
-                                            F.lit(True).alias("changed")), F.count(F.lit(1)).alias("n"))
-    relaxed = 0
-    while True:
-        if max_rounds is not None and relaxed >= max_rounds:
-            raise RuntimeError(f"distances still change after {max_rounds} rounds")
-        relaxed += 1
-        front = dist.filter("changed").select("a", "d")
-        cand = (front.join(cedges, on="a").select(F.col("dst").alias("a"), (F.col("d") + F.col("w")).alias("nd")))
-        best = cand.groupBy("a").agg(F.min("nd").alias("nd"))
-        j = dist.select("a", "d").join(best, on="a", how="full_outer")
-        better = F.col("nd").isNotNull() & (F.col("d").isNull() | (F.col("nd") < F.col("d")))
-        nxt = j.select("a", F.when(better, F.col("nd")).otherwise(F.col("d")).alias("d"),
-                       better.alias("changed"))
-        dist, m = _observed_checkpoint(nxt, F.sum(F.col("changed").cast("int")).alias("n_changed"))
-        if not m["n_changed"]:
-            break
-    anchors = dist.select(F.col("a").alias("url"), F.col("d").alias("depth"))
-    chained = resolved.join(dist.select(F.col("a").alias("anc"), F.col("d")), on="anc", how="inner").select(
-        F.col("node").alias("url"), (F.col("d") + F.col("dist")).alias("depth"))
-    return anchors.unionByName(chained).select("url", F.col("depth").cast("int").alias("depth"))
+    return resolved, cedges
 
 
 def _observed_checkpoint(df: DataFrame, *metrics):

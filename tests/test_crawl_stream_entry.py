@@ -43,6 +43,37 @@ def test_crawl_resume_equals_uninterrupted(spark):
     assert resumed == bfs(EDGES, ["s"])
 
 
+def test_deep_chains_take_few_rounds(spark):
+    # two chains of 300 with a way in at the middle, a tail that loops, and URLs that nothing reaches
+    edges = [(f"c{i}", f"c{i + 1}") for i in range(300)] + [(f"d{i}", f"d{i + 1}") for i in range(300)]
+    edges += [("c10", "d200"), ("c300", "c290"), ("d0", "d0"), ("x", "y"), ("y", "x")]
+    links = spark.createDataFrame(edges, "src string, dst string")
+    seeds = spark.createDataFrame([("c0",), ("d0",)], "url string")
+    state = os.path.join(tempfile.mkdtemp(prefix="crawl-"), "state")
+    got = {r.url: r.depth for r in C.crawl_levels(links, seeds, state_dir=state).collect()}
+    assert got == bfs(edges, ["c0", "d0"])
+    assert len(os.listdir(os.path.join(state, "visited"))) <= 9
+
+
+def test_every_stop_has_whole_levels(spark):
+    import random
+    rnd = random.Random(5)
+    for _ in range(2):
+        edges = sorted({(f"u{rnd.randrange(40)}", f"u{rnd.randrange(40)}") for _ in range(50)} | {(f"u{i}", f"u{i + 1}") for i in range(0, 30, 2)})
+        links, seeds = spark.createDataFrame(edges, "src string, dst string"), spark.createDataFrame([("u0",), ("u1",)], "url string")
+        whole, state, found = bfs(edges, ["u0", "u1"]), os.path.join(tempfile.mkdtemp(prefix="crawl-"), "state"), {}
+        while found != whole:
+            before = len(found)
+            found = {r.url: r.depth for r in C.crawl_levels(links, seeds, state_dir=state, max_rounds=1, hops_per_round=2).collect()}
+            assert found == {u: k for u, k in whole.items() if k <= max(found.values())} and len(found) > before
+
+
+def test_links_to_null_are_found_as_before(spark):
+    links = spark.createDataFrame([("a", "b"), ("b", None), (None, "c")], "src string, dst string")
+    got = C.crawl_levels(links, spark.createDataFrame([("a",)], "url string")).collect()
+    assert sorted(map(tuple, got), key=str) == [("a", 0), ("b", 1), (None, 2)]
+
+
 def test_crawl_enough_stops_early(spark):
     links = spark.createDataFrame(EDGES, "src string, dst string")
     seeds = spark.createDataFrame([("s",)], "url string")
