@@ -9,8 +9,9 @@ a restart goes on from the newest committed round.
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions.urls import netloc_of
@@ -54,17 +55,21 @@ def crawl_frontier(links: DataFrame, seeds: DataFrame, per_host: int = 3, state_
             .write.mode("overwrite").parquet(os.path.join(root, "round=0"))
         done = [0]
     links, at, ran = spark.read.parquet(links_path), done[-1], 0
+    known = [F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("fetched").isNull(), 1)).alias("waiting")]
+    counts = None
     while max_rounds is None or ran < max_rounds:
         state = spark.read.schema(_STATE).parquet(os.path.join(root, f"round={at}"))
-        n, waiting = state.agg(F.count(F.lit(1)), F.count(F.when(F.col("fetched").isNull(), 1))).first()
-        if not waiting or (enough is not None and n >= enough):
+        counts = counts or state.agg(*known).first().asDict()
+        if not counts["waiting"] or (enough is not None and counts["n"] >= enough):
             break
         at, ran = at + 1, ran + 1
         batch = materialize(next_batch(state.filter("fetched is null").select("url", "host", "found"), per_host).select("url"), "frontier-batch")
-        seen = links.join(batch.select(F.col("url").alias("src")), "src", "left_semi").select(F.col("dst").alias("url")).distinct()
-        # a URL's rows: what is known of it, that it is fetched now, that it is seen now
+        seen = links.join(batch.select(F.col("url").alias("src")), "src", "left_semi").select(F.col("dst").alias("url"))
+        # a URL's rows: what is known of it, that it is fetched now, that it is seen now; one aggregate, partial before its exchange
         rows = state.unionByName(batch.select("url", F.lit(at).alias("fetched")), True).unionByName(seen.select("url", F.lit(at).alias("found")), True)
-        after = rows.groupBy("url").agg(F.min("found").alias("found"), F.min("fetched").alias("fetched")) \
-            .select("url", netloc_of(F.col("url")).alias("host"), "found", "fetched")
-        after.write.mode("overwrite").parquet(os.path.join(root, f"round={at}"))
+        after = rows.groupBy("url").agg(F.max("host").alias("host"), F.min("found").alias("found"), F.min("fetched").alias("fetched")) \
+            .select("url", F.coalesce("host", netloc_of(F.col("url"))).alias("host"), "found", "fetched")
+        obs = Observation(f"frontier_{uuid.uuid4().hex[:8]}")  # counted by the job that writes
+        after.observe(obs, *known).write.mode("overwrite").parquet(os.path.join(root, f"round={at}"))
+        counts = obs.get
     return spark.read.schema(_STATE).parquet(os.path.join(root, f"round={at}"))

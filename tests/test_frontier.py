@@ -60,3 +60,19 @@ def test_a_hot_host_is_ranked_in_salts(spark):
     batch = Q.next_batch(queue, 40).collect()
     assert len(batch) == 40 and {r.found for r in batch} == {0}
     assert sorted(r.url for r in batch) == sorted(r.url for r in Q.next_batch(queue, 40, salts=1).collect())
+
+
+def test_a_round_is_few_jobs(spark):
+    # a chain: one URL a round.  The tracker keeps the jobs of a group.
+    links = spark.createDataFrame([(f"https://h/{i}", f"https://h/{i + 1}") for i in range(6)], "src string, dst string")
+    seeds = spark.createDataFrame([("https://h/0",)], "url string")
+
+    def jobs(rounds):
+        group = f"frontier-{rounds}"
+        spark.sparkContext.setJobGroup(group, group)
+        got = Q.crawl_frontier(links, seeds, 2, max_rounds=rounds)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert got.count() == rounds + 1
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert (jobs(5) - jobs(2)) / 3 <= 8
