@@ -10,7 +10,7 @@ from corpusflow.plans.registry import register
 from corpusflow.plans.sqlparts import token_sql
 from corpusflow.plans.text_queries import doc_tokens, documents
 from corpusflow.schemas import TOKEN_COLUMNS
-from corpusflow.sinks.conllu import render_conllu, render_sentence_rows
+from corpusflow.sinks.conllu import render_sentence_rows
 from corpusflow.sources.conllu import parse_conllu
 
 
@@ -42,7 +42,7 @@ def q_conllu_render_no_feats(spark, sf):
 @register("conllu_roundtrip", token_sql() + """
 SELECT * FROM tokens""")
 def q_conllu_roundtrip(spark, sf):
-    return parse_conllu(render_conllu(doc_tokens(spark, sf, with_text=True))).select(*TOKEN_COLUMNS)
+    return parse_conllu(render_sentence_rows(document_sentences(documents(spark, sf), with_text=True), merged=True)).select(*TOKEN_COLUMNS)
 
 
 @register("parse_feats", token_sql() + """

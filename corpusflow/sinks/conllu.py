@@ -56,34 +56,64 @@ def render_conllu(tokens: DataFrame, sentences: DataFrame | None = None,
                                  lambda b: b["block"]), "").alias("conllu"))
 
 
-def render_sentence_rows(sents: DataFrame, include_feats: bool = True) -> DataFrame:
+def render_sentence_rows(sents: DataFrame, include_feats: bool = True, merged: bool = False) -> DataFrame:
     """K1 / K2 on sentence rows ``(article_id, sent_id, sentence, tokens)``: ``(article_id, conllu)``.
 
     A sentence's block is made inside its row; one exchange brings an article's blocks
-    together, which is bounded by one article.
+    together, which is bounded by one article.  Sentences of one article and number are blocks
+    of their own, or with ``merged`` one block, as in ``render_conllu`` of their tokens.
     """
+    numbers = {f.name for f in sents.schema["tokens"].dataType.elementType if f.dataType.typeName() in ("integer", "long")}
+
+    def field(t: Column, f: str) -> Column:
+        if f == "feats" and not include_feats:
+            return F.lit("_")
+        return F.coalesce(t[f].cast("string"), F.lit("_")) if f in numbers else underscore_if_empty(t[f])
+
     def line(t: Column) -> Column:
-        return F.concat_ws("\t", *[F.lit("_") if f == "feats" and not include_feats else underscore_if_empty(t[f]) for f in FIELDS])
+        return F.concat_ws("\t", *[field(t, f) for f in FIELDS])
 
+    if merged:
+        parts = F.struct("sent_id", F.coalesce("sentence", F.lit("")).alias("text"), F.transform("tokens", line).alias("lines"))
+        return _render_merged(sents.select("article_id", parts.alias("b")))
     block = F.concat(F.lit("# sent_id = "), (F.col("sent_id") + 1).cast("string"), F.lit("\n# text = "), F.coalesce("sentence", F.lit("")),
                      F.lit("\n"), F.array_join(F.transform("tokens", line), "\n"), F.lit("\n\n"))
     blocks = sents.select("article_id", F.struct("sent_id", block.alias("block")).alias("b"))
     return blocks.groupBy("article_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("b")), lambda b: b["block"]), "").alias("conllu"))
 
 
-def _render_with_text(tokens: DataFrame, include_feats: bool) -> DataFrame:
-    token = F.struct("sent_id", "id", token_line(include_feats).alias("line"), "text")
-    rows = tokens.groupBy("article_id").agg(F.array_sort(F.collect_list(token)).alias("ts"))
-    ts = F.col("ts")
+def _render_merged(parts: DataFrame) -> DataFrame:
+    """``(article_id, conllu)`` of ``(article_id, b(sent_id, text, lines))``; tokens are sorted one by one only where an article has a number twice."""
+    rows = parts.groupBy("article_id").agg(F.array_sort(F.collect_list("b")).alias("bs"))
+
+    def tokens(b: Column) -> Column:
+        return F.transform(b["lines"], lambda x, i: F.struct(b["sent_id"].alias("sent_id"), (i + 1).alias("id"), x.alias("line"),
+                                                             F.when(i == 0, b["text"]).alias("text")))
+
+    twice = F.size(F.array_distinct("bs.sent_id")) < F.size("bs")
+    whole = F.array_join(F.transform("bs", lambda b: F.concat(_head(b), F.array_join(b["lines"], "\n"), F.lit("\n\n"))), "")
+    rows = rows.withColumn("ts", F.when(twice, F.array_sort(F.flatten(F.transform("bs", tokens)))))
+    return rows.select("article_id", F.when(F.col("ts").isNull(), whole).otherwise(_blocks(F.col("ts"))).alias("conllu"))
+
 
+def _head(t: Column) -> Column:
+    return F.concat(F.lit("# sent_id = "), (t["sent_id"] + 1).cast("string"), F.lit("\n# text = "), F.coalesce(t["text"], F.lit("")), F.lit("\n"))
+
+
+def _blocks(ts: Column) -> Column:
+    """The blocks of an article's sorted ``(sent_id, id, line, text)``."""
     def block_part(t: Column, i: Column) -> Column:
         first = (i == 0) | (F.get(ts, i - 1)["sent_id"] != t["sent_id"])
         last = (i == F.size(ts) - 1) | (F.get(ts, i + 1)["sent_id"] != t["sent_id"])
-        head = F.concat(F.lit("# sent_id = "), (t["sent_id"] + 1).cast("string"), F.lit("\n# text = "),
-                        F.coalesce(t["text"], F.lit("")), F.lit("\n"))
-        return F.concat(F.when(first, head).otherwise(""), t["line"], F.when(last, "\n\n").otherwise("\n"))
+        return F.concat(F.when(first, _head(t)).otherwise(""), t["line"], F.when(last, "\n\n").otherwise("\n"))
+
+    return F.array_join(F.transform(ts, block_part), "")
+
 
-    return rows.select("article_id", F.array_join(F.transform(ts, block_part), "").alias("conllu"))
+def _render_with_text(tokens: DataFrame, include_feats: bool) -> DataFrame:
+    token = F.struct("sent_id", "id", token_line(include_feats).alias("line"), "text")
+    rows = tokens.groupBy("article_id").agg(F.array_sort(F.collect_list(token)).alias("ts"))
+    return rows.select("article_id", _blocks(F.col("ts")).alias("conllu"))
 
 
 def write_conllu(docs: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -22,7 +22,7 @@ def parse_conllu(docs: DataFrame, text_col: str = "conllu", id_col: str = "artic
     lines = sents.select(
         "article_id", F.col("sent_id").cast("int").alias("sent_id"),
         F.regexp_extract("block", r"(?m)^# text = ([^\r\n]*)", 1).alias("text"),
-        F.explode(F.filter(F.split("block", r"\r?\n"), is_token_line)).alias("line"))
+        F.explode(F.split("block", r"\r?\n")).alias("line")).filter(is_token_line(F.col("line")))
     f = F.split("line", "\t")
 
     def field(i: int) -> Column:

@@ -87,6 +87,30 @@ def test_rendering(spark):
         assert rows(own) == rows(render_conllu(doc_tokens(spark, SF, with_text=True), include_feats=feats))
 
 
+def test_sentences_are_annotated_once(spark):
+    docs = load_table(spark, SF, "documents")
+    for df in (A.document_sentences(docs), G.dependency_edges_in(A.document_sentences(docs)), G.match_in_sentences(A.document_sentences(docs), ("VERB", "NOUN"))):
+        assert plan(df).count("regexp_extract_all(") == 1
+
+
+def test_round_trip_moves_blocks_not_tokens(spark):
+    from corpusflow.plans.conllu_queries import q_conllu_roundtrip
+    own = q_conllu_roundtrip(spark, SF)
+    assert plan(own).count("Exchange hashpartitioning") == 1
+    assert "BroadcastHashJoin" not in plan(own)
+    assert rows(own) == rows(doc_tokens(spark, SF))
+
+
+def test_repeated_ids_are_merged_as_the_table_is(spark):
+    said = ["One is here now. Two is there, too! Three more came in", "One of them is other. Two is there, too!", "Nothing in common here"]
+    docs = spark.createDataFrame([(1, said[0], "en"), (1, said[1], "en"), (1, said[1], "en"), (2, said[0], "en"), (None, said[0], None), (None, said[2], "en")],
+                                 "doc_id long, text string, lang string")
+    for feats in (True, False):
+        own = render_sentence_rows(A.document_sentences(docs, with_text=True), feats, merged=True)
+        assert plan(own).count("Exchange hashpartitioning") == 1
+        assert rows(own) == rows(render_conllu(A.annotate_documents(docs, with_text=True), include_feats=feats))
+
+
 def test_odd_documents(spark):
     docs = spark.createDataFrame([(1, None, "en"), (2, "", "en"), (3, "Only one sentence here", None), (None, "No id for this sentence", "xx")],
                                  "doc_id long, text string, lang string")
