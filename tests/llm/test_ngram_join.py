@@ -1,5 +1,8 @@
+import collections
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from corpusflow.llm.ngram_join import Threshold, jaccard_join, one_of_each
@@ -64,3 +67,76 @@ def test_a_very_long_text(spark):
     df = spark.createDataFrame([(1, long), (2, long + " tail"), (3, "x" * 3_000_000)], "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in jaccard_join(df).collect()}
     assert got == {1: 1, 2: 1, 3: 3}
+
+
+def test_common_n_grams_make_no_groups(spark, monkeypatch):
+    import corpusflow.llm.ngram_join as m
+    rnd = random.Random(11)
+    docs = [(i, " ".join(rnd.choice("abcdefghi") for _ in range(40))) for i in range(240)]  # every 3-gram is in about 12 texts
+    docs.append((240, docs[0][1] + " z"))
+    kept, staged = {}, m.staged
+    monkeypatch.setattr(m, "staged", lambda df, label: kept.setdefault(label, staged(df, label)))
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links)
+           for r in jaccard_join(spark.createDataFrame(docs, "doc_id long, text string"), 3, Threshold(90, 100)).collect()}
+    assert got == jaccard_components(docs, 3, 90, 100)
+    assert sorted(r.rep for r in kept["join-groups"].collect()) == [0, 240]
+
+
+def test_rows_that_come_twice_are_counted_once_each(spark):
+    base = [f"v{i}" for i in range(60)]
+    docs = [(1, " ".join(base)), (2, " ".join(base[:-1])), (3, " ".join(base)), (4, " ".join(base[1:])), (5, "other words")] * 2
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links)
+           for r in jaccard_join(spark.createDataFrame(docs, "doc_id long, text string"), 3, Threshold(90, 100)).collect()}
+    assert got == jaccard_components(docs, 3, 90, 100)
+
+
+@pytest.mark.parametrize(("num", "top"), [(90, 1 << 64), (80, 1 << 64), (60, 1 << 64), (90, 1 << 61), (80, 1 << 60)])
+def test_prefixes_of_linked_sets_meet(num, top):
+    from corpusflow.llm.ngram_join import segments
+    rnd = random.Random(num + top % 7)
+    limit, sets = Threshold(num, 100), []
+    for n in (9, 10, 11, 13, 19, 20, 40, 41, 150, 151, 700):
+        for _ in range(4):
+            base = {rnd.randrange(top) for _ in range(n)}  # below a small top, most segments are empty
+            sets.append(base)
+            for cut in (1, 2, n // 20, n // 10, n // 6):
+                sets.append(set(rnd.sample(sorted(base), n - cut // 2)) | {rnd.randrange(top) for _ in range(cut - cut // 2)})
+    sets = [s for s in sets if limit.differs(len(s))]
+    own = collections.defaultdict(list)
+    for segment, of, spare in zip(*segments([np.array(sorted(s), np.uint64) for s in sets], limit), strict=True):
+        own[int(of), int(segment) >> 1 & 127].append((int(segment), int(spare)))
+    count = collections.Counter(s for rows in own.values() for s, _ in rows)
+    prefix = collections.defaultdict(set)
+    for (of, _), rows in own.items():
+        rows = sorted(rows, key=lambda r: (r[0] & 1, count[r[0]], r[0]))
+        prefix[of] |= {s for s, _ in rows[:len(rows) - rows[0][1]]}
+    linked = [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if a != b and 100 * len(a & b) >= num * len(a | b)]
+    assert len(linked) > 30
+    assert all(prefix[i] & prefix[j] for i, j in linked)
+
+
+def _batches(rows, names, size):
+    columns = [np.array(c, np.int64) for c in zip(*rows, strict=True)]
+    for at in range(0, len(rows), size):
+        yield pa.RecordBatch.from_arrays([pa.array(c[at:at + size]) for c in columns], names)
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 100])
+def test_counts_and_prefixes_across_batches(monkeypatch, size):
+    import corpusflow.llm.ngram_join as m
+    monkeypatch.setattr(m, "MOST_SETS", 4)
+    rnd = random.Random(3)
+    rows = sorted([(s, o) for s in range(30) for o in rnd.sample(range(50), rnd.choice([1, 1, 2, 3, 4, 5, 20]))] * 2)
+    count = collections.Counter(s for s, _ in set(rows))
+    got = [r for b in m._shared(_batches(rows, ["segment", "set"], size)) for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+    assert got == [(s, o, min(4, count[s])) for s, o in sorted(set(rows)) if count[s] > 1]
+
+    rows = [(s << 8 | like << 1, number << 15 | spare) for number in range(20) for like in (3, 4)
+            for spare in [rnd.choice([0, 1, 3])] for s in range(rnd.choice([1, 2, 4, 9]))]
+    want, seen = [], collections.Counter()
+    for segment, own in rows:
+        seen[own, segment >> 1 & 127] += 1
+        if seen[own, segment >> 1 & 127] > own & 32767:
+            want.append((segment, own >> 15))
+    got = [r for b in m._prefixes(_batches(rows, ["segment", "set"], size)) for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+    assert got == want
